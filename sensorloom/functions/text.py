@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,12 +23,32 @@ def format_duration(ns: Column) -> Column:
     )
 
 
+# Where a value lies exactly between two tenths, its double may lie above, below or on that middle. The
+# printed digit follows the double, and the even digit when it is exact.
+_MIDDLES = [Fraction(2 * digit + 1, 20) for digit in range(10)]
+_MIDDLE = [float(m) for m in _MIDDLES]
+_UP = [Fraction(float(m)) > m or (Fraction(float(m)) == m and digit % 2 == 1) for digit, m in enumerate(_MIDDLES)]
+
+
+def _one_decimal(size: Column, unit: int) -> Column:
+    """size / unit with one decimal, rounded like the double size / unit."""
+    lower = whole_div(size, unit // 10)
+    middle = size % (unit // 10) == unit // 20
+    value = size / F.lit(float(unit))
+    part, digit = value - F.floor(value), (lower % 10).cast("int")
+    at = F.get(F.array(*[F.lit(m) for m in _MIDDLE]), digit)
+    on_middle = F.get(F.array(*[F.lit(u) for u in _UP]), digit)
+    up = F.when(middle, (part > at) | ((part == at) & on_middle)).otherwise(size % (unit // 10) > unit // 20)
+    tenths = lower + up.cast("bigint")
+    return F.concat(whole_div(tenths, 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def format_file_size(size: Column) -> Column:
     """Decimal units with one decimal; plain bytes below 1000."""
     return (
-        F.when(size >= 1_000_000_000, F.format_string("%.1f GB", size / F.lit(1e9)))
-        .when(size >= 1_000_000, F.format_string("%.1f MB", size / F.lit(1e6)))
-        .when(size >= 1_000, F.format_string("%.1f KB", size / F.lit(1e3)))
+        F.when(size >= 1_000_000_000, F.concat(_one_decimal(size, 1_000_000_000), F.lit(" GB")))
+        .when(size >= 1_000_000, F.concat(_one_decimal(size, 1_000_000), F.lit(" MB")))
+        .when(size >= 1_000, F.concat(_one_decimal(size, 1_000), F.lit(" KB")))
         .otherwise(F.concat(size.cast("string"), F.lit(" B")))
     )
 

@@ -47,29 +47,30 @@ def distinct_definitions(channels: DataFrame) -> DataFrame:
     )
 
 
-def definition_lines(definitions: DataFrame) -> DataFrame:
-    """(definition, schema_name, block_no, block, line_no, line): blocks named, separators removed.
+def definition_blocks(definitions: DataFrame) -> DataFrame:
+    """(definition, schema_name, block_no, block, lines): the text cut at its separators.
 
-    Block 0 is the main type. A later block without a ``MSG:`` head, or after an empty one, has no name
-    and is left out. Of two blocks of one name the last counts.
+    Block 0 is the main type. A later block without a ``MSG:`` head has no name and is left out. Of two
+    later blocks of one name the last counts.
     """
-    blocks = F.split("schema_data", rf"(?m)^{_BLANK.replace(chr(92) + 'n', '')}*={{3,}}[ \t\r]*$")
-    block = definitions.select("definition", "schema_name", F.posexplode(blocks).alias("block_no", "text"))
+    pieces = F.split("schema_data", r"(?dm)^[ \t\r]*={3,}[ \t\r]*$")
+    block = definitions.select("definition", "schema_name", F.posexplode(pieces).alias("block_no", "text"))
     # the text of a later block starts with the line feed that ended its separator line
     body = F.when(F.col("block_no") > 0, F.regexp_replace("text", r"^\n", "")).otherwise(F.col("text"))
-    lines = block.withColumn("lines", F.split(body, "\n"))
+    lines = block.select("definition", "schema_name", "block_no", F.split(body, "\n").alias("lines"))
     head = _trim(F.col("lines")[0])
-    named = lines.withColumn(
-        "block",
-        F.when(F.col("block_no") == 0, F.col("schema_name")).when(
-            head.startswith("MSG: "), _trim(F.substring(head, 6, 1 << 30))
-        ),
-    ).where(F.col("block").isNotNull())
-    last = named.groupBy("definition", "block").agg(F.max("block_no").alias("block_no"))
-    kept = named.join(last.where("block_no > 0").unionByName(
-        named.where("block_no = 0").select("definition", "block", "block_no")
-    ), ["definition", "block", "block_no"])
-    return kept.select(
+    name = F.when(F.col("block_no") == 0, F.col("schema_name")).when(
+        head.startswith("MSG: "), _trim(F.substring(head, 6, 1 << 30))
+    )
+    named = lines.withColumn("block", name).where(F.col("block").isNotNull())
+    return named.groupBy("definition", "schema_name", "block", (F.col("block_no") > 0).alias("later")).agg(
+        F.max("block_no").alias("block_no"), F.max_by("lines", "block_no").alias("lines")
+    )
+
+
+def definition_lines(definitions: DataFrame) -> DataFrame:
+    """The lines of every block, without the head line of later blocks."""
+    return definition_blocks(definitions).select(
         "definition", "schema_name", "block_no", "block", F.posexplode("lines").alias("line_no", "raw")
     ).where((F.col("block_no") == 0) | (F.col("line_no") > 0))
 
@@ -123,13 +124,17 @@ def skipped_lines(channels: DataFrame) -> DataFrame:
     )
 
 
-def nested_types(fields: DataFrame) -> DataFrame:
+def _later_blocks(channels: DataFrame) -> DataFrame:
+    return definition_blocks(distinct_definitions(channels)).where("block_no > 0").select("definition", "block")
+
+
+def nested_types(channels: DataFrame, fields: DataFrame) -> DataFrame:
     """Fields of nested type with the block that defines it, null when there is none.
 
     The full name decides; otherwise the part after the last slash, the smallest full name first.
     """
     nested = fields.where(~F.col("base_type").isin(list(PRIMITIVES)))
-    blocks = fields.where("block_no > 0").select("definition", F.col("block").alias("candidate")).distinct()
+    blocks = _later_blocks(channels).withColumnRenamed("block", "candidate")
     exact = blocks.select("definition", F.col("candidate").alias("base_type"), F.col("candidate").alias("exact"))
     short = blocks.groupBy("definition", short_name(F.col("candidate")).alias("short")).agg(
         F.min("candidate").alias("by_short")
@@ -174,7 +179,7 @@ def _nesting_depth(edges: DataFrame) -> int:
 def field_types(channels: DataFrame) -> DataFrame:
     """``field_catalog`` with the Spark type of each field; an unresolved nested type is binary."""
     fields = field_catalog(channels)
-    resolved = nested_types(fields).select("definition", "block_no", "ordinal", "resolved")
+    resolved = nested_types(channels, fields).select("definition", "block_no", "ordinal", "resolved")
     fields = fields.join(resolved, ["definition", "block_no", "ordinal"], "left")
     primitive = _primitive(F.col("base_type"))
     known = None
@@ -189,8 +194,11 @@ def field_types(channels: DataFrame) -> DataFrame:
             F.sort_array(F.collect_list(F.struct("ordinal", "field", "type"))),
             lambda m: F.concat(F.lit("`"), m["field"], F.lit("`:"), m["type"]),
         )
-        known = typed.where("block_no > 0").groupBy("definition", F.col("block").alias("resolved")).agg(
-            F.concat(F.lit("struct<"), F.array_join(members, ","), F.lit(">")).alias("struct")
+        filled = typed.where("block_no > 0").groupBy("definition", "block").agg(F.array_join(members, ",").alias("members"))
+        known = _later_blocks(channels).join(filled, ["definition", "block"], "left").select(
+            "definition",
+            F.col("block").alias("resolved"),
+            F.concat(F.lit("struct<"), F.coalesce("members", F.lit("")), F.lit(">")).alias("struct"),
         )
     return typed
 
@@ -220,8 +228,9 @@ def json_schema(columns: DataFrame) -> DataFrame:
     """
     number = r"^(tinyint|smallint|int|bigint|float|double|decimal.*)$"
     kind = F.when(F.col("type").rlike(number), "number").when(F.col("type") == "boolean", "boolean").otherwise("string")
-    listed = columns.where(F.col("column") != "timestamp_ns").groupBy("table").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("column", F.struct(kind.alias("type")))))).alias("properties")
+    entry = F.when(F.col("column") != "timestamp_ns", F.struct("column", F.struct(kind.alias("type"))))
+    listed = columns.groupBy("table").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("properties")
     )
     return listed.select(
         "table",

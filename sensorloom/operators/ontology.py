@@ -417,7 +417,11 @@ def project_flat(flat: DataFrame, tag: str, registry: Registry | None = None, ke
         return _project_flat_elements(flat, projection, keep)
     fields = ColumnFields.of(flat)
     columns = projection(fields)
-    return _finish(flat, _times(fields), columns, _reason(fields, None), keep)
+    return _finish(flat, _times(fields), columns, _reason(fields, _earlier(flat)), keep)
+
+
+def _earlier(df: DataFrame) -> Column | None:
+    return F.col("reject_reason") if "reject_reason" in df.columns else None
 
 
 def _project_flat_elements(flat: DataFrame, projection: Projection, keep: list[str]) -> DataFrame:
@@ -439,7 +443,7 @@ def _project_flat_elements(flat: DataFrame, projection: Projection, keep: list[s
     times = {
         n: F.coalesce(F.nullif(F.when(is_element, v), zero), _times(base)[n]) for n, v in _times(inner).items()
     }
-    return _finish(opened, times, columns, _reason(inner, None), keep)
+    return _finish(opened, times, columns, _reason(inner, _earlier(flat)), keep)
 
 
 def _descend(column: Column, name: str, data_type: T.DataType) -> Column:
