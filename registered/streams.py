@@ -1 +1,84 @@
-"""To come."""
+"""ST: publishing from a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from registered.registry import EV, query
+from registered.sources import _once
+from sensorloom.operators.ontology import default_registry
+from sensorloom.plans.store import SequenceStore
+from sensorloom.session import scratch_dir
+from sensorloom.sources.bridges import event_channels, event_messages
+from sensorloom.streaming.publish_stream import StreamPublisher, message_stream
+
+c = F.col
+
+
+def stream_events(spark, sf_dir, registry=None):
+    """The event messages as a folder of files, streamed a few files at a time and published."""
+    folder = scratch_dir(spark, "stream") + "/messages"
+    event_messages(spark, sf_dir).repartition(6, "sequence").write.parquet(folder)
+    store = SequenceStore(spark, scratch_dir(spark, "store"))
+    publisher = StreamPublisher(store, event_channels(spark, sf_dir), registry)
+    publisher.start(message_stream(spark, folder, files_per_batch=2), scratch_dir(spark, "checkpoint"))
+    counts = publisher.finish()
+    return store, publisher, counts
+
+
+def streamed(spark, sf_dir):
+    return _once(spark, "streamed", sf_dir, lambda: stream_events(spark, sf_dir))
+
+
+@query(
+    "st1_micro_batches",
+    f"""WITH {EV} SELECT ns AS timestamp_ns, ns AS recording_timestamp_ns, value AS acceleration_x, 'u' || user_id AS frame_id
+        FROM ev WHERE event_type = 'click'""",
+)
+def st1(spark, sf_dir):
+    store, *_ = streamed(spark, sf_dir)
+    return store.pull_topic("events", "/click").select(
+        "timestamp_ns", "recording_timestamp_ns", c("acceleration.x").alias("acceleration_x"), c("header.frame_id").alias("frame_id")
+    )
+
+
+@query(
+    "st2_topics_of_stream",
+    f"""SELECT '/' || event_type AS topic, CAST(SUM(CASE WHEN event_type = 'purchase' THEN GREATEST(event_id % 4, 1) ELSE 1 END) AS BIGINT) AS rows
+        FROM events WHERE event_type <> 'error' GROUP BY 1""",
+)
+def st2(spark, sf_dir):
+    store, *_ = streamed(spark, sf_dir)
+    return store.list_topics("events").select("topic", "rows")
+
+
+@query("st3_progress", "SELECT COUNT(*) AS rows, TRUE AS has_bytes FROM events")
+def st3(spark, sf_dir):
+    """Rows and bytes the running query reported, beside the rows of the source."""
+    _, publisher, _ = streamed(spark, sf_dir)
+    rows, size = publisher.progress()
+    source = event_messages(spark, sf_dir).agg(F.count("*").alias("total"))
+    return source.select(F.least("total", F.lit(rows)).alias("rows"), F.lit(size > 0).alias("has_bytes"))
+
+
+@query("st4_interrupt", "SELECT 'events' AS name, 'deleted' AS state FROM (SELECT COUNT(*) FROM events)")
+def st4(spark, sf_dir):
+    """A stopped stream leaves no sequence behind."""
+    folder = scratch_dir(spark, "stream") + "/messages"
+    event_messages(spark, sf_dir).write.parquet(folder)
+    store = SequenceStore(spark, scratch_dir(spark, "store"))
+    publisher = StreamPublisher(store, event_channels(spark, sf_dir))
+    publisher.start(message_stream(spark, folder), scratch_dir(spark, "checkpoint"), processingTime="1 second")
+    publisher.interrupt()
+    return store.states().select("name", "state")
+
+
+@query(
+    "st5_failing_topic",
+    """SELECT CASE event_type WHEN 'error' THEN 'skipped' WHEN 'view' THEN 'failed' ELSE 'uploaded' END AS status, COUNT(*) AS topics
+       FROM (SELECT DISTINCT event_type FROM events) GROUP BY 1""",
+)
+def st5(spark, sf_dir):
+    """One tag whose projection raises; the other topics are published."""
+    registry = default_registry().add("floating64", lambda fields: {"data": F.raise_error(F.lit("broken projection"))})
+    return stream_events(spark, sf_dir, registry)[2]

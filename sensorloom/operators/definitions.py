@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.functions.text import array_base, array_size, short_name
+from sensorloom.session import written
 
 # Declared primitives and the Spark types that hold them.
 PRIMITIVES = {
@@ -157,49 +158,55 @@ def _primitive(base: Column) -> Column:
     return F.try_element_at(names, base)
 
 
-def _nesting_depth(edges: DataFrame) -> int:
-    """Levels of nesting below the main block; the edge table is one row per nested field."""
-    edges = edges.select("definition", F.col("block").alias("a"), F.col("resolved").alias("b")).where("b is not null")
-    edges = edges.distinct()
+def _nesting_depth(fields: DataFrame) -> int:
+    """Levels of nesting below the main block.
+
+    What a definition nests is a small graph of block names; it is followed level by level. A graph with
+    more levels than blocks nests into itself.
+    """
+    edges = fields.where("resolved is not null").select("definition", F.col("block").alias("above"), F.col("resolved").alias("below")).distinct()
+    most = edges.groupBy("definition").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     reached, depth = edges, 0
-    limit = edges.count() + 1
     while not reached.isEmpty():
         depth += 1
-        if depth > limit:
-            raise ValueError("definitions nest into themselves")
+        if depth > most:
+            raise ValueError("a definition nests into itself")
+        step = edges.withColumnsRenamed({"above": "at", "below": "next"})
         reached = (
-            reached.alias("r")
-            .join(edges.alias("e"), (F.col("r.definition") == F.col("e.definition")) & (F.col("r.b") == F.col("e.a")))
-            .select("r.definition", F.col("r.a"), F.col("e.b"))
+            reached.withColumnRenamed("below", "at")
+            .join(step, ["definition", "at"])
+            .select("definition", F.col("next").alias("below"))
             .distinct()
         )
     return depth
 
 
 def field_types(channels: DataFrame) -> DataFrame:
-    """``field_catalog`` with the Spark type of each field; an unresolved nested type is binary."""
+    """``field_catalog`` with the Spark type of each field; an unresolved nested type is binary.
+
+    The parsed fields and blocks are written once, then types are filled in from the innermost blocks
+    outwards, one join per level of nesting.
+    """
     fields = field_catalog(channels)
     resolved = nested_types(channels, fields).select("definition", "block_no", "ordinal", "resolved")
-    fields = fields.join(resolved, ["definition", "block_no", "ordinal"], "left")
+    fields = written(fields.join(resolved, ["definition", "block_no", "ordinal"], "left"), "fields")
+    blocks = written(_later_blocks(channels), "blocks")
     primitive = _primitive(F.col("base_type"))
-    known = None
-    for _ in range(_nesting_depth(fields.where("resolved is not null")) + 1):
-        if known is None:
-            typed = fields.withColumn("type", _ddl(F.coalesce(primitive, F.lit("binary"))))
-        else:
-            typed = fields.join(known, ["definition", "resolved"], "left").withColumn(
-                "type", _ddl(F.coalesce(primitive, "struct", F.lit("binary")))
-            ).drop("struct")
-        members = F.transform(
-            F.sort_array(F.collect_list(F.struct("ordinal", "field", "type"))),
-            lambda m: F.concat(F.lit("`"), m["field"], F.lit("`:"), m["type"]),
-        )
+    typed = fields.withColumn("type", _ddl(F.coalesce(primitive, F.lit("binary"))))
+    members = F.transform(
+        F.sort_array(F.collect_list(F.struct("ordinal", "field", "type"))),
+        lambda m: F.concat(F.lit("`"), m["field"], F.lit("`:"), m["type"]),
+    )
+    for _ in range(_nesting_depth(fields)):
         filled = typed.where("block_no > 0").groupBy("definition", "block").agg(F.array_join(members, ",").alias("members"))
-        known = _later_blocks(channels).join(filled, ["definition", "block"], "left").select(
+        known = blocks.join(filled, ["definition", "block"], "left").select(
             "definition",
             F.col("block").alias("resolved"),
             F.concat(F.lit("struct<"), F.coalesce("members", F.lit("")), F.lit(">")).alias("struct"),
         )
+        typed = fields.join(known, ["definition", "resolved"], "left").withColumn(
+            "type", _ddl(F.coalesce(primitive, "struct", F.lit("binary")))
+        ).drop("struct")
     return typed
 
 

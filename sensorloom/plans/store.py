@@ -430,7 +430,7 @@ def publish(
 
         with ThreadPoolExecutor(parallel_tags) as pool:
             jobs = [
-                pool.submit(inheritable_thread_target(run), i, way) for i, way in enumerate(router.ways())
+                pool.submit(inheritable_thread_target(store.spark)(run), i, way) for i, way in enumerate(router.ways())
             ]
             for job in jobs:
                 job.result()

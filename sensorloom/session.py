@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job of this package relies on.
 RUNTIME_CONF = {
@@ -37,3 +37,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix=f"run-{purpose}-")
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows read back from a table in the scratch folder: the plan behind them is done once."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
