@@ -44,8 +44,6 @@ _FAST_TYPES = {
     "flag": T.BooleanType(),
     "nums": T.ArrayType(T.DoubleType()),
 }
-# Integers that may overflow, text that reads as a special number, null inside an array.
-_SUSPECT = BIG_NUMBER + r'|"[-+]?(?:NaN|INF|Infinity)"|[\[,]\s*null'
 _KEY, _END = f"body-{END_MARK}", f"mark-{END_MARK}"
 
 
@@ -120,7 +118,16 @@ def _sound() -> Column:
         & parsed.getField(_KEY).isNotNull()
         & (parsed.getField(_END) == END_MARK)
     )
-    return F.coalesce(whole & ~F.col("_text").rlike(_SUSPECT), F.lit(False))
+    text = F.col("_text")
+    # integers that may overflow, null inside an array, text that reads as a special number
+    suspect = (
+        (text.contains("null") & text.rlike(r"[\[,]\s*null"))
+        | text.contains('NaN"')
+        | text.contains('INF"')
+        | text.contains('Infinity"')
+        | text.rlike(BIG_NUMBER)
+    )
+    return F.coalesce(whole & ~suspect, F.lit(False))
 
 
 def extract(messages: DataFrame, wants: Wants) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,25 +34,29 @@ def recording_summary(messages: DataFrame) -> DataFrame:
     )
 
 
-def share_of_files(stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Bytes per key from file sizes; a file shared by several keys counts by their rows.
+def stored_figures(stored: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """Rows, time range and bytes per key of a stored table, in one scan of the key and time columns.
 
-    Reads only the key columns and the file metadata.
+    A file shared by several keys counts for each by its rows.
     """
     per_file = stored.groupBy(
         *keys, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
-    ).agg(F.count("*").alias("rows"))
-    file_rows = per_file.groupBy("file").agg(F.sum("rows").alias("file_rows"))
-    return (
-        per_file.join(file_rows, "file")
-        .groupBy(*keys)
-        .agg(F.round(F.sum(F.col("size") * F.col("rows") / F.col("file_rows"))).cast("bigint").alias("bytes"))
+    ).agg(F.count("*").alias("rows"), F.min(time).alias("ts_min"), F.max(time).alias("ts_max"))
+    share = F.col("size") * F.col("rows") / F.sum("rows").over(Window.partitionBy("file"))
+    return per_file.withColumn("share", share).groupBy(*keys).agg(
+        F.sum("rows").alias("rows"),
+        F.min("ts_min").alias("ts_min"),
+        F.max("ts_max").alias("ts_max"),
+        F.round(F.sum("share")).cast("bigint").alias("bytes"),
     )
 
 
 def recording_summary_with_size(stored_messages: DataFrame) -> DataFrame:
     """``recording_summary`` of a stored table, with file bytes."""
-    return recording_summary(stored_messages).join(share_of_files(stored_messages, ["recording"]), "recording", "left")
+    figures = stored_figures(stored_messages, ["recording"], "log_time_ns")
+    return figures.withColumnsRenamed(
+        {"rows": "total_messages", "ts_min": "start_time_ns", "ts_max": "end_time_ns"}
+    )
 
 
 def progress_totals(good: DataFrame) -> DataFrame:

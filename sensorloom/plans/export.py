@@ -10,6 +10,7 @@ from sensorloom.functions.text import sanitize_name
 from sensorloom.operators.definitions import json_schema
 from sensorloom.operators.sequence import WINDOW_ROWS, number_rows
 from sensorloom.plans.store import SequenceStore
+from sensorloom.sources.messages import folder_name
 
 
 def time_column(columns: list[str]) -> str | None:
@@ -107,15 +108,10 @@ def write_recording(path: str, recording: str, tables: dict[str, DataFrame]) ->
     for topic, rows in tables.items():
         to_messages(rows, recording, topic).drop("topic").sortWithinPartitions("log_time_ns", "sequence").write.mode(
             "errorifexists"
-        ).parquet(f"{path}/messages/topic={sanitize_path(topic)}")
+        ).parquet(f"{path}/messages/topic={folder_name(topic)}")
     channels.write.mode("errorifexists").parquet(f"{path}/channels")
 
 
-def sanitize_path(topic: str) -> str:
-    """Topic as a partition folder name."""
-    return topic.replace("%", "%25").replace("/", "%2F").replace(":", "%3A").replace("=", "%3D")
-
-
 def export_sequence(store: SequenceStore, sequence: str, out_dir: str, file_format: str = "parquet") -> list[str]:
     """One folder per topic; topics without rows are left out; nothing written is an error."""
     if file_format == "mcap":

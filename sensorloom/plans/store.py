@@ -12,19 +12,23 @@ failed upload leaves nothing visible and no file is ever rewritten.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom.functions import metadata as M
 from sensorloom.operators import decode, ontology, routing
 from sensorloom.operators.flatten import flatten_structs
-from sensorloom.operators.index import share_of_files
+from sensorloom.operators.index import stored_figures
+from sensorloom.sources.messages import folder_name
 
 SEQUENCE_LOG = "name string, key string, state string, version int, user_metadata string, at_ns bigint"
 TOPIC_LOG = (
@@ -132,34 +136,50 @@ class SequenceStore:
 
     # ------------------------------------------------------------ pull
 
-    def read_tag(self, key: str, tag: str, rejected: bool = False) -> DataFrame:
-        rows = self.spark.read.parquet(self.data_path(key, tag)).where(F.col("rejected") == rejected)
-        return rows.drop("rejected", "batch")
+    def read_tag(
+        self, key: str, tag: str, rejected: bool = False, topic: str | None = None, schema: T.StructType | None = None
+    ) -> DataFrame:
+        """Rows of a tag. Only the folders asked for are listed."""
+        base = self.data_path(key, tag)
+        reader = self.spark.read.option("basePath", base)
+        if schema is not None:
+            reader = reader.schema(schema)
+        part = f"batch=*/rejected={str(rejected).lower()}/topic=" + ("*" if topic is None else folder_name(topic))
+        return reader.parquet(f"{base}/{part}").drop("rejected", "batch").withColumn("topic", F.col("topic").cast("string"))
 
     def pull_topic(self, sequence: str, topic: str, start_ns: int | None = None, end_ns: int | None = None) -> DataFrame:
         """Rows of one topic, optionally within the closed interval [start_ns, end_ns].
 
-        Topic and sequence select directories and row groups; the bounds are pushed into the scan.
+        The topic selects folders, sequence and bounds are pushed into the scan.
         """
         found = (
             self.topic_log()
             .where((F.col("sequence") == sequence) & (F.col("topic") == topic) & (F.col("status") == "uploaded"))
-            .select("key", "tag")
+            .select("key", "tag", "table_schema")
             .distinct()
             .collect()
         )
         if not found:
             raise LookupError(f"no such topic: {sequence.lstrip('/')}/{topic.lstrip('/')}")
-        parts = [self.read_tag(r["key"], r["tag"]).drop("_reason", "_payload") for r in found]
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part, allowMissingColumns=True)
-        rows = rows.where((F.col("topic") == topic) & (F.col("sequence") == sequence))
+        rows = None
+        for row in found:
+            part = self._pull(row["key"], row["tag"], topic, T.StructType.fromJson(json.loads(row["table_schema"])))
+            rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+        rows = rows.where(F.col("sequence") == sequence)
         if start_ns is not None:
             rows = rows.where(F.col("timestamp_ns") >= start_ns)
         if end_ns is not None:
             rows = rows.where(F.col("timestamp_ns") <= end_ns)
-        return rows.drop("topic", "sequence")
+        return rows.drop("sequence")
+
+    def _pull(self, key: str, tag: str, topic: str, schema: T.StructType) -> DataFrame:
+        stored = T.StructType([T.StructField("sequence", T.StringType()), *schema.fields])
+        try:
+            return self.read_tag(key, tag, topic=topic, schema=stored).select("sequence", *[f"`{n}`" for n in schema.names])
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return self.spark.createDataFrame([], stored)  # the topic has no rows
 
     def rejects(self, key: str, tag: str) -> DataFrame:
         return self.read_tag(key, tag, rejected=True).select(
@@ -209,6 +229,7 @@ class Upload:
         self.store, self.key = store, key
         self.finished: str | None = None
         self._open: tuple[str, str, str] | None = None
+        self._schemas: dict[str, str] = {}  # table schema by tag, as written
 
     def names(self) -> DataFrame:
         return self.store.states().where(F.col("key") == self.key).select("name")
@@ -257,6 +278,8 @@ class Upload:
             rows = rows.withColumn("payload", F.lit(None).cast("binary"))
         bad = F.col("reject_reason").isNotNull()
         kept = [c for c in rows.columns if c not in ("reject_reason", "payload", "log_time_ns", "channel_id")]
+        table = rows.select(*[f"`{c}`" for c in kept]).withMetadata("timestamp_ns", {"ontology_tag": tag})
+        self._schemas[tag] = table.drop("sequence", "topic").schema.json()
         (
             rows.select(
                 *[f"`{c}`" for c in kept],
@@ -272,38 +295,27 @@ class Upload:
             .parquet(f"{self.store.data_path(self.key, tag)}/batch={batch}")
         )
 
-    def _written(self, tag: str) -> DataFrame | None:
+    def _figures(self, tag: str) -> DataFrame | None:
+        narrow = T.StructType([T.StructField("sequence", T.StringType()), T.StructField("timestamp_ns", T.LongType())])
         try:
-            return self.store.read_tag(self.key, tag)
+            stored = self.store.read_tag(self.key, tag, schema=narrow)
         except AnalysisException as error:
-            if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+            if "PATH_NOT_FOUND" in str(error):
                 return None
             raise
+        return stored_figures(stored, ["sequence", "topic"], "timestamp_ns").withColumn("tag", F.lit(tag))
 
     def record(self, topics: DataFrame) -> None:
         """Log topics (sequence, topic, tag[, status]) with the figures of what was written for them."""
         if "status" not in topics.columns:
             topics = topics.withColumn("status", F.lit("uploaded"))
-        tags = [r["tag"] for r in topics.where("tag is not null").select("tag").distinct().collect()]
-        figures = None
-        for tag in tags:
-            written = self._written(tag)
-            if written is None:
-                continue
-            keys = ["sequence", "topic"]
-            part = (
-                written.groupBy(*keys)
-                .agg(F.count("*").alias("rows"), F.min("timestamp_ns").alias("ts_min"), F.max("timestamp_ns").alias("ts_max"))
-                .join(share_of_files(written, keys), keys)
-                .withColumn("tag", F.lit(tag))
-                .withColumn("table_schema", F.lit(written.drop("_reason", "_payload", "sequence", "topic").schema.json()))
-            )
-            figures = part if figures is None else figures.unionByName(part)
         log = topics.select("sequence", "topic", "tag", "status").distinct()
-        if figures is not None:
-            log = log.join(figures, ["sequence", "topic", "tag"], "left")
+        parts = [p for p in map(self._figures, self._schemas) if p is not None]
+        if parts:
+            log = log.join(reduce(DataFrame.unionByName, parts), ["sequence", "topic", "tag"], "left")
         else:
-            log = log.withColumns({c: F.lit(None) for c in ("rows", "ts_min", "ts_max", "bytes", "table_schema")})
+            log = log.withColumns({c: F.lit(None).cast("bigint") for c in ("rows", "ts_min", "ts_max", "bytes")})
+        schemas = [F.lit(x) for pair in self._schemas.items() for x in pair] or [F.lit(""), F.lit("")]
         self.store.append_topics(
             log.select(
                 F.lit(self.key).alias("key"),
@@ -311,11 +323,11 @@ class Upload:
                 "topic",
                 "tag",
                 "status",
-                F.col("table_schema").cast("string").alias("table_schema"),
+                F.try_element_at(F.create_map(*schemas), F.col("tag")).alias("table_schema"),
                 F.to_json(F.struct(F.col("tag").alias("ontology_tag"))).alias("properties"),
                 F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
-                F.col("ts_min").cast("bigint").alias("ts_min"),
-                F.col("ts_max").cast("bigint").alias("ts_max"),
+                "ts_min",
+                "ts_max",
                 F.coalesce(F.col("bytes"), F.lit(0)).cast("bigint").alias("bytes"),
             )
         )
@@ -398,6 +410,32 @@ def project_messages(messages: DataFrame, tag: str, encoding: str, registry=None
     return rows.withColumnRenamed("recording", "sequence")
 
 
+def for_each_way(spark: SparkSession, ways: list[tuple[str, str]], write, parallel: int) -> dict[tuple[str, str], str]:
+    """Run ``write(position, tag, encoding)`` for every way, a few at a time. Returns what failed, and why."""
+    failed: dict[tuple[str, str], str] = {}
+
+    def run(position: int, way: tuple[str, str]) -> None:
+        try:
+            write(position, *way)
+        except Exception as error:  # one broken tag does not hold up the others
+            failed[way] = str(error)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(run), i, way) for i, way in enumerate(ways)]
+        for job in jobs:
+            job.result()
+    return failed
+
+
+def outcomes(routes: DataFrame, failed) -> DataFrame:
+    """Routes with their final status: uploaded, skipped or failed."""
+    broken = F.lit(False)
+    for tag, encoding in failed:
+        broken = broken | ((F.col("tag") == tag) & (F.col("encoding") == encoding))
+    status = F.when((F.col("status") == "routed") & broken, "failed").when(F.col("status") == "routed", "uploaded")
+    return routes.withColumn("status", F.coalesce(status, F.col("status")))
+
+
 def publish(
     store: SequenceStore,
     messages: DataFrame,
@@ -418,27 +456,13 @@ def publish(
     router = Router(routes)
     names = channels.select(F.col("recording").alias("name")).distinct()
     with store.begin_upload(names) as upload:
-        failed: dict[tuple[str, str], Exception] = {}
-
-        def run(position: int, way: tuple[str, str]) -> None:
-            tag, encoding = way
-            try:
-                rows = project_messages(router.messages_of(messages, tag, encoding), tag, encoding, registry, decoders)
-                upload.write(rows, tag, batch=position)
-            except Exception as error:  # recorded per topic below
-                failed[way] = error
-
-        with ThreadPoolExecutor(parallel_tags) as pool:
-            jobs = [
-                pool.submit(inheritable_thread_target(store.spark)(run), i, way) for i, way in enumerate(router.ways())
-            ]
-            for job in jobs:
-                job.result()
-        broken = F.lit(False)
-        for tag, encoding in failed:
-            broken = broken | ((F.col("tag") == tag) & (F.col("encoding") == encoding))
-        status = F.when((F.col("status") == "routed") & broken, "failed").when(F.col("status") == "routed", "uploaded")
-        outcome = routes.withColumn("status", F.coalesce(status, F.col("status")))
+
+        def write(position: int, tag: str, encoding: str) -> None:
+            rows = project_messages(router.messages_of(messages, tag, encoding), tag, encoding, registry, decoders)
+            upload.write(rows, tag, batch=position)
+
+        failed = for_each_way(store.spark, router.ways(), write, parallel_tags)
+        outcome = outcomes(routes, failed)
         upload.record(outcome.select(F.col("recording").alias("sequence"), "topic", "tag", "status"))
         upload.finalize()
     counts = outcome.groupBy("status").agg(F.count("*").alias("topics"))

@@ -30,6 +30,15 @@ def read_channels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.CHANNELS).parquet(path)
 
 
+# Characters that are escaped in the name of a partition folder.
+_ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(32)}
+
+
+def folder_name(value: str) -> str:
+    """A partition value as it appears in its folder."""
+    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in value)
+
+
 def file_stem(file_name: Column) -> Column:
     """Name of a file without its last extension."""
     return F.when(file_name.rlike(r"^.+\.[^.]*$"), F.regexp_extract(file_name, r"^(.+)\.[^.]*$", 1)).otherwise(file_name)

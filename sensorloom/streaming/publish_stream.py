@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorloom import schemas as S
 from sensorloom.operators import decode, ontology, routing
-from sensorloom.plans.store import Router, SequenceStore, Upload, project_messages
+from sensorloom.plans.store import Router, SequenceStore, Upload, for_each_way, outcomes, project_messages
 
 
 def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -26,10 +26,11 @@ def message_stream(spark: SparkSession, path: str, files_per_batch: int | None =
 class StreamPublisher:
     """A running upload fed by a stream. ``finish`` publishes what arrived, ``interrupt`` drops it."""
 
-    def __init__(self, store: SequenceStore, channels: DataFrame, registry=None, tags=None, decoders=None):
+    def __init__(self, store: SequenceStore, channels: DataFrame, registry=None, tags=None, decoders=None, parallel_tags: int = 4):
         self.store = store
         self.registry = registry or ontology.default_registry()
         self.decoders = decoders
+        self.parallel_tags = parallel_tags
         tags = routing.tag_map(store.spark) if tags is None else tags
         known = sorted({*decode.DECODERS, *(decoders or {})})
         self.routes = routing.route(channels, tags, self.registry.tags(), known)
@@ -39,18 +40,16 @@ class StreamPublisher:
         self.query: StreamingQuery | None = None
 
     def _write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        ways = [way for way in self.router.ways() if way not in self.failed]
+        first = batch_id * len(self.router.ways())
         batch.persist(StorageLevel.MEMORY_AND_DISK)
+
+        def write(position: int, tag: str, encoding: str) -> None:
+            mine = self.router.messages_of(batch, tag, encoding)
+            self.upload.write(project_messages(mine, tag, encoding, self.registry, self.decoders), tag, first + position)
+
         try:
-            for position, (tag, encoding) in enumerate(self.router.ways()):
-                if (tag, encoding) in self.failed:
-                    continue
-                try:
-                    rows = project_messages(
-                        self.router.messages_of(batch, tag, encoding), tag, encoding, self.registry, self.decoders
-                    )
-                    self.upload.write(rows, tag, batch=batch_id * len(self.router.ways()) + position)
-                except Exception as error:  # the other topics go on
-                    self.failed[tag, encoding] = str(error)
+            self.failed |= for_each_way(batch.sparkSession, ways, write, self.parallel_tags)
         finally:
             batch.unpersist()
 
@@ -78,11 +77,7 @@ class StreamPublisher:
     def finish(self) -> DataFrame:
         """Wait for the stream, record the topics, publish. Returns the number of topics per status."""
         self.query.awaitTermination()
-        broken = F.lit(False)
-        for tag, encoding in self.failed:
-            broken = broken | ((F.col("tag") == tag) & (F.col("encoding") == encoding))
-        status = F.when((F.col("status") == "routed") & broken, "failed").when(F.col("status") == "routed", "uploaded")
-        outcome = self.routes.withColumn("status", F.coalesce(status, F.col("status")))
+        outcome = outcomes(self.routes, self.failed)
         self.upload.record(outcome.select(F.col("recording").alias("sequence"), "topic", "tag", "status"))
         self.upload.finalize()
         return outcome.groupBy("status").agg(F.count("*").alias("topics"))
