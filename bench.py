@@ -19,7 +19,7 @@ from sensorloom.operators import decode, index, infer  # noqa: E402
 from sensorloom.operators.ontology import project_json  # noqa: E402
 from sensorloom.plans import export, reports  # noqa: E402
 from sensorloom.plans.store import SequenceStore, publish  # noqa: E402
-from sensorloom.session import configure, scratch_dir  # noqa: E402
+from sensorloom.session import STATIC_CONF, configure, scratch_dir  # noqa: E402
 from sensorloom.sources.bridges import event_channels, event_messages  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -32,8 +32,11 @@ def drain(df) -> None:
 
 
 def main() -> None:
+    builder = SparkSession.builder
+    for key, value in STATIC_CONF.items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
+        builder.master(f"local[{CPUS}]")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.ui.enabled", "false")

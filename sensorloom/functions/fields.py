@@ -26,75 +26,60 @@ INT_RANGES = {
     "uint64": (0, 2**64 - 1, "decimal(20,0)"),
 }
 
-NUMBER_ARRAY = r"^\[[-+0-9.eE,]*\]$"
-
-
-def json_path(path: tuple[str, ...]) -> str:
-    """Keys to a variant path: (a, b) becomes $['a']['b']."""
-    return "$" + "".join("['" + part.replace("\\", "\\\\").replace("'", "\\'") + "']" for part in path)
-
 
 def ranged(value: Column, kind: str) -> Column:
     """An integer column narrowed to a width; null when outside of it."""
     low, high, spark_type = INT_RANGES[kind]
+    if kind == "int64":
+        return value.cast("bigint")
     bounds = [F.lit(str(b)).cast("decimal(20,0)" if kind == "uint64" else "bigint") for b in (low, high)]
     return F.when(value.between(*bounds), value).cast(spark_type)
 
 
-# ---------------------------------------------------------------- variant leaves
-
-def is_text(leaf: Column) -> Column:
-    return F.to_json(leaf).startswith('"')
-
-
-def variant_number(leaf: Column, spark_type: str = "double") -> Column:
-    """Any number or boolean as a float type, text and containers give null."""
-    return F.when(~is_text(leaf), F.try_variant_get(leaf, "$", spark_type))
-
-
-def variant_integer(leaf: Column) -> Column:
-    """An integer literal as bigint; 1.0 and true are not integers."""
-    return F.when(F.schema_of_variant(leaf) == "BIGINT", F.try_variant_get(leaf, "$", "bigint"))
-
-
-def variant_real(leaf: Column) -> Column:
-    """A literal with a fraction or exponent as double; 1 is not one."""
-    kind = F.schema_of_variant(leaf)
-    return F.when(
-        (kind == "DOUBLE") | kind.startswith("DECIMAL"), F.try_variant_get(leaf, "$", "double")
-    )
+# How a leaf of each kind is read from a variant {x}. Text is told by its quote, containers by their bracket;
+# 1 is an integer, 1.0 and true are not; an array counts only when all of its elements are of one kind.
+_TEXT = "startswith(to_json({x}), '\"')"
+_ALL_TEXT = "forall(try_variant_get({x}, '$', 'array<variant>'), e -> startswith(to_json(e), '\"'))"
+_NUMBERS = r"to_json({x}) RLIKE '^\\[[-+0-9.eE,]*\\]$'"
+_TEXTS = "(startswith(to_json({x}), '[\"') AND coalesce(" + _ALL_TEXT + ", false))"
+VARIANT_SQL = {
+    "num": "CASE WHEN NOT " + _TEXT + " THEN try_variant_get({x}, '$', 'double') END",
+    "integer": "CASE WHEN schema_of_variant({x}) = 'BIGINT' THEN try_variant_get({x}, '$', 'bigint') END",
+    "flag": "CASE WHEN to_json({x}) IN ('true', 'false') THEN try_variant_get({x}, '$', 'boolean') END",
+    "text": "CASE WHEN " + _TEXT + " THEN try_variant_get({x}, '$', 'string') END",
+    "nums": "CASE WHEN " + _NUMBERS + " THEN try_variant_get({x}, '$', 'array<double>') END",
+    "texts": "CASE WHEN " + _TEXTS + " THEN try_variant_get({x}, '$', 'array<string>') END",
+    # strings as they are, everything else as JSON text
+    "anytext": "CASE WHEN " + _TEXT + " THEN try_variant_get({x}, '$', 'string') "
+    "WHEN {x} IS NOT NULL AND NOT is_variant_null({x}) THEN to_json({x}) END",
+    "items": "try_variant_get({x}, '$', 'array<variant>')",
+    "has": "({x} IS NOT NULL AND NOT is_variant_null({x}))",
+    # an array whose first element is a number or text while a later one is of another kind
+    "mixed": r"coalesce((to_json({x}) RLIKE '^\\[[-0-9]' AND NOT " + _NUMBERS + ") "
+    "OR (startswith(to_json({x}), '[\"') AND NOT " + _TEXTS + "), false)",
+}
 
 
-def variant_text(leaf: Column) -> Column:
-    return F.when(is_text(leaf), F.try_variant_get(leaf, "$", "string"))
+def json_path(path: tuple[str, ...]) -> str:
+    """Keys to a variant path: (a, b) becomes $['a']['b']."""
+    return "$" + "".join("['" + part.replace("\\", "\\\\").replace("'", "\\'") + "']" for part in path)
 
 
-def variant_flag(leaf: Column) -> Column:
-    return F.when(
-        F.to_json(leaf).isin("true", "false"), F.try_variant_get(leaf, "$", "boolean")
-    )
+def variant_sql(kind: str, leaf: str) -> str:
+    return VARIANT_SQL[kind].replace("{x}", leaf)
 
 
-def variant_numbers(leaf: Column) -> Column:
-    """An array holding only numbers, or nothing at all, as array<double>."""
-    return F.when(F.to_json(leaf).rlike(NUMBER_ARRAY), F.try_variant_get(leaf, "$", "array<double>"))
+def text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def variant_texts(leaf: Column) -> Column:
-    """A non-empty array holding only strings as array<string>."""
-    items = F.try_variant_get(leaf, "$", "array<variant>")
-    return F.when(
-        F.to_json(leaf).startswith('["') & F.forall(items, lambda e: F.coalesce(is_text(e), F.lit(False))),
-        F.try_variant_get(leaf, "$", "array<string>"),
-    )
+def leaf_sql(body: str, path: tuple[str, ...]) -> str:
+    """The leaf at a path of a variant, as a variant."""
+    return f"try_variant_get({body}, {text_literal(json_path(path))}, 'variant')"
 
 
-def variant_mixed(leaf: Column) -> Column:
-    """True for an array whose first element is a number or text and a later one is of another kind."""
-    text = F.to_json(leaf)
-    numbers = text.rlike(r"^\[[-0-9]") & ~text.rlike(NUMBER_ARRAY)
-    texts = text.startswith('["') & variant_texts(leaf).isNull()
-    return F.coalesce(numbers | texts, F.lit(False))
+def is_text(leaf: Column) -> Column:
+    return F.to_json(leaf).startswith('"')
 
 
 class FieldProbe:

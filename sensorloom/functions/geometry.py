@@ -13,7 +13,7 @@ NANOS = 1_000_000_000
 
 
 def null_of(ddl: str) -> Column:
-    return F.lit(None).cast(ddl)
+    return F.expr(f"CAST(NULL AS {ddl})")
 
 
 # ---------------------------------------------------------------- times and header

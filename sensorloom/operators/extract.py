@@ -8,25 +8,13 @@ leaves are read with strict kinds and the reject reason is found. Both ways give
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.functions.fields import (
-    FieldProbe,
-    is_text,
-    json_path,
-    leaf_name,
-    variant_flag,
-    variant_integer,
-    variant_mixed,
-    variant_number,
-    variant_numbers,
-    variant_text,
-    variant_texts,
-)
+from sensorloom.functions.fields import FieldProbe, leaf_name, leaf_sql, variant_sql
 from sensorloom.operators.decode import BIG_NUMBER, END_MARK, json_reason, json_text, wrapped_body
 
 Path = tuple[str, ...]
@@ -47,26 +35,9 @@ _FAST_TYPES = {
 _KEY, _END = f"body-{END_MARK}", f"mark-{END_MARK}"
 
 
-def as_text(leaf: Column) -> Column:
-    """Strings as they are, everything else as JSON text."""
-    present = leaf.isNotNull() & ~F.is_variant_null(leaf)
-    return F.when(is_text(leaf), F.try_variant_get(leaf, "$", "string")).when(present, F.to_json(leaf))
-
-
-_GETTERS = {
-    "num": variant_number,
-    "integer": variant_integer,
-    "flag": variant_flag,
-    "text": variant_text,
-    "nums": variant_numbers,
-    "texts": variant_texts,
-    "anytext": as_text,
-    "items": lambda leaf: F.try_variant_get(leaf, "$", "array<variant>"),
-    "has": lambda leaf: F.coalesce(leaf.isNotNull() & ~F.is_variant_null(leaf), F.lit(False)),
-}
-
-
+@lru_cache(maxsize=1024)
 def wants_of(projection) -> Wants:
+    """Paths and kinds a projection reads."""
     probe = FieldProbe()
     projection(probe)
     return probe.wants
@@ -106,28 +77,40 @@ class _Plan:
         return struct(tree)
 
 
-def _fast_leaf(path: Path) -> Column:
-    return reduce(lambda c, part: c.getField(part), path, F.col("_parsed").getField(_KEY))
+def _fast_leaf(path: Path) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in ("_parsed", _KEY, *path))
 
 
-def _sound() -> Column:
-    """Rows where the fast parse is exact."""
-    parsed = F.col("_parsed")
-    whole = (
-        parsed.getField("_bad").isNull()
-        & parsed.getField(_KEY).isNotNull()
-        & (parsed.getField(_END) == END_MARK)
-    )
-    text = F.col("_text")
-    # integers that may overflow, null inside an array, text that reads as a special number
-    suspect = (
-        (text.contains("null") & text.rlike(r"[\[,]\s*null"))
-        | text.contains('NaN"')
-        | text.contains('INF"')
-        | text.contains('Infinity"')
-        | text.rlike(BIG_NUMBER)
-    )
-    return F.coalesce(whole & ~suspect, F.lit(False))
+# Rows where the fast parse is exact. Suspect are integers that may overflow, null inside an array, and text
+# that reads as a special number.
+_SOUND = f"""coalesce(
+    _parsed._bad IS NULL AND _parsed.`{_KEY}` IS NOT NULL AND _parsed.`{_END}` = '{END_MARK}'
+    AND NOT (contains(_text, 'null') AND _text RLIKE '[\\\\[,]\\\\s*null')
+    AND NOT (contains(_text, 'NaN"') OR contains(_text, 'INF"') OR contains(_text, 'Infinity"'))
+    AND NOT _text RLIKE '{BIG_NUMBER}', false)"""
+
+
+def _leaf_columns(plan: _Plan) -> tuple[list[str], str, str]:
+    """SQL of the leaf columns, and of the mixed-array tests on sound and on other rows."""
+    columns, mixed_fast, mixed_slow = [], ["false"], ["false"]
+    for path, kinds in plan.wants.items():
+        root = plan.root_of(path)
+        typed = not isinstance(plan.roots[root], T.VariantType)
+        fast, slow = _fast_leaf(root), leaf_sql("_body", path)
+        if path != root:
+            fast = leaf_sql(fast, path[len(root):])
+        for kind in sorted(kinds):
+            if not typed:
+                column = variant_sql(kind, f"CASE WHEN _sound THEN {fast} ELSE {slow} END")
+            else:
+                quick = f"{fast} IS NOT NULL" if kind == "has" else fast
+                column = f"CASE WHEN _sound THEN {quick} ELSE {variant_sql(kind, slow)} END"
+            columns.append(f"{column} AS `{leaf_name(kind, path)}`")
+        if kinds & {"nums", "texts", "anytext"}:
+            mixed_slow.append(variant_sql("mixed", slow))
+            if not typed:
+                mixed_fast.append(variant_sql("mixed", fast))
+    return columns, " OR ".join(mixed_fast), " OR ".join(mixed_slow)
 
 
 def extract(messages: DataFrame, wants: Wants) -> DataFrame:
@@ -140,48 +123,28 @@ def extract(messages: DataFrame, wants: Wants) -> DataFrame:
             T.StructField("_bad", T.StringType()),
         ]
     )
-    kept = [F.col(c) for c in messages.columns]
     text = json_text(F.col("payload"))
     framed = F.concat(F.lit(f'{{"{_KEY}":'), text, F.lit(f',"{_END}":"{END_MARK}"}}'))
     # The generator keeps later filters on the result from repeating the parse below it.
     parsed = messages.select(
-        *kept, F.inline(F.array(F.struct(text.alias("_text"), F.from_json(framed, schema, _STRICT).alias("_parsed"))))
+        "*", F.inline(F.array(F.struct(text.alias("_text"), F.from_json(framed, schema, _STRICT).alias("_parsed"))))
     )
-    checked = parsed.withColumn("_sound", _sound()).withColumn(
+    checked = parsed.withColumn("_sound", F.expr(_SOUND)).withColumn(
         "_body", F.when(~F.col("_sound"), wrapped_body(F.col("_text")))
     )
-    columns, mixed_fast, mixed_slow = [], [], []
-    for path, kinds in wants.items():
-        root = plan.root_of(path)
-        typed = None if isinstance(plan.roots[root], T.VariantType) else _fast_leaf(path)
-        fast = _fast_leaf(root)
-        if typed is None and path != root:
-            fast = F.try_variant_get(fast, json_path(path[len(root):]), "variant")
-        slow = F.try_variant_get(F.col("_body"), json_path(path), "variant")
-        for kind in sorted(kinds):
-            if typed is None:
-                column = _GETTERS[kind](F.when(F.col("_sound"), fast).otherwise(slow))
-            else:
-                quick = typed.isNotNull() if kind == "has" else typed
-                column = F.when(F.col("_sound"), quick).otherwise(_GETTERS[kind](slow))
-            columns.append(column.alias(leaf_name(kind, path)))
-        if kinds & {"nums", "texts", "anytext"}:
-            mixed_slow.append(variant_mixed(slow))
-            if typed is None:
-                mixed_fast.append(variant_mixed(fast))
-    any_of = lambda conditions: reduce(lambda a, b: a | b, conditions, F.lit(False))
-    reason = F.when(F.col("_sound"), F.when(any_of(mixed_fast), "mixed_array")).otherwise(
-        F.coalesce(json_reason(F.col("_body"), F.col("_text")), F.when(any_of(mixed_slow), "mixed_array"))
+    columns, mixed_fast, mixed_slow = _leaf_columns(plan)
+    reason = F.when(F.col("_sound"), F.when(F.expr(mixed_fast), "mixed_array")).otherwise(
+        F.coalesce(json_reason(F.col("_body"), F.col("_text")), F.when(F.expr(mixed_slow), "mixed_array"))
     )
-    return checked.select(*kept, *columns, reason.alias("reject_reason"))
+    return checked.select(*messages.columns, *[F.expr(column) for column in columns], reason.alias("reject_reason"))
 
 
-def extract_variant(elements: DataFrame, body: Column, wants: Wants, owner: str) -> DataFrame:
+def extract_variant(elements: DataFrame, body: str, wants: Wants, owner: str) -> DataFrame:
     """The same leaves from a variant column, as one struct named ``owner``, plus ``<owner>_mixed``."""
-    columns, mixed = [], F.lit(False)
+    columns, mixed = [], ["false"]
     for path, kinds in wants.items():
-        leaf = F.try_variant_get(body, json_path(path), "variant")
-        columns += [_GETTERS[kind](leaf).alias(leaf_name(kind, path)) for kind in sorted(kinds)]
-        if kinds & {"nums", "texts", "anytext"}:
-            mixed = mixed | variant_mixed(leaf)
-    return elements.select("*", F.struct(*columns).alias(owner), mixed.alias(f"{owner}_mixed"))
+        leaf = leaf_sql(body, path)
+        columns += [F.expr(variant_sql(kind, leaf)).alias(leaf_name(kind, path)) for kind in sorted(kinds)]
+        if kinds & {"nums", "texts"}:
+            mixed.append(variant_sql("mixed", leaf))
+    return elements.select("*", F.struct(*columns).alias(owner), F.expr(" OR ".join(mixed)).alias(f"{owner}_mixed"))

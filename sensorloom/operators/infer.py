@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.functions.fields import json_path, leaf_name, variant_mixed
+from sensorloom.functions.fields import leaf_name, leaf_sql, variant_sql
 from sensorloom.operators.decode import decode_json, good_rows
 from sensorloom.operators.extract import Path, Wants, extract
 
@@ -59,8 +59,8 @@ def _settle(decoded: DataFrame, paths: list[Path]) -> dict[Path, str]:
         return {}
     flags = []
     for i, path in enumerate(paths):
-        leaf = F.try_variant_get(F.col("body"), json_path(path), "variant")
-        sound, text = ~variant_mixed(leaf), F.to_json(leaf)
+        leaf = leaf_sql("body", path)
+        sound, text = ~F.expr(variant_sql("mixed", leaf)), F.to_json(F.expr(leaf))
         flags += [
             F.bool_or(sound & text.rlike(r"^\[[-0-9]")).alias(f"n{i}"),
             F.bool_or(sound & text.startswith('["')).alias(f"t{i}"),

@@ -18,7 +18,7 @@ from sensorloom import schemas as S
 from sensorloom.functions import geometry as G
 from sensorloom.functions.fields import INT_RANGES, ColumnFields, LeafFields, leaf_name
 from sensorloom.operators import infer
-from sensorloom.operators.extract import extract, extract_variant, wants_of
+from sensorloom.operators.extract import Wants, extract, extract_variant, wants_of
 from sensorloom.operators.flatten import flatten_structs
 
 Columns = dict[str, Column]
@@ -273,8 +273,8 @@ def nmea_sentence(fields) -> Columns:
 
 # ---------------------------------------------------------------- scalars
 
-def _scalar(read, default: Column) -> Projection:
-    return lambda fields: {"data": F.coalesce(read(fields), default), "header": G.header(fields)}
+def _scalar(read, default: str) -> Projection:
+    return lambda fields: {"data": F.coalesce(read(fields), F.expr(default)), "header": G.header(fields)}
 
 
 def _whole(kind: str) -> Projection:
@@ -316,36 +316,38 @@ class Registry:
         return sorted(self._projections)
 
 
+_PROJECTIONS: dict[str, Projection] = {
+    "vector3d": _axes("vector.", "xyz"),
+    "point3d": _axes("point.", "xyz"),
+    "quaternion": _axes("quaternion.", "xyzw"),
+    "pose": pose,
+    "velocity": _motion("twist"),
+    "acceleration": _motion("accel"),
+    "transform": transform,
+    "force_torque": force_torque,
+    "imu": imu,
+    "gps": gps,
+    "gps_status": gps_status,
+    "motion_state": motion_state,
+    "frame_transform": transform,
+    "image": image,
+    "compressed_image": compressed_image,
+    "camera_info": camera_info,
+    "battery_state": battery_state,
+    "robot_joint": robot_joint,
+    "nmea_sentence": nmea_sentence,
+    "roi": roi,
+    "string": _scalar(lambda f: f.text("data"), "''"),
+    "boolean": _scalar(lambda f: f.flag("data"), "false"),
+    **{tag: _whole(kind) for tag, kind in _INTEGER_TAGS.items()},
+    "floating32": _scalar(lambda f: f.num32("data"), "float(0)"),
+    "floating64": _scalar(lambda f: f.num("data"), "double(0)"),
+}
+
+
 def default_registry() -> Registry:
-    return Registry(
-        {
-            "vector3d": _axes("vector.", "xyz"),
-            "point3d": _axes("point.", "xyz"),
-            "quaternion": _axes("quaternion.", "xyzw"),
-            "pose": pose,
-            "velocity": _motion("twist"),
-            "acceleration": _motion("accel"),
-            "transform": transform,
-            "force_torque": force_torque,
-            "imu": imu,
-            "gps": gps,
-            "gps_status": gps_status,
-            "motion_state": motion_state,
-            "frame_transform": transform,
-            "image": image,
-            "compressed_image": compressed_image,
-            "camera_info": camera_info,
-            "battery_state": battery_state,
-            "robot_joint": robot_joint,
-            "nmea_sentence": nmea_sentence,
-            "roi": roi,
-            "string": _scalar(lambda f: f.text("data"), F.lit("")),
-            "boolean": _scalar(lambda f: f.flag("data"), F.lit(False)),
-            **{tag: _whole(kind) for tag, kind in _INTEGER_TAGS.items()},
-            "floating32": _scalar(lambda f: f.num32("data"), F.lit(0).cast("float")),
-            "floating64": _scalar(lambda f: f.num("data"), F.lit(0.0)),
-        }
-    )
+    """A registry of its own holding every tag but ``raw``, whose columns follow the data."""
+    return Registry(_PROJECTIONS)
 
 
 # ---------------------------------------------------------------- applying a projection
@@ -379,24 +381,25 @@ def project_json(messages: DataFrame, tag: str, registry: Registry | None = None
     if tag == "raw":
         return infer.raw_projection(messages)
     projection = _find(registry, tag)
-    read = lambda fields: (_times(fields), projection(fields))
+    wants = wants_of(_times) | wants_of(projection)
+    wants = {p: wants_of(_times).get(p, set()) | wants_of(projection).get(p, set()) for p in wants}
     if tag == "frame_transform":
-        return _project_elements(messages, read, keep)
-    leaves = extract(messages, wants_of(read))
+        return _project_elements(messages, projection, wants, keep)
+    leaves = extract(messages, wants)
     fields = LeafFields(F.col("log_time_ns"))
-    times, columns = read(fields)
+    times, columns = _times(fields), projection(fields)
     return _finish(leaves, times, columns, _reason(fields, F.col("reject_reason")), keep)
 
 
-def _project_elements(messages: DataFrame, read, keep: list[str]) -> DataFrame:
+def _project_elements(messages: DataFrame, projection: Projection, wants: Wants, keep: list[str]) -> DataFrame:
     """One row per element of ``transforms``; a message without elements is one row itself."""
-    wants = wants_of(read)
     leaves = extract(messages, {("transforms",): {"items"}} | wants)
     items = F.col(f"`{leaf_name('items', ('transforms',))}`")
     opened = leaves.select("*", F.explode_outer(F.when(F.size(items) > 0, items)).alias("_element"))
-    opened = extract_variant(opened, F.col("_element"), wants, "_leaves")
+    opened = extract_variant(opened, "_element", wants, "_leaves")
     own, message = LeafFields(owner="_leaves"), LeafFields(F.col("log_time_ns"))
-    (own_times, own_columns), (times, columns) = read(own), read(message)
+    own_times, own_columns = _times(own), projection(own)
+    times, columns = _times(message), projection(message)
     split = F.col("_element").isNotNull()
     zero = F.lit(0).cast("bigint")
     merged_times = {n: F.when(split, F.coalesce(F.nullif(own_times[n], zero), times[n])).otherwise(times[n]) for n in times}

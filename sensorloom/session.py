@@ -19,6 +19,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Worth setting when the session is built. Plans here have thousands of expressions, and
+# looking up the Python call site of each costs seconds.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators depend on (UTC, exact JSON keys of which the last duplicate wins, AQE)."""
