@@ -72,7 +72,7 @@ def main() -> None:
         "infer_and_project": lambda: drain(infer.channel_table(index.topic_scan(events, "/signup"))),
         "imu": lambda: drain(project_json(index.topic_scan(events, "/click"), "imu")),
         "frame_transform": lambda: drain(project_json(index.topic_scan(events, "/purchase"), "frame_transform")),
-        "publish_lines": lambda: publish(fresh(), lines, line_channels),
+        "publish_lines": lambda: publish(fresh(), lines, line_channels, by_topic=True),
         "publish_events": lambda: publish(fresh(), events, channels),
         "time_range_pull": lambda: drain(store.pull_topic("events", "/view", 1704412800 * 10**9, 1705708800 * 10**9)),
         "json_sink": lambda: drain(

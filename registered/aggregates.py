@@ -99,12 +99,14 @@ def a8(spark, sf_dir):
 
 @query(
     "a9_percent_done",
-    """SELECT o_orderkey, CAST(CASE WHEN o_custkey % 50 = 0 THEN 0 ELSE ROUND(LEAST(o_orderkey % 100 / (o_custkey % 50.0), 1.0) * 100) END AS INTEGER) AS percent
-       FROM orders""",
+    """SELECT o_orderkey, CAST(CASE WHEN o_custkey % 50 = 0 THEN 0 ELSE ROUND(LEAST(o_orderkey % 100 / (o_custkey % 50.0), 1.0) * 100) END AS INTEGER) AS percent,
+       CASE WHEN o_custkey % 50 > 0 THEN CAST(FLOOR(CAST(o_orderkey AS DOUBLE) / CAST(o_custkey % 50 AS DOUBLE)) AS BIGINT) ELSE 0 END AS rate FROM orders""",
 )
 def a9(spark, sf_dir):
     done, total = (c("o_orderkey") % 100).cast("double"), (c("o_custkey") % 50).cast("double")
-    return load(spark, sf_dir, "orders").select("o_orderkey", index.percent_done(done, total).alias("percent"))
+    return load(spark, sf_dir, "orders").select(
+        "o_orderkey", index.percent_done(done, total).alias("percent"), index.bytes_per_second(c("o_orderkey"), total).alias("rate")
+    )
 
 
 @query(

@@ -152,6 +152,38 @@ def l1(spark, sf_dir):
     return store.states().join(visible, "name", "left").select("name", "state", F.coalesce("visible", F.lit(0)).alias("visible"))
 
 
+@query(
+    "l2_create_topic",
+    """SELECT CASE WHEN o_orderkey % 2 = 0 THEN '/even' ELSE '/odd' END AS topic, 'order' AS tag, 'uploaded' AS status FROM orders GROUP BY 1""",
+)
+def l2(spark, sf_dir):
+    """Opening the second topic closes, and so logs, the first; the second is closed by the end of the upload."""
+    rows = load(spark, sf_dir, "orders").select(c("o_orderkey").alias("timestamp_ns"), "o_custkey")
+    store = SequenceStore(spark, scratch_dir(spark, "store"))
+    with store.begin_upload(["orders"]) as upload:
+        for topic, rest in (("/even", 0), ("/odd", 1)):
+            upload.create_topic("orders", topic, "order")
+            upload.put_batch(rows.where(c("timestamp_ns") % 2 == rest))
+        upload.finalize()
+    return store.topic_log().select("topic", "tag", "status")
+
+
+@query(
+    "l4_close_topic",
+    "SELECT COUNT(*) AS rows, MIN(o_orderkey) AS ts_min, MAX(o_orderkey) AS ts_max, TRUE AS has_bytes FROM orders",
+)
+def l4(spark, sf_dir):
+    """Closing a topic records its rows, range and size, before anything is visible."""
+    store = SequenceStore(spark, scratch_dir(spark, "store"))
+    upload = store.begin_upload(["orders"])
+    upload.create_topic("orders", "/all", "order")
+    upload.put_batch(load(spark, sf_dir, "orders").select(c("o_orderkey").alias("timestamp_ns"), "o_custkey"))
+    upload.close_topic()
+    upload.close_topic()
+    upload.finalize()
+    return store.topic_log().select("rows", "ts_min", "ts_max", (c("bytes") > 0).alias("has_bytes"))
+
+
 @query(
     "l3_put_batches",
     """SELECT CASE WHEN o_orderkey % 2 = 0 THEN '/even' ELSE '/odd' END AS topic, COUNT(*) AS rows, MIN(epoch_us(o_orderdate)) * 1000 AS min_ts_ns,

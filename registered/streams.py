@@ -81,3 +81,19 @@ def st5(spark, sf_dir):
     """One tag whose projection raises; the other topics are published."""
     registry = default_registry().add("floating64", lambda fields: {"data": F.raise_error(F.lit("broken projection"))})
     return stream_events(spark, sf_dir, registry)[2]
+
+
+@query("u3_row_consumer", "SELECT event_type, COUNT(*) AS rows FROM events GROUP BY 1")
+def u3(spark, sf_dir):
+    """A consumer of the caller, here one that appends each micro-batch to a table."""
+    folder, taken = scratch_dir(spark, "stream") + "/messages", scratch_dir(spark, "consumer") + "/rows"
+    event_messages(spark, sf_dir).repartition(4, "sequence").write.parquet(folder)
+
+    def consume(batch, batch_id):
+        batch.select(F.substr(c("topic"), F.lit(2)).alias("event_type")).write.mode("overwrite").parquet(f"{taken}/batch={batch_id}")
+
+    stream = message_stream(spark, folder, files_per_batch=2).writeStream.foreachBatch(consume).option(
+        "checkpointLocation", scratch_dir(spark, "checkpoint")
+    )
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(taken).groupBy("event_type").agg(F.count("*").alias("rows"))

@@ -53,7 +53,8 @@ VARIANT_SQL = {
     "anytext": "CASE WHEN " + _TEXT + " THEN try_variant_get({x}, '$', 'string') "
     "WHEN {x} IS NOT NULL AND NOT is_variant_null({x}) THEN to_json({x}) END",
     "items": "try_variant_get({x}, '$', 'array<variant>')",
-    "has": "({x} IS NOT NULL AND NOT is_variant_null({x}))",
+    # an object is not a field itself, its members are
+    "has": "({x} IS NOT NULL AND NOT is_variant_null({x}) AND NOT startswith(to_json({x}), '{'))",
     # an array whose first element is a number or text while a later one is of another kind
     "mixed": r"coalesce((to_json({x}) RLIKE '^\\[[-0-9]' AND NOT " + _NUMBERS + ") "
     "OR (startswith(to_json({x}), '[\"') AND NOT " + _TEXTS + "), false)",

@@ -70,3 +70,8 @@ def percent_done(done, total):
     """round(100 * done / total) within 0..100; 0 when the total is 0."""
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), done / total))
     return F.when(total > 0, F.round(share * 100)).otherwise(F.lit(0.0)).cast("int")
+
+
+def bytes_per_second(size, seconds):
+    """Whole bytes per second; 0 while the time is too short to tell."""
+    return F.when(seconds > 0.1, F.floor(size / seconds)).otherwise(F.lit(0)).cast("bigint")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.functions.fields import text_literal
+
 # Source types and their tags.
 _PLAIN = {
     "sensor_msgs": {
@@ -60,7 +62,9 @@ def spellings(package: str, name: str) -> tuple[str, str, str]:
 def tag_map(spark: SparkSession, extra: dict[str, str] | None = None) -> DataFrame:
     """(schema_name, tag): every source type in its three spellings; ``extra`` entries win."""
     mapping = {s: tag for key, tag in source_types().items() for s in spellings(*key)} | (extra or {})
-    return spark.createDataFrame(sorted(mapping.items()), "schema_name string, tag string")
+    # inline values: the optimizer knows how small they are
+    rows = ", ".join(f"({text_literal(name)}, {text_literal(tag)})" for name, tag in sorted(mapping.items()))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(schema_name, tag)")
 
 
 def with_mappings(base: DataFrame, user: DataFrame) -> DataFrame:

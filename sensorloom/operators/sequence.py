@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 
 from sensorloom.session import scratch_dir
 
-# A window sorts each group in one task; groups above this many rows are numbered by range instead.
+# A window sorts each group in one task; with a group above this many rows, rows are numbered by range.
 WINDOW_ROWS = 5_000_000
+# Rows per task when numbering by range.
+RANGE_ROWS = 1_000_000
 
 
 def number_rows(
     df: DataFrame, group: list[str], order: list[str], name: str = "sequence", window_rows: int = WINDOW_ROWS
 ) -> DataFrame:
     """``name`` counts the rows of each group from 0 in the given (total) order."""
-    largest = df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-    if largest <= window_rows:
+    sizes = df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"), F.sum("n").alias("all")).first()
+    if (sizes["largest"] or 0) <= window_rows:
         return number_by_window(df, group, order, name)
-    return number_by_range(df, group, order, name)
+    return number_by_range(df, group, order, name, 1 + sizes["all"] // RANGE_ROWS)
 
 
 def number_by_window(df: DataFrame, group: list[str], order: list[str], name: str = "sequence") -> DataFrame:
@@ -26,7 +28,9 @@ def number_by_window(df: DataFrame, group: list[str], order: list[str], name: st
     return df.withColumn(name, F.row_number().over(window).cast("bigint") - F.lit(1))
 
 
-def number_by_range(df: DataFrame, group: list[str], order: list[str], name: str = "sequence") -> DataFrame:
+def number_by_range(
+    df: DataFrame, group: list[str], order: list[str], name: str = "sequence", tasks: int | None = None
+) -> DataFrame:
     """The same numbers with a large group spread over many tasks.
 
     Rows are range partitioned by (group, order) and written once, with the position inside the sorted
@@ -35,7 +39,7 @@ def number_by_range(df: DataFrame, group: list[str], order: list[str], name: str
     """
     path = scratch_dir(df.sparkSession, "numbered")
     (
-        df.repartitionByRange(*group, *order)
+        df.repartitionByRange(*([] if tasks is None else [tasks]), *group, *order)
         .sortWithinPartitions(*group, *order)
         .withColumn("_position", F.monotonically_increasing_id())
         .write.mode("overwrite")

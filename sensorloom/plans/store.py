@@ -266,11 +266,12 @@ class Upload:
 
     # -------- many topics at once
 
-    def write(self, rows: DataFrame, tag: str, batch: int = 0) -> None:
+    def write(self, rows: DataFrame, tag: str, batch: int = 0, by_topic: bool = False) -> None:
         """Write one batch of a tag. Writing a batch again replaces it.
 
-        Rebalancing by topic gives files of even size: a topic with most of the rows is split over tasks,
-        small topics share one. Sorting lets a pull skip row groups by sequence and time.
+        Rows that do not come ``by_topic`` already are rebalanced: a topic with most of the rows is split over
+        tasks, small topics share one, and files get an even size. Sorting lets a pull skip row groups by
+        sequence and time.
         """
         if "reject_reason" not in rows.columns:
             rows = rows.withColumn("reject_reason", F.lit(None).cast("string"))
@@ -280,15 +281,14 @@ class Upload:
         kept = [c for c in rows.columns if c not in ("reject_reason", "payload", "log_time_ns", "channel_id")]
         table = rows.select(*[f"`{c}`" for c in kept]).withMetadata("timestamp_ns", {"ontology_tag": tag})
         self._schemas[tag] = table.drop("sequence", "topic").schema.json()
+        marked = rows.select(
+            *[f"`{c}`" for c in kept],
+            F.col("reject_reason").alias("_reason"),
+            F.when(bad, F.col("payload")).alias("_payload"),
+            bad.alias("rejected"),
+        ).withMetadata("timestamp_ns", {"ontology_tag": tag})
         (
-            rows.select(
-                *[f"`{c}`" for c in kept],
-                F.col("reject_reason").alias("_reason"),
-                F.when(bad, F.col("payload")).alias("_payload"),
-                bad.alias("rejected"),
-            )
-            .withMetadata("timestamp_ns", {"ontology_tag": tag})
-            .hint("rebalance", "topic")
+            (marked if by_topic else marked.hint("rebalance", "topic"))
             .sortWithinPartitions("rejected", "topic", "sequence", "timestamp_ns")
             .write.mode("overwrite")
             .partitionBy("rejected", "topic")
@@ -444,10 +444,12 @@ def publish(
     tags: DataFrame | None = None,
     decoders: dict | None = None,
     parallel_tags: int = 4,
+    by_topic: bool = False,
 ) -> tuple[str, DataFrame]:
     """Publish recordings as sequences: route, decode, project, write, finalize.
 
     One job per tag, a few at a time. A tag whose job fails is recorded as failed and the others go on.
+    Messages read from a table laid out ``by_topic`` (see ``write_messages``) are written without a shuffle.
     Returns the upload key and the number of topics per status.
     """
     registry = registry or ontology.default_registry()
@@ -459,7 +461,7 @@ def publish(
 
         def write(position: int, tag: str, encoding: str) -> None:
             rows = project_messages(router.messages_of(messages, tag, encoding), tag, encoding, registry, decoders)
-            upload.write(rows, tag, batch=position)
+            upload.write(rows, tag, position, by_topic)
 
         failed = for_each_way(store.spark, router.ways(), write, parallel_tags)
         outcome = outcomes(routes, failed)

@@ -121,7 +121,7 @@ leaf = st.one_of(
 def expected(v, kind):
     number = isinstance(v, (int, float)) and not isinstance(v, bool)
     if kind == "has":
-        return v is not None
+        return v is not None and not isinstance(v, dict)
     if kind == "num":
         return float(v) if number or isinstance(v, bool) else None
     if kind == "integer":

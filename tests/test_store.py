@@ -77,6 +77,15 @@ def test_many_topics_are_joined_instead_of_listed(store, traffic, channels, monk
     assert statuses(counts)["uploaded"] == 4 and store.pull_topic("a", "/value").count() == 9 and store.pull_topic("b", "/value").count() == 1
 
 
+def test_a_table_laid_out_by_topic_is_written_without_shuffle(store, traffic, channels, spark, tmp_path):
+    write_messages(traffic, str(tmp_path / "m"))
+    _, counts = publish(store, read_messages(spark, str(tmp_path / "m")), channels, by_topic=True)
+    assert statuses(counts)["uploaded"] == 4
+    assert {(r.sequence, r.topic): r.rows for r in store.list_topics().collect()} == {
+        ("a", "/value"): 9, ("a", "/odd one:1"): 2, ("a", "/silent"): 0, ("b", "/value"): 1,
+    }
+
+
 def test_router_joins_only_where_recordings_disagree(spark, channels):
     routes = routing.route(channels, routing.tag_map(spark), ontology.default_registry().tags(), ["json"])
     router = Router(routes)
