@@ -18,8 +18,9 @@ REJECTS = ["recording", "topic", "log_time_ns", "reason", "payload"]
 # String literals are cut out before integer literals are looked for.
 _STRING_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _FLAT_ARRAY = r"\[[^\[\]{}]*\]"
-BIG_NUMBER = "[0-9]{19}"
+BIG_NUMBER = "[0-9]{19}|[eE][+]?[0-9]{3}"
 END_MARK = "end-of-payload-7d1f0c52"
+_HUGE_NUMBER = r"[0-9]{309,}|-?[0-9]+(?:\.[0-9]+)?[eE]\+?[0-9]{3,}"
 _BIG_INTEGER = r"(?<![0-9.eE+\-])[0-9]{19,20}(?![0-9.eE])"
 
 
@@ -56,12 +57,19 @@ def wrapped_body(text: Column) -> Column:
 def json_reason(body: Column, text: Column) -> Column:
     """Why a JSON message is bad; null for a good one."""
     return (
-        F.when(body.isNull(), "parse_error")
+        F.when(body.isNull() | _too_large(text), "parse_error")
         .when(~text.rlike(r"^\s*\{"), "not_object")
         .when(_int_overflow(text), "int_overflow")
     )
 
 
+def _too_large(text: Column) -> Column:
+    """A number beyond the range of a double."""
+    found = F.regexp_extract_all(F.regexp_replace(text, _STRING_LITERAL, '""'), F.lit(_HUGE_NUMBER), F.lit(0))
+    infinite = F.exists(found, lambda t: F.abs(t.cast("double")) == float("inf"))
+    return F.when(text.rlike(BIG_NUMBER), infinite).otherwise(F.lit(False))
+
+
 def decode_json(messages: DataFrame) -> DataFrame:
     """Parse the whole payload into the variant column ``body``.
 

@@ -40,6 +40,9 @@ TOPIC_LOG = (
 _VERSION = {"open": 0, "finalized": 1, "deleted": 2}
 _SOURCE = '{"source":"sensorloom"}'
 
+# Row groups below the usual size let a pull skip more of a file.
+_ROW_GROUP = {"parquet.block.size": str(32 * 1024 * 1024)}
+
 # Topics up to this many are told apart by a filter on their names; above, by a join on the channels.
 LISTED_TOPICS = 2_000
 
@@ -142,10 +145,12 @@ class SequenceStore:
         """Rows of a tag. Only the folders asked for are listed."""
         base = self.data_path(key, tag)
         reader = self.spark.read.option("basePath", base)
-        if schema is not None:
-            reader = reader.schema(schema)
-        part = f"batch=*/rejected={str(rejected).lower()}/topic=" + ("*" if topic is None else folder_name(topic))
-        return reader.parquet(f"{base}/{part}").drop("rejected", "batch").withColumn("topic", F.col("topic").cast("string"))
+        folders = ["batch", "rejected", "topic"]
+        path = f"{base}/batch=*/rejected={str(rejected).lower()}/topic=" + ("*" if topic is None else folder_name(topic))
+        columns = [f for f in schema or reader.parquet(path).schema if f.name not in folders]
+        # folder values are text even where they look like numbers
+        texts = [T.StructField(name, T.StringType()) for name in folders]
+        return reader.schema(T.StructType(columns + texts)).parquet(path).drop("batch", "rejected")
 
     def pull_topic(self, sequence: str, topic: str, start_ns: int | None = None, end_ns: int | None = None) -> DataFrame:
         """Rows of one topic, optionally within the closed interval [start_ns, end_ns].
@@ -291,6 +296,7 @@ class Upload:
             (marked if by_topic else marked.hint("rebalance", "topic"))
             .sortWithinPartitions("rejected", "topic", "sequence", "timestamp_ns")
             .write.mode("overwrite")
+            .options(**_ROW_GROUP)
             .partitionBy("rejected", "topic")
             .parquet(f"{self.store.data_path(self.key, tag)}/batch={batch}")
         )

@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from sensorloom import schemas as S
 
 
+# Parsing costs far more than reading, and JSON compresses well: small row groups (compressed bytes) let several
+# tasks share a file of messages.
+_ROW_GROUP = {"parquet.block.size": str(8 * 1024 * 1024)}
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A stored message table. The schema is given: folder values are text even where they look like numbers."""
+    return spark.read.schema(S.MESSAGES).parquet(path)
 
 
 def write_messages(messages: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -21,6 +27,7 @@ def write_messages(messages: DataFrame, path: str, mode: str = "errorifexists")
         messages.hint("rebalance", "topic")
         .sortWithinPartitions("topic", "recording", "log_time_ns")
         .write.mode(mode)
+        .options(**_ROW_GROUP)
         .partitionBy("topic")
         .parquet(path)
     )

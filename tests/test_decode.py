@@ -49,7 +49,7 @@ def test_values(messages, payload, expected):
     [
         ("not json{", "parse_error"), ("[1,2,3]", "not_object"), ("5", "not_object"), ("", "parse_error"), ('{"a":1} x', "parse_error"),
         ('{"a":1},{"a":2}', "parse_error"), ('{"a":1}]', "parse_error"), ('{"a":NaN}', "parse_error"), (b'{"a":"\xff"}', "parse_error"),
-        ("{'a':1}", "parse_error"), ('{"a":12345678901234567890}', "int_overflow"), ('{"a":[1,"x"]}', "mixed_array"),
+        ("{'a':1}", "parse_error"), ('{"a":1e999}', "parse_error"), ('{"a":[-1.5E+400]}', "parse_error"), ('{"a":' + "9" * 400 + "}", "parse_error"), ('{"a":12345678901234567890}', "int_overflow"), ('{"a":[1,"x"]}', "mixed_array"),
         ('{"a":["x",1]}', "mixed_array"), ('{"a":[1,null]}', "mixed_array"), ('{"a":[1,true]}', "mixed_array"),
     ],
 )
@@ -61,7 +61,7 @@ def test_rejects(messages, payload, reason):
 
 @pytest.mark.parametrize(
     "payload", ['{"a":-12345678901234567890}', '{"a":12345678901234567890.5}', '{"a":"12345678901234567890"}', '{"a":18446744073709551616}',
-                '{"a":[12345678901234567890]}', '  {"a":1}  ', '{"a":1e3}', '{"b":"null , null [null","a":1}']
+                '{"a":[12345678901234567890]}', '  {"a":1}  ', '{"a":1e3}', '{"a":1e300,"b":"1e999"}', '{"a":1e-999}', '{"b":"null , null [null","a":1}']
 )
 def test_not_rejected(messages, payload):
     assert extract(messages(payload), {("a",): {"num"}}).first().reject_reason is None

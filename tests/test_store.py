@@ -199,6 +199,16 @@ def test_stream_equals_batch(spark, tmp_path, traffic, channels):
     assert again.sequence_names().count() == 0
 
 
+def test_topics_that_look_like_numbers(store, spark, messages, tmp_path):
+    traffic = messages('{"data":1}', topic="007", recording="n", channel_id=1)
+    channels = spark.createDataFrame([("n", 1, "007", "json", "std_msgs/Int8")], CHANNELS)
+    write_messages(traffic, str(tmp_path / "m"))
+    stored = read_messages(spark, str(tmp_path / "m"))
+    assert stored.first().topic == "007"
+    key, _ = publish(store, stored, channels)
+    assert store.pull_topic("n", "007").first().data == 1 and store.read_tag(key, "integer8").first().topic == "007"
+
+
 def test_a_repeated_batch_replaces_itself(store, spark):
     rows = spark.createDataFrame([("s", "/t", 1, 1.0)], "sequence string, topic string, timestamp_ns bigint, x double")
     with store.begin_upload(["s"]) as upload:
