@@ -114,8 +114,6 @@ def write_recording(path: str, recording: str, tables: dict[str, DataFrame]) ->
 
 def export_sequence(store: SequenceStore, sequence: str, out_dir: str, file_format: str = "parquet") -> list[str]:
     """One folder per topic; topics without rows are left out; nothing written is an error."""
-    if file_format == "mcap":
-        raise NotImplementedError("no writer for format 'mcap'")
     if file_format != "parquet":
         raise ValueError(f"unknown format {file_format!r}; valid: parquet")
     named = store.list_topics(sequence).select("topic", sanitize_name(F.col("topic")).alias("name"), "rows")

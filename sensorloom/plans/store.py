@@ -13,14 +13,16 @@ failed upload leaves nothing visible and no file is ever rewritten.
 from __future__ import annotations
 
 import json
+import logging
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +32,8 @@ from sensorloom.operators.flatten import flatten_structs
 from sensorloom.operators.index import stored_figures
 from sensorloom.sources.messages import folder_name
 
+_log = logging.getLogger(__name__)
+
 SEQUENCE_LOG = "name string, key string, state string, version int, user_metadata string, at_ns bigint"
 TOPIC_LOG = (
     "key string, sequence string, topic string, tag string, status string, table_schema string, "
@@ -152,10 +156,14 @@ class SequenceStore:
         texts = [T.StructField(name, T.StringType()) for name in folders]
         return reader.schema(T.StructType(columns + texts)).parquet(path).drop("batch", "rejected")
 
-    def pull_topic(self, sequence: str, topic: str, start_ns: int | None = None, end_ns: int | None = None) -> DataFrame:
+    def pull_topic(
+        self, sequence: str, topic: str, start_ns: int | None = None, end_ns: int | None = None,
+        observation: Observation | None = None,
+    ) -> DataFrame:
         """Rows of one topic, optionally within the closed interval [start_ns, end_ns].
 
-        The topic selects folders, sequence and bounds are pushed into the scan.
+        The topic selects folders, sequence and bounds are pushed into the scan. An ``observation`` counts the
+        rows as they are pulled.
         """
         found = (
             self.topic_log()
@@ -175,6 +183,8 @@ class SequenceStore:
             rows = rows.where(F.col("timestamp_ns") >= start_ns)
         if end_ns is not None:
             rows = rows.where(F.col("timestamp_ns") <= end_ns)
+        if observation is not None:
+            rows = rows.observe(observation, F.count("*").alias("rows"))
         return rows.drop("sequence")
 
     def _pull(self, key: str, tag: str, topic: str, schema: T.StructType) -> DataFrame:
@@ -219,6 +229,14 @@ class SequenceStore:
             self.append_states(self.spark.createDataFrame([(name,)], "name string"), row["key"], "deleted")
 
 
+def _metrics(seen: Observation) -> dict:
+    """Observed metrics. A plan found empty at run time reports none, on which ``get`` fails."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def sequence_ranges(topics: DataFrame, keys: list[str]) -> DataFrame:
     """Time range over topics. A minimum of 0 means unset and is never taken."""
     return topics.groupBy(*keys).agg(
@@ -235,6 +253,8 @@ class Upload:
         self.finished: str | None = None
         self._open: tuple[str, str, str] | None = None
         self._schemas: dict[str, str] = {}  # table schema by tag, as written
+        self.failed: dict[tuple[str, str], str] = {}  # why a (tag, encoding) failed
+        self.progress: dict[str, tuple[int, int, int]] = {}  # good rows, rejects, payload bytes of good rows, by tag
 
     def names(self) -> DataFrame:
         return self.store.states().where(F.col("key") == self.key).select("name")
@@ -286,7 +306,13 @@ class Upload:
         kept = [c for c in rows.columns if c not in ("reject_reason", "payload", "log_time_ns", "channel_id")]
         table = rows.select(*[f"`{c}`" for c in kept]).withMetadata("timestamp_ns", {"ontology_tag": tag})
         self._schemas[tag] = table.drop("sequence", "topic").schema.json()
-        marked = rows.select(
+        seen = Observation()
+        marked = rows.observe(
+            seen,
+            F.count(F.when(~bad, 1)).alias("rows"),
+            F.count(F.when(bad, 1)).alias("rejects"),
+            F.sum(F.when(~bad, F.length("payload")).cast("bigint")).alias("bytes"),
+        ).select(
             *[f"`{c}`" for c in kept],
             F.col("reject_reason").alias("_reason"),
             F.when(bad, F.col("payload")).alias("_payload"),
@@ -300,6 +326,9 @@ class Upload:
             .partitionBy("rejected", "topic")
             .parquet(f"{self.store.data_path(self.key, tag)}/batch={batch}")
         )
+        counted = _metrics(seen)
+        done = self.progress.get(tag, (0, 0, 0))
+        self.progress[tag] = tuple(d + (counted.get(n) or 0) for d, n in zip(done, ("rows", "rejects", "bytes")))
 
     def _figures(self, tag: str) -> DataFrame | None:
         narrow = T.StructType([T.StructField("sequence", T.StringType()), T.StructField("timestamp_ns", T.LongType())])
@@ -425,6 +454,7 @@ def for_each_way(spark: SparkSession, ways: list[tuple[str, str]], write, parall
             write(position, *way)
         except Exception as error:  # one broken tag does not hold up the others
             failed[way] = str(error)
+            _log.warning("tag %s (%s) failed: %s", *way, error)
 
     with ThreadPoolExecutor(parallel) as pool:
         jobs = [pool.submit(inheritable_thread_target(spark)(run), i, way) for i, way in enumerate(ways)]
@@ -469,7 +499,7 @@ def publish(
             rows = project_messages(router.messages_of(messages, tag, encoding), tag, encoding, registry, decoders)
             upload.write(rows, tag, position, by_topic)
 
-        failed = for_each_way(store.spark, router.ways(), write, parallel_tags)
+        failed = upload.failed = for_each_way(store.spark, router.ways(), write, parallel_tags)
         outcome = outcomes(routes, failed)
         upload.record(outcome.select(F.col("recording").alias("sequence"), "topic", "tag", "status"))
         upload.finalize()

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sensorloom import schemas as S
 from sensorloom.operators.flatten import flatten_structs
 from sensorloom.operators.ontology import default_registry, project_flat, project_json
 from sensorloom.operators.routing import source_types, spellings, tag_map, with_mappings
@@ -175,3 +176,25 @@ def test_tag_map(spark):
     user = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("std_msgs/Bool", "z", 0)], "schema_name string, tag string, priority int")
     merged = {r.schema_name: r.tag for r in with_mappings(tag_map(spark), user).collect()}
     assert (merged["a"], merged["std_msgs/Bool"], len(merged)) == ("y", "z", 136)
+
+
+TYPED = {
+    "pose": {"position": S.POINT3, "orientation": S.QUAT, "header": S.HEADER, "covariance": "array<double>", "covariance_type": "smallint"},
+    "velocity": {"linear": S.VEC3, "angular": S.VEC3}, "transform": {"translation": S.VEC3, "rotation": S.QUAT, "target_frame_id": "string"},
+    "imu": {"acceleration": S.VEC3, "angular_velocity": S.VEC3, "orientation": S.QUAT, "header": S.HEADER},
+    "gps": {"position": S.POINT3, "velocity": S.VEC3, "status": S.GPS_STATUS, "header": S.HEADER},
+    "motion_state": {"pose": S.POSE, "velocity": S.VELOCITY, "target_frame_id": "string", "acceleration": S.ACCEL},
+    "image": {"data": "binary", "format": "string", "width": "int", "height": "int", "stride": "int", "encoding": "string", "is_bigendian": "boolean"},
+    "camera_info": {"height": "bigint", "distortion_parameters": "array<double>", "binning": S.VEC2, "roi": S.ROI},
+    "battery_state": {"voltage": "float", "power_supply_status": "smallint", "cell_voltage": "array<float>"},
+    "robot_joint": {"names": "array<string>", "efforts": "array<double>"}, "roi": {"offset": S.VEC2, "height": "bigint", "do_rectify": "boolean"},
+    "gps_status": {"status": "tinyint", "service": "int", "satellites": "tinyint", "hdop": "double"},
+    "unsigned64": {"data": "decimal(20,0)"}, "unsigned8": {"data": "smallint"}, "floating32": {"data": "float"},
+}
+
+
+@pytest.mark.parametrize("tag", TYPED)
+def test_column_types(messages, tag):
+    types = dict(project_json(messages("{}"), tag).dtypes)
+    assert {n: types[n] for n in TYPED[tag]} == TYPED[tag]
+    assert types["timestamp_ns"] == types["recording_timestamp_ns"] == "bigint"

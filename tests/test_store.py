@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sensorloom.operators import ontology, routing
@@ -56,6 +57,8 @@ def test_publish_and_read(store, traffic, channels):
     assert [r.data for r in store.pull_topic("a", "/odd one:1").orderBy("timestamp_ns").collect()] == ["x", ""]
     silent = store.pull_topic("a", "/silent")
     assert silent.count() == 0 and dict(silent.dtypes)["data"] == "tinyint"
+    seen = Observation("pulled")
+    assert len(store.pull_topic("a", "/value", observation=seen).collect()) == seen.get["rows"] == 9
     bounded = store.pull_topic("a", "/value", 2 * 10**9, 4 * 10**9)
     assert [r.timestamp_ns for r in bounded.orderBy("timestamp_ns").collect()] == [2 * 10**9, 3 * 10**9, 4 * 10**9]
     assert "PushedFilters: [IsNotNull(sequence), IsNotNull(timestamp_ns)" in bounded._jdf.queryExecution().toString()
@@ -134,9 +137,8 @@ def test_export(store, traffic, channels, spark, tmp_path):
     publish(store, traffic, channels)
     written = export.export_sequence(store, "a", str(tmp_path / "out"))
     assert [w.rsplit("/", 1)[1] for w in written] == ["odd one:1", "value"] and spark.read.parquet(written[1]).count() == 9
-    for name, error in (("mcap", NotImplementedError), ("csv", ValueError)):
-        with pytest.raises(error):
-            export.export_sequence(store, "a", str(tmp_path / "other"), name)
+    with pytest.raises(ValueError):
+        export.export_sequence(store, "a", str(tmp_path / "other"), "csv")
     store.begin_upload(["empty"]).finalize()
     with pytest.raises(LookupError):
         export.export_sequence(store, "empty", str(tmp_path / "none"))
@@ -188,6 +190,9 @@ def test_stream_equals_batch(spark, tmp_path, traffic, channels):
     publisher.start(message_stream(spark, source, files_per_batch=2), str(tmp_path / "c"))
     assert statuses(publisher.finish()) == {"uploaded": 4, "skipped": 1, "failed": 1}
     assert publisher.progress()[0] == traffic.count()
+    assert {tag: done[:2] for tag, done in publisher.upload.progress.items()} == {
+        "floating64": (9, 1), "integer32": (1, 1), "integer8": (0, 0), "string": (2, 0)
+    }
     publish(batch, traffic, channels)
     for sequence, topic in (("a", "/value"), ("a", "/odd one:1"), ("b", "/value")):
         rows = lambda s: sorted(map(str, s.pull_topic(sequence, topic).collect()))
@@ -214,6 +219,7 @@ def test_a_repeated_batch_replaces_itself(store, spark):
     with store.begin_upload(["s"]) as upload:
         for _ in range(2):
             upload.write(rows, "custom", batch=7)
+        assert upload.progress == {"custom": (2, 0, 0)}
         upload.record(spark.createDataFrame([("s", "/t", "custom")], "sequence string, topic string, tag string"))
         upload.finalize()
     assert store.pull_topic("s", "/t").count() == 1
