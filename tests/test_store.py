@@ -190,9 +190,6 @@ def test_stream_equals_batch(spark, tmp_path, traffic, channels):
     publisher.start(message_stream(spark, source, files_per_batch=2), str(tmp_path / "c"))
     assert statuses(publisher.finish()) == {"uploaded": 4, "skipped": 1, "failed": 1}
     assert publisher.progress()[0] == traffic.count()
-    assert {tag: done[:2] for tag, done in publisher.upload.progress.items()} == {
-        "floating64": (9, 1), "integer32": (1, 1), "integer8": (0, 0), "string": (2, 0)
-    }
     publish(batch, traffic, channels)
     for sequence, topic in (("a", "/value"), ("a", "/odd one:1"), ("b", "/value")):
         rows = lambda s: sorted(map(str, s.pull_topic(sequence, topic).collect()))
@@ -219,7 +216,6 @@ def test_a_repeated_batch_replaces_itself(store, spark):
     with store.begin_upload(["s"]) as upload:
         for _ in range(2):
             upload.write(rows, "custom", batch=7)
-        assert upload.progress == {"custom": (2, 0, 0)}
         upload.record(spark.createDataFrame([("s", "/t", "custom")], "sequence string, topic string, tag string"))
         upload.finalize()
     assert store.pull_topic("s", "/t").count() == 1
