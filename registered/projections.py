@@ -10,7 +10,7 @@ from sensorloom.operators.decode import good_rows
 from sensorloom.operators.flatten import flatten_structs
 from sensorloom.operators.index import topic_scan
 from sensorloom.operators.ontology import project_flat, project_json
-from sensorloom.sources.bridges import event_messages, json_of, load, micros_to_ns, talk_messages
+from sensorloom.sources.bridges import event_messages, json_of, load, talk_messages
 
 c = F.col
 
