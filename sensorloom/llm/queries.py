@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm.common import table
+from sensorloom.llm.decontaminate import contamination
 from sensorloom.llm.fingerprints import fingerprints
+from sensorloom.llm.mixing import mixed
+from sensorloom.llm.near_dedup import STRICT, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,3 +27,20 @@ def query(name: str):
 @query("op1_order_minhash")
 def order_minhash_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op4_min_max_hash")
+def near_duplicates_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), STRICT)
+
+
+@query("op5_string_tiling")
+def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it covers; clean documents have none."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_pfair_mix")
+def mix_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in a mix of all sources in equal parts."""
+    return mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
