@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorloom.llm.common import table
+from sensorloom.llm.common import crc_bucket, table
 from sensorloom.llm.decontaminate import contamination
 from sensorloom.llm.fingerprints import fingerprints
 from sensorloom.llm.mixing import mixed
 from sensorloom.llm.near_dedup import STRICT, near_duplicates
+from sensorloom.llm.suffixes import repeated_passages
+from sensorloom.llm.toxicity import learn, toxicity
+from sensorloom.llm.url_rules import ListRule, judged
+from sensorloom.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,3 +49,48 @@ def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in a mix of all sources in equal parts."""
     return mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+@query("op3_toxic_lexicon")
+def toxicity_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(crc_bucket("doc_id", 4) != 2)
+    scored = toxicity(docs.select("doc_id", "text"), learn(docs, labels), ["doc_id"])
+    return scored.select(
+        "doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    )
+
+
+@query("op6_warc_salvage")
+def pages_through_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op6_warc_salvage"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN g.first <> page_id AND payload_bytes >= 1000 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.first <> page_id AND payload_bytes >= 1000 THEN g.first END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)"""
+
+#: The list rules of the query's contract.
+URL_RULES = [
+    ListRule("allow", "com", "/"),
+    ListRule("block", "example.com", "/en/"),
+    ListRule("allow", "www.example.com", "/en/"),
+    ListRule("block", "net", "/es/"),
+    ListRule("block", "net", "/fr/"),
+]
+
+
+@query("op7_url_rules")
+def judged_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op9_sparse_suffixes")
+def repeated_passages_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document that shares a passage with another; clean documents have none."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
