@@ -18,18 +18,20 @@ from pyspark.sql.window import Window
 
 #: Words in a k-mer, and slots of a fingerprint.
 K, SLOTS = 3, 64
+#: Ranges (20 bytes each) whose first rows are found by a broadcast; beyond, by a shuffle.
+SENT_RANGES = 1_000_000
 _SPACE = " \t\n\x0b\f\r"
 # a packed k-mer: 33 bits of its hash above 30 bits of its position
 _POSITION_BITS = 30
 
 
 def _ranges(docs: DataFrame, key: str, text: str) -> list:
-    """Bounds that cut the ids into ranges of about equal numbers of rows, a quarter of a shuffle partition each.
+    """Bounds that cut the ids into ranges of about equal numbers of rows, half a shuffle partition each.
 
-    One number a range comes to the driver: 100 TB in partitions of 256 MB are 1.6 million."""
+    One number a range comes to the driver: 100 TB in partitions of 256 MB are 800,000."""
     size = docs.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
     unit = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}[(size.lower().rstrip("b") or "b")[-1:] if size[-1:].isalpha() else "b"]
-    range_bytes = max(1 << 20, int("".join(c for c in size if c.isdigit())) * unit // 4)
+    range_bytes = max(1 << 20, int("".join(c for c in size if c.isdigit())) * unit // 2)
     stats = docs.agg(
         F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 16).alias("bytes"), F.count(key).alias("ids")
     ).first()
@@ -75,14 +77,16 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     guests = [(heads[i]["part"], *heads[(i + 1) % len(heads)]["head"]) for i in range(len(heads))]
     if not guests:
         return rows.select("part", F.lit(1).alias("place"), "id", "text", F.lit("").alias("next_text"), F.lit(False).alias("guest"))
-    # one row a range, from the aggregate above: small whatever the texts are
+    # one row a range, from the aggregate above: small whatever the texts are, and sent to all tasks only up to a size
     ids = docs.sparkSession.createDataFrame(guests, "to_part int, head_id long, head_tie long")
-    copies = (
-        rows.join(ids, F.col("id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie")))
-        .select("id", "text", F.col("to_part").alias("part"), "tie")
-        .dropDuplicates(["part"])
-    )
-    both = rows.withColumn("guest", F.lit(False)).unionByName(copies.withColumn("guest", F.lit(True)))
+    if len(guests) <= SENT_RANGES:
+        ids = F.broadcast(ids)
+    same = F.col("id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie"))
+    spots = F.array(F.struct("part", F.lit(False).alias("guest")), F.struct(F.col("to_part").alias("part"), F.lit(True).alias("guest")))
+    spots = F.when(F.col("to_part").isNull(), F.slice(spots, 1, 1)).otherwise(spots)
+    both = rows.join(ids, same, "left").select("id", "text", "tie", F.inline(spots))
+    # as many partitions as ranges: what a task sorts stays in memory
+    both = both.repartition(len(guests), "part")
     order = Window.partitionBy("part").orderBy("guest", "id", "tie")
     return both.select(
         "part",
@@ -158,10 +162,11 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
         "part", "place", F.col("id").alias(key), F.char_length("text").cast("bigint").alias("n_chars"), F.sha2(changed.cast("binary"), 256).alias("edited_sha256")
     )
     sides = rows.select("part", "place", F.posexplode(F.array("text", changed)).alias("side", "t"))
-    marks = order_minhash(sides, ["part", "place", "side"], "t", k, slots)
-    both = marks.groupBy("part", "place").agg(
-        F.first(F.when(F.col("side") == 0, F.col("tokens")), True).alias("own"),
-        F.first(F.when(F.col("side") == 1, F.col("tokens")), True).alias("changed"),
+    sides = sides.select("part", (F.col("place") * 2 + F.col("side")).alias("spot"), "t")
+    marks = order_minhash(sides, ["part", "spot"], "t", k, slots)
+    both = marks.groupBy("part", F.shiftright("spot", 1).alias("place")).agg(
+        F.first(F.when(F.col("spot") % 2 == 0, F.col("tokens")), True).alias("own"),
+        F.first(F.when(F.col("spot") % 2 == 1, F.col("tokens")), True).alias("changed"),
     )
     empty = F.array().cast("array<bigint>")
     places = rows.select("part", "place")
