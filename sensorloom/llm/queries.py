@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from sensorloom.llm.common import crc_bucket, table
 from sensorloom.llm.decontaminate import contamination
 from sensorloom.llm.fingerprints import fingerprints
+from sensorloom.llm.hmm import score, train
 from sensorloom.llm.mixing import mixed
 from sensorloom.llm.near_dedup import STRICT, near_duplicates
+from sensorloom.llm.pages import extracted
 from sensorloom.llm.suffixes import repeated_passages
 from sensorloom.llm.toxicity import learn, toxicity
 from sensorloom.llm.url_rules import ListRule, judged
@@ -94,3 +96,18 @@ def judged_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_passages_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document that shares a passage with another; clean documents have none."""
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op2_host_suffix_array")
+def main_text_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
+@query("op8_hidden_markov")
+def likelihood_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_bucket("doc_id", 10) == 0
+    model, counts = train(docs.filter(~held_out))
+    scored = score(docs, model, counts).withColumnRenamed("id", "doc_id")
+    tokens = F.lit(model.vocabulary.tokens).cast("bigint").alias("train_tokens")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", tokens, "base_score", "score")
