@@ -12,6 +12,8 @@ exchange of the texts.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,9 +31,9 @@ def _ranges(docs: DataFrame, key: str, text: str) -> list:
     """Bounds that cut the ids into ranges of about equal numbers of rows, half a shuffle partition each.
 
     One number a range comes to the driver: 100 TB in partitions of 256 MB are 800,000."""
-    size = docs.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-    unit = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}[(size.lower().rstrip("b") or "b")[-1:] if size[-1:].isalpha() else "b"]
-    range_bytes = max(1 << 20, int("".join(c for c in size if c.isdigit())) * unit // 2)
+    size = docs.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", size.strip().lower()).groups()
+    range_bytes = max(1 << 20, (int(number) << 10 * " kmgt".index(unit or " ")) // 2)
     stats = docs.agg(
         F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") + 16).alias("bytes"), F.count(key).alias("ids")
     ).first()
