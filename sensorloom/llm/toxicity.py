@@ -9,6 +9,7 @@ phrase does not count. The score is a logistic function of the weight found and
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,9 +33,9 @@ SAMPLE = 20_000
 #: Phrases in which a word of the lexicon is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "class clown", "pond scum", "circus clown")
 #: Lengths of word beginnings that may enter the lexicon, and entries of the lexicon at most.
-STEMS, ENTRIES = (4, 5, 6), 20_000
+STEMS, ENTRIES = (4, 5, 6, 7, 8), 20_000
 #: Evidence that an entry needs: likelihood ratio statistic, and toxic documents that hold it.
-EVIDENCE, SUPPORT = 20.0, 3
+EVIDENCE, SUPPORT = 15.0, 3
 
 
 def folded(text: str) -> str:
@@ -49,7 +50,7 @@ def folded(text: str) -> str:
     words = []
     for word in text.split():
         if not word.isalpha():
-            word = word.strip(_MARKS)
+            word = _ENDS.sub("", word)
             if not word.isalpha() and any(map(str.isalpha, word)):
                 word = word.translate(_SIGNS)
                 word = "".join(filter(str.isalpha, word)) if not word.isalpha() and "-" not in word else word
@@ -59,7 +60,8 @@ def folded(text: str) -> str:
 
 _LETTERS = {**{ord(k): v for k, v in HOMOGLYPHS.items()}, **dict.fromkeys(map(ord, "​‌‍⁠﻿­"), None)}
 _SIGNS = {ord(k): v for k, v in DIGITS.items()}
-_MARKS = ".,;:?!\"'()[]{}<>|*_~`“”‘’«»…-"
+# marks around a word; a sign that may stand for a first letter stays
+_ENDS = re.compile(r"^(?:(?![@$])[\W_])+|[\W_]+$")
 
 
 @dataclass
