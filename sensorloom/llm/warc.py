@@ -114,6 +114,8 @@ def _record(content: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int, str
         if not colon:
             return [], at, "bad header line"
         header[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
+    if "warc-type" not in header or "warc-record-id" not in header:
+        return [], at, "header fields are missing"
     length = header.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         return [], at, "no content length"
