@@ -9,7 +9,7 @@ from registered.registry import EV, GOOD_EVENT, query
 from registered.sources import talk_store
 from sensorloom.operators import decode, index, infer, routing
 from sensorloom.operators.ontology import default_registry
-from sensorloom.operators.sequence import number_by_range, number_rows
+from sensorloom.operators.sequence import number_rows
 from sensorloom.plans.reports import global_range
 from sensorloom.plans.store import sequence_ranges
 from sensorloom.sources.bridges import (
@@ -141,8 +141,8 @@ def w1(spark, sf_dir):
 
 @query("w1_sequence_numbers_by_range", _NUMBERED)
 def w1_range(spark, sf_dir):
-    """The way large topics are numbered, here forced for all."""
-    return number_by_range(_plain_lines(spark, sf_dir), ["channel_id"], ["log_time_ns", "id"])
+    """A given number of ranges."""
+    return number_rows(_plain_lines(spark, sf_dir), ["channel_id"], ["log_time_ns", "id"], tasks=7)
 
 
 @query(

@@ -352,12 +352,13 @@ def d22(spark, sf_dir):
 
 @query(
     "d23_sample_before_decode",
-    f"WITH {EV} SELECT ns AS timestamp_ns, value FROM ev",
+    f"WITH {EV} SELECT ns AS timestamp_ns, value, CASE WHEN event_id >= 5000 THEN user_id END AS late FROM ev",
 )
 def d23(spark, sf_dir):
-    """Field types from the first 100 messages, then all rows with those fields."""
-    table = infer.channel_table(event_json(spark, sf_dir, json_of(value=c("value"))), sample_rows=100)
-    return decode.good_rows(table)
+    """Fields that first appear in later rows are found as well: every row is asked for its fields."""
+    late = F.when(c("event_id") >= 5000, c("user_id"))
+    table = infer.channel_table(event_json(spark, sf_dir, json_of(value=c("value"), late=late)))
+    return decode.good_rows(table).select("timestamp_ns", "value", "late")
 
 
 # ---------------------------------------------------------------- scans

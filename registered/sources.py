@@ -9,7 +9,7 @@ from sensorloom.operators import index, infer
 from sensorloom.operators.decode import good_rows
 from sensorloom.operators.definitions import json_schema
 from sensorloom.plans import export
-from sensorloom.plans.store import SequenceStore, publish
+from sensorloom.plans.store import NO_CHANNEL, SequenceStore, publish
 from sensorloom.session import scratch_dir
 from sensorloom.sources import messages as M
 from sensorloom.sources.bridges import (
@@ -218,6 +218,22 @@ def s12(spark, sf_dir):
     return event_store(spark, sf_dir)[2]
 
 
+@query(
+    "s12_publish_stray",
+    f"""WITH {EV} SELECT 'no_channel' AS reason, '/' || event_type AS topic, ns AS log_time_ns FROM ev WHERE event_type IN ('click', 'error')""",
+)
+def s12_stray(spark, sf_dir):
+    """Two channels are missing: their messages are kept as rejects."""
+
+    def make():
+        store = SequenceStore(spark, scratch_dir(spark, "store"))
+        channels = event_channels(spark, sf_dir).where("topic not in ('/click', '/error')")
+        return store, publish(store, event_messages(spark, sf_dir), channels)[0]
+
+    store, key = _once(spark, "stray", sf_dir, make)
+    return store.rejects(key, NO_CHANNEL).select("reason", "topic", "log_time_ns")
+
+
 @query(
     "s13_sequence_naming",
     """SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'given ' || page_id ELSE

@@ -52,24 +52,49 @@ def st2(spark, sf_dir):
     return store.list_topics("events").select("topic", "rows")
 
 
+@query(
+    "st1_restart",
+    f"""WITH {EV} SELECT ns AS timestamp_ns, value AS acceleration_x FROM ev WHERE event_type = 'click'""",
+)
+def st1_restart(spark, sf_dir):
+    """Half of the files, then a new publisher on the same upload and checkpoint for the rest."""
+
+    def make():
+        folder, checkpoint = scratch_dir(spark, "stream") + "/messages", scratch_dir(spark, "checkpoint")
+        store, channels, messages = SequenceStore(spark, scratch_dir(spark, "store")), event_channels(spark, sf_dir), event_messages(spark, sf_dir)
+        messages.where("sequence % 2 = 0").write.parquet(folder)
+        before = StreamPublisher(store, channels)
+        before.start(message_stream(spark, folder), checkpoint).awaitTermination()
+        messages.where("sequence % 2 = 1").write.mode("append").parquet(folder)
+        after = StreamPublisher.resume(store, before.upload.key, channels)
+        after.start(message_stream(spark, folder), checkpoint)
+        after.finish()
+        return store
+
+    store = _once(spark, "restarted", sf_dir, make)
+    return store.pull_topic("events", "/click").select("timestamp_ns", c("acceleration.x").alias("acceleration_x"))
+
+
 @query("st3_progress", "SELECT COUNT(*) AS rows, TRUE AS has_bytes FROM events")
 def st3(spark, sf_dir):
-    """Rows and bytes the running query reported."""
-    _, publisher, _ = streamed(spark, sf_dir)
-    rows, size = publisher.progress()
-    return spark.createDataFrame([(rows, size > 0)], "rows bigint, has_bytes boolean")
+    """Rows and bytes of all batches, of which there are more than a query's own report keeps."""
+    store, publisher, _ = streamed(spark, sf_dir)
+    return store.batches(publisher.upload.key).agg(F.sum("rows").alias("rows"), (F.sum("bytes") > 0).alias("has_bytes"))
 
 
-@query("st4_interrupt", "SELECT 'events' AS name, 'deleted' AS state FROM (SELECT COUNT(*) FROM events)")
+@query("st4_interrupt", "SELECT 'events' AS name, 'deleted' AS state, CAST(0 AS BIGINT) AS topics, COUNT(*) AS rows FROM events")
 def st4(spark, sf_dir):
-    """A stopped stream leaves no sequence behind."""
+    """A stream that is interrupted after its batches were written leaves no sequence behind."""
     folder = scratch_dir(spark, "stream") + "/messages"
     event_messages(spark, sf_dir).write.parquet(folder)
     store = SequenceStore(spark, scratch_dir(spark, "store"))
     publisher = StreamPublisher(store, event_channels(spark, sf_dir))
     publisher.start(message_stream(spark, folder), scratch_dir(spark, "checkpoint"), processingTime="1 second")
+    publisher.query.processAllAvailable()
     publisher.interrupt()
-    return store.states().select("name", "state")
+    written = store.batches(publisher.upload.key).agg(F.sum("rows").alias("rows"))
+    topics = store.list_topics().agg(F.count("*").alias("topics"))
+    return store.states().select("name", "state").crossJoin(topics).crossJoin(written)
 
 
 @query(

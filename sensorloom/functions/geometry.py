@@ -19,10 +19,15 @@ def null_of(ddl: str) -> Column:
 # ---------------------------------------------------------------- times and header
 
 def event_time(fields) -> Column:
-    """Header stamp in ns when both parts exist, else log time, else 0."""
+    """Header stamp in ns when both parts exist, else log time, else 0.
+
+    A stamp beyond bigint in ns (seconds given in ms or ns) marks its row ``out_of_range``.
+    """
     sec = fields.integer("header.stamp.sec", "int64")
     nanosec = fields.integer("header.stamp.nanosec", "int64")
-    return F.coalesce(sec * F.lit(NANOS) + nanosec, fields.log_time, F.lit(0).cast("bigint"))
+    stamp = F.try_add(F.try_multiply(sec, F.lit(NANOS)), nanosec)
+    fields.checks.append((sec.isNotNull() & nanosec.isNotNull() & stamp.isNull(), "out_of_range"))
+    return F.coalesce(stamp, fields.log_time, F.lit(0).cast("bigint"))
 
 
 def ingest_time(fields) -> Column:

@@ -18,7 +18,8 @@ REJECTS = ["recording", "topic", "log_time_ns", "reason", "payload"]
 # String literals are cut out before integer literals are looked for.
 _STRING_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _FLAT_ARRAY = r"\[[^\[\]{}]*\]"
-BIG_NUMBER = "[0-9]{19}|[eE][+]?[0-9]{3}"
+# integers above 2^63-1 (19 digits from 92... on, or more), and large exponents; times in ns are below
+BIG_NUMBER = "9[2-9][0-9]{17}|[0-9]{20}|[eE][+]?[0-9]{3}"
 END_MARK = "end-of-payload-7d1f0c52"
 _HUGE_NUMBER = r"[0-9]{309,}|-?[0-9]+(?:\.[0-9]+)?[eE]\+?[0-9]{3,}"
 _BIG_INTEGER = r"(?<![0-9.eE+\-])[0-9]{19,20}(?![0-9.eE])"

@@ -61,7 +61,7 @@ def definition_blocks(definitions: DataFrame) -> DataFrame:
     lines = block.select("definition", "schema_name", "block_no", F.split(body, "\n").alias("lines"))
     head = _trim(F.col("lines")[0])
     name = F.when(F.col("block_no") == 0, F.col("schema_name")).when(
-        head.startswith("MSG: "), _trim(F.substring(head, 6, 1 << 30))
+        head.startswith("MSG: "), _trim(F.substr(head, F.lit(6)))
     )
     named = lines.withColumn("block", name).where(F.col("block").isNotNull())
     return named.groupBy("definition", "schema_name", "block", (F.col("block_no") > 0).alias("later")).agg(
@@ -158,32 +158,35 @@ def _primitive(base: Column) -> Column:
     return F.try_element_at(names, base)
 
 
-def _nesting_depth(fields: DataFrame) -> int:
-    """Levels of nesting below the main block.
+def _nesting(fields: DataFrame) -> tuple[int, DataFrame]:
+    """Levels of nesting below the main block, and the definitions that nest into themselves.
 
-    What a definition nests is a small graph of block names; it is followed level by level. A graph with
-    more levels than blocks nests into itself.
+    What a definition nests is a small graph of block names; it is followed level by level from every block. A block
+    that is reached from itself ends its definition, which takes no part in later levels.
     """
     edges = fields.where("resolved is not null").select("definition", F.col("block").alias("above"), F.col("resolved").alias("below")).distinct()
-    most = edges.groupBy("definition").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    reached, depth = edges, 0
+    reached, depth = written(edges, "levels"), 0
+    cyclic = reached.where("false").select("definition")
     while not reached.isEmpty():
         depth += 1
-        if depth > most:
-            raise ValueError("a definition nests into itself")
+        cyclic = cyclic.unionByName(reached.where("above = below").select("definition").distinct())
         step = edges.withColumnsRenamed({"above": "at", "below": "next"})
-        reached = (
-            reached.withColumnRenamed("below", "at")
+        open_ = reached.join(cyclic.distinct(), "definition", "left_anti")
+        reached = written(
+            open_.withColumnRenamed("below", "at")
             .join(step, ["definition", "at"])
-            .select("definition", F.col("next").alias("below"))
-            .distinct()
+            .select("definition", "above", F.col("next").alias("below"))
+            .distinct(),
+            "levels",
         )
-    return depth
+    return depth, cyclic.distinct()
 
 
 def field_types(channels: DataFrame) -> DataFrame:
     """``field_catalog`` with the Spark type of each field; an unresolved nested type is binary.
 
+    In a definition that nests into itself, nested fields have no type (null).
+
     The parsed fields and blocks are written once, then types are filled in from the innermost blocks
     outwards, one join per level of nesting.
     """
@@ -197,7 +200,8 @@ def field_types(channels: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("ordinal", "field", "type"))),
         lambda m: F.concat(F.lit("`"), m["field"], F.lit("`:"), m["type"]),
     )
-    for _ in range(_nesting_depth(fields)):
+    depth, cyclic = _nesting(fields)
+    for _ in range(depth):
         filled = typed.where("block_no > 0").groupBy("definition", "block").agg(F.array_join(members, ",").alias("members"))
         known = blocks.join(filled, ["definition", "block"], "left").select(
             "definition",
@@ -207,7 +211,10 @@ def field_types(channels: DataFrame) -> DataFrame:
         typed = fields.join(known, ["definition", "resolved"], "left").withColumn(
             "type", _ddl(F.coalesce(primitive, "struct", F.lit("binary")))
         ).drop("struct")
-    return typed
+    endless = cyclic.select("definition", F.lit(True).alias("cyclic"))
+    typed = typed.join(endless, "definition", "left")
+    known = F.when(F.col("cyclic").isNull() | F.col("resolved").isNull(), F.col("type"))
+    return typed.withColumn("type", known).drop("cyclic")
 
 
 def declared_schema(channels: DataFrame) -> DataFrame:
@@ -220,12 +227,13 @@ def declared_schema(channels: DataFrame) -> DataFrame:
 
 
 def declared_ddl(channels: DataFrame) -> DataFrame:
-    """One DDL text per schema."""
+    """One DDL text per schema; null for a definition that nests into itself."""
     members = F.transform(
         F.sort_array(F.collect_list(F.struct("ordinal", "field", "type"))),
         lambda m: F.concat(F.lit("`"), m["field"], F.lit("` "), m["type"]),
     )
-    return declared_schema(channels).groupBy("schema_name", "definition").agg(F.array_join(members, ", ").alias("ddl"))
+    ddl = F.when(~F.bool_or(F.col("type").isNull()), F.array_join(members, ", "))
+    return declared_schema(channels).groupBy("schema_name", "definition").agg(ddl.alias("ddl"))
 
 
 def json_schema(columns: DataFrame) -> DataFrame:
@@ -235,8 +243,11 @@ def json_schema(columns: DataFrame) -> DataFrame:
     """
     number = r"^(tinyint|smallint|int|bigint|float|double|decimal.*)$"
     kind = F.when(F.col("type").rlike(number), "number").when(F.col("type") == "boolean", "boolean").otherwise("string")
+    # a column listed twice with types that differ is text
+    kinds = columns.groupBy("table", "column").agg(F.min(kind).alias("a"), F.max(kind).alias("b"))
+    kind = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise("string")
     entry = F.when(F.col("column") != "timestamp_ns", F.struct("column", F.struct(kind.alias("type"))))
-    listed = columns.groupBy("table").agg(
+    listed = kinds.groupBy("table").agg(
         F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("properties")
     )
     return listed.select(

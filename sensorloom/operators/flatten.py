@@ -1,7 +1,8 @@
 """Flattening of struct-typed sources to dot-path columns.
 
 Types follow the flat field model: numeric and boolean arrays become array<double>, maps become arrays
-of {key, value}, arrays of structs keep their elements (flattened), binary stays binary.
+of {key, value}, arrays of structs keep their elements (flattened), binary stays binary. Arrays of binary become
+texts, in which malformed bytes turn into the replacement character.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def _shape(column: Column, data_type: T.DataType) -> Column:
         if isinstance(element, (T.NumericType, T.BooleanType)):
             return column.cast("array<double>")
         if isinstance(element, T.BinaryType):
-            return F.transform(column, lambda b: F.decode(b, "UTF-8"))
+            return F.transform(column, lambda b: F.make_valid_utf8(b.cast("string")))
         if isinstance(element, T.StructType):
             return F.transform(column, lambda e: _flat_struct(element, e))
     return column

@@ -1,7 +1,8 @@
 """Tables from JSON topics whose fields are not known beforehand.
 
 Two passes over one topic: an aggregate that merges the shape of all bodies, then a select built from it.
-Only the merged shape (one string) reaches the driver.
+Only the merged shape (one string) reaches the driver; it names every field, so bodies whose keys are ids
+should be pulled with a fixed projection instead.
 """
 
 from __future__ import annotations
@@ -77,11 +78,9 @@ def _settle(decoded: DataFrame, paths: list[Path]) -> dict[Path, str]:
     return kinds
 
 
-def topic_kinds(messages: DataFrame, sample_rows: int | None = None) -> dict[Path, str]:
-    """Every field of a topic and how to read it, sorted by name: the first pass."""
+def topic_kinds(messages: DataFrame) -> dict[Path, str]:
+    """Every field of a topic and how to read it, sorted by name: the first pass, over all rows."""
     decoded = good_rows(decode_json(messages))
-    if sample_rows is not None:
-        decoded = decoded.orderBy("log_time_ns", "sequence").limit(sample_rows)
     shape = decoded.agg(F.schema_of_variant_agg("body").alias("shape")).first()["shape"]
     if not shape.startswith("OBJECT<") or shape == "OBJECT<>":
         return {}
@@ -100,12 +99,12 @@ def _wants(kinds: dict[Path, str]) -> Wants:
     return {path: {kind} for path, kind in kinds.items()}
 
 
-def channel_table(messages: DataFrame, time_name: str = "timestamp_ns", sample_rows: int | None = None) -> DataFrame:
+def channel_table(messages: DataFrame, time_name: str = "timestamp_ns") -> DataFrame:
     """One topic as a table: the log time first, then the union of all keys sorted by name.
 
     ``reject_reason`` stays with the rows.
     """
-    kinds = topic_kinds(messages, sample_rows)
+    kinds = topic_kinds(messages)
     leaves = extract(messages, _wants(kinds))
     return leaves.select(
         F.col("log_time_ns").alias(time_name),

@@ -404,7 +404,8 @@ def _project_elements(messages: DataFrame, projection: Projection, wants: Wants,
     zero = F.lit(0).cast("bigint")
     merged_times = {n: F.when(split, F.coalesce(F.nullif(own_times[n], zero), times[n])).otherwise(times[n]) for n in times}
     merged = {n: F.when(split, own_columns[n]).otherwise(columns[n]) for n in columns}
-    reason = F.coalesce(F.col("reject_reason"), F.when(split & F.col("_leaves_mixed"), "mixed_array"))
+    own_reason = F.when(split, F.coalesce(F.when(F.col("_leaves_mixed"), "mixed_array"), _reason(own, None)))
+    reason = F.coalesce(_reason(message, F.col("reject_reason")), own_reason)
     return _finish(opened, merged_times, merged, reason, keep)
 
 
@@ -446,7 +447,8 @@ def _project_flat_elements(flat: DataFrame, projection: Projection, keep: list[s
     times = {
         n: F.coalesce(F.nullif(F.when(is_element, v), zero), _times(base)[n]) for n, v in _times(inner).items()
     }
-    return _finish(opened, times, columns, _reason(inner, _earlier(flat)), keep)
+    checked = F.coalesce(_reason(base, _earlier(flat)), F.when(is_element, _reason(inner, None)))
+    return _finish(opened, times, columns, checked, keep)
 
 
 def _descend(column: Column, name: str, data_type: T.DataType) -> Column:

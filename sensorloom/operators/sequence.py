@@ -7,35 +7,13 @@ from pyspark.sql import functions as F
 
 from sensorloom.session import scratch_dir
 
-# A window sorts each group in one task; with a group above this many rows, rows are numbered by range.
-WINDOW_ROWS = 5_000_000
-# Rows per task when numbering by range.
-RANGE_ROWS = 1_000_000
 
+def number_rows(df: DataFrame, group: list[str], order: list[str], name: str = "sequence", tasks: int | None = None) -> DataFrame:
+    """``name`` counts the rows of each group from 0 in the given (total) order.
 
-def number_rows(
-    df: DataFrame, group: list[str], order: list[str], name: str = "sequence", window_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """``name`` counts the rows of each group from 0 in the given (total) order."""
-    sizes = df.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"), F.sum("n").alias("all")).first()
-    if (sizes["largest"] or 0) <= window_rows:
-        return number_by_window(df, group, order, name)
-    return number_by_range(df, group, order, name, 1 + sizes["all"] // RANGE_ROWS)
-
-
-def number_by_window(df: DataFrame, group: list[str], order: list[str], name: str = "sequence") -> DataFrame:
-    window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window).cast("bigint") - F.lit(1))
-
-
-def number_by_range(
-    df: DataFrame, group: list[str], order: list[str], name: str = "sequence", tasks: int | None = None
-) -> DataFrame:
-    """The same numbers with a large group spread over many tasks.
-
-    Rows are range partitioned by (group, order) and written once, with the position inside the sorted
-    partition. The written table fixes the ranges, so the counts taken from it fit the rows even when tasks
-    are run again. What is joined back is one row per (partition, group).
+    Rows are range partitioned by (group, order), so that a large group is spread over many tasks, and written
+    once with their position inside the sorted partition. The written table fixes the ranges: the counts taken
+    from it fit the rows even when tasks are run again. What is joined back is one row per (partition, group).
     """
     path = scratch_dir(df.sparkSession, "numbered")
     (

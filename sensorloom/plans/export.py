@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from sensorloom.functions.text import sanitize_name
 from sensorloom.operators.definitions import json_schema
-from sensorloom.operators.sequence import WINDOW_ROWS, number_rows
+from sensorloom.operators.sequence import number_rows
 from sensorloom.plans.store import SequenceStore
 from sensorloom.sources.messages import folder_name
 
@@ -24,15 +24,33 @@ def log_time(df: DataFrame) -> Column:
 
 
 def cell_to_json(column: Column, data_type: T.DataType) -> Column:
-    """A cell as it enters the body: floats widen, numbers JSON cannot hold and bytes become null."""
+    """A cell as it enters the body: floats widen, numbers JSON cannot hold and bytes become null, at any depth."""
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         wide = column.cast("double")
         return F.when(~F.isnan(wide) & (F.abs(wide) != float("inf")), wide)
     if isinstance(data_type, T.BinaryType):
         return F.lit(None).cast("string")
+    if isinstance(data_type, T.StructType) and _needs_care(data_type):
+        cells = [cell_to_json(column.getField(f.name), f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(column.isNotNull(), F.struct(*cells))
+    if isinstance(data_type, T.ArrayType) and _needs_care(data_type):
+        return F.transform(column, lambda e: cell_to_json(e, data_type.elementType))
+    if isinstance(data_type, T.MapType) and _needs_care(data_type.valueType):
+        return F.transform_values(column, lambda _, v: cell_to_json(v, data_type.valueType))
     return column
 
 
+def _needs_care(data_type: T.DataType) -> bool:
+    """Whether a float or bytes stand anywhere inside."""
+    if isinstance(data_type, T.StructType):
+        return any(_needs_care(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _needs_care(data_type.elementType)
+    if isinstance(data_type, T.MapType):
+        return _needs_care(data_type.valueType)
+    return isinstance(data_type, (T.FloatType, T.DoubleType, T.BinaryType))
+
+
 def scalar_to_json(column: Column, data_type: T.DataType) -> Column:
     """As ``cell_to_json`` with every non-scalar null."""
     if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType)):
@@ -51,7 +69,7 @@ def json_body(df: DataFrame, leave_out: list[str], cell=cell_to_json) -> Column:
 
 def to_messages(
     rows: DataFrame, recording: str | Column, topic: str | Column, order: list[str] | None = None, cell=cell_to_json,
-    leave_out: list[str] | None = None, window_rows: int = WINDOW_ROWS,
+    leave_out: list[str] | None = None,
 ) -> DataFrame:
     """Rows of one or many topics as JSON messages with a sequence number per topic.
 
@@ -66,7 +84,7 @@ def to_messages(
         *[F.col(c) for c in order or []],
         json_body(rows, hidden, cell).alias("body"),
     )
-    numbered = number_rows(messages, ["recording", "topic"], ["log_time_ns", *(order or []), "body"], "sequence", window_rows)
+    numbered = number_rows(messages, ["recording", "topic"], ["log_time_ns", *(order or []), "body"], "sequence")
     return numbered.select(
         "recording",
         "topic",
@@ -113,17 +131,24 @@ def write_recording(path: str, recording: str, tables: dict[str, DataFrame]) ->
 
 
 def export_sequence(store: SequenceStore, sequence: str, out_dir: str, file_format: str = "parquet") -> list[str]:
-    """One folder per topic; topics without rows are left out; nothing written is an error."""
+    """One folder per topic; topics without rows are left out; nothing written is an error.
+
+    Topics whose names give the same folder are refused before anything is written.
+    """
     if file_format != "parquet":
         raise ValueError(f"unknown format {file_format!r}; valid: parquet")
     named = store.list_topics(sequence).select("topic", sanitize_name(F.col("topic")).alias("name"), "rows")
+    topics = named.where("rows > 0").orderBy("topic").collect()
+    folders: dict[str, str] = {}
+    for topic in topics:
+        other = folders.setdefault(topic["name"], topic["topic"])
+        if other != topic["topic"]:
+            raise ValueError(f"{other!r} and {topic['topic']!r} would share the folder {topic['name']!r}")
     written = []
-    for topic in named.orderBy("topic").collect():
-        if topic["rows"] == 0:
-            continue
+    for topic in topics:
         path = f"{out_dir}/{topic['name']}"
         store.pull_topic(sequence, topic["topic"]).write.mode("errorifexists").parquet(path)
         written.append(path)
     if not written:
-        raise LookupError(f"no topics were written for {sequence!r}")
+        raise LookupError(f"{sequence!r} has no topic with rows")
     return written

@@ -3,11 +3,13 @@
 Layout under ``root``::
 
     data/<key>/<tag>/batch=<n>/rejected=<bool>/topic=<topic>/*.parquet
+    log/batches     (key, batch, rows, bytes, ...)  one row per micro-batch of a stream
     log/sequences   (name, key, state, version, ...)    one row per state change
     log/topics      (key, sequence, topic, tag, ...)    one row per topic when its upload closes
 
 An upload has a key. Readers see the rows of a key only after its ``finalized`` row is in the log, so a
-failed upload leaves nothing visible and no file is ever rewritten.
+failed upload leaves nothing visible and no file is ever rewritten. A sequence has one writer at a time: taking a
+name is a look and then an append, so two uploads that open the same new name at once both succeed.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ TOPIC_LOG = (
     "properties string, rows bigint, ts_min bigint, ts_max bigint, bytes bigint"
 )
 
+BATCH_LOG = "key string, batch bigint, rows bigint, bytes bigint, failed string, schemas string"
+
 # Order of the states of an upload, and the metadata of one made here.
 _VERSION = {"open": 0, "finalized": 1, "deleted": 2}
 _SOURCE = '{"source":"sensorloom"}'
@@ -46,8 +50,8 @@ _SOURCE = '{"source":"sensorloom"}'
 # Row groups below the usual size let a pull skip more of a file.
 _ROW_GROUP = {"parquet.block.size": str(32 * 1024 * 1024)}
 
-# Topics up to this many are told apart by a filter on their names; above, by a join on the channels.
-LISTED_TOPICS = 2_000
+# Where messages without a channel are kept, as rejects with this reason.
+NO_CHANNEL = "no_channel"
 
 
 class SequenceStore:
@@ -105,8 +109,9 @@ class SequenceStore:
 
     def list_sequences(self) -> DataFrame:
         """Name, time range, user metadata and size of every finalized sequence."""
-        ranges = sequence_ranges(self.topic_log().where("rows > 0"), ["key", "sequence"])
-        sizes = self.topic_log().groupBy("key", "sequence").agg(F.sum("bytes").alias("total_size_bytes"))
+        log = self.topic_log().where("status = 'uploaded'")
+        ranges = sequence_ranges(log.where("rows > 0"), ["key", "sequence"])
+        sizes = log.groupBy("key", "sequence").agg(F.sum("bytes").alias("total_size_bytes"))
         return (
             self.visible()
             .withColumnRenamed("name", "sequence")
@@ -153,7 +158,9 @@ class SequenceStore:
         columns = [f for f in schema or reader.parquet(path).schema if f.name not in folders]
         # folder values are text even where they look like numbers
         texts = [T.StructField(name, T.StringType()) for name in folders]
-        return reader.schema(T.StructType(columns + texts)).parquet(path).drop("batch", "rejected")
+        rows = reader.schema(T.StructType(columns + texts)).parquet(path).drop("batch", "rejected")
+        # a null folder value is the empty name
+        return rows.withColumn("topic", F.coalesce("topic", F.lit("")))
 
     def pull_topic(
         self, sequence: str, topic: str, start_ns: int | None = None, end_ns: int | None = None,
@@ -161,21 +168,22 @@ class SequenceStore:
     ) -> DataFrame:
         """Rows of one topic, optionally within the closed interval [start_ns, end_ns].
 
-        The topic selects folders, sequence and bounds are pushed into the scan. An ``observation`` counts the
-        rows as they are pulled.
+        The topic selects folders, sequence and bounds are pushed into the scan. An ``observation`` counts rows and
+        bytes (of the values, as JSON text) as they are pulled.
         """
         found = (
             self.topic_log()
             .where((F.col("sequence") == sequence) & (F.col("topic") == topic) & (F.col("status") == "uploaded"))
-            .select("key", "tag", "table_schema")
-            .distinct()
+            .groupBy("key", "tag", "table_schema")
+            .agg(F.sum("rows").alias("rows"))
             .collect()
         )
         if not found:
             raise LookupError(f"no such topic: {sequence.lstrip('/')}/{topic.lstrip('/')}")
         rows = None
         for row in found:
-            part = self._pull(row["key"], row["tag"], topic, T.StructType.fromJson(json.loads(row["table_schema"])))
+            schema = T.StructType.fromJson(json.loads(row["table_schema"] or '{"fields":[]}'))
+            part = self._pull(row["key"], row["tag"], topic, schema, row["rows"])
             rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
         rows = rows.where(F.col("sequence") == sequence)
         if start_ns is not None:
@@ -183,20 +191,28 @@ class SequenceStore:
         if end_ns is not None:
             rows = rows.where(F.col("timestamp_ns") <= end_ns)
         if observation is not None:
-            rows = rows.observe(observation, F.count("*").alias("rows"))
+            size = F.sum(F.octet_length(F.to_json(F.struct(*[f"`{c}`" for c in rows.columns]))).cast("bigint"))
+            rows = rows.observe(observation, F.count("*").alias("rows"), F.coalesce(size, F.lit(0)).alias("bytes"))
         return rows.drop("sequence")
 
-    def _pull(self, key: str, tag: str, topic: str, schema: T.StructType) -> DataFrame:
+    def _pull(self, key: str, tag: str, topic: str, schema: T.StructType, logged: int) -> DataFrame:
         stored = T.StructType([T.StructField("sequence", T.StringType()), *schema.fields])
         try:
             return self.read_tag(key, tag, topic=topic, schema=stored).select("sequence", *[f"`{n}`" for n in schema.names])
         except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return self.spark.createDataFrame([], stored)  # the topic has no rows
+            if "PATH_NOT_FOUND" not in str(error) or logged:
+                raise  # rows that the log counts are missing
+            return self.spark.createDataFrame([], stored)
 
     def rejects(self, key: str, tag: str) -> DataFrame:
-        return self.read_tag(key, tag, rejected=True).select(
+        try:
+            found = self.read_tag(key, tag, rejected=True)
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            nothing = "recording string, topic string, log_time_ns bigint, reason string, payload binary"
+            return self.spark.createDataFrame([], nothing)
+        return found.select(
             F.col("sequence").alias("recording"),
             "topic",
             F.col("recording_timestamp_ns").alias("log_time_ns"),
@@ -206,6 +222,14 @@ class SequenceStore:
 
     # ------------------------------------------------------------ lifecycle
 
+    def append_batch(self, key: str, batch: int, rows: int, size: int, failed: str, schemas: str) -> None:
+        self._append("batches", self.spark.createDataFrame([(key, batch, rows, size, failed, schemas)], BATCH_LOG))
+
+    def batches(self, key: str) -> DataFrame:
+        """Micro-batches of an upload, each once although a batch may have run again."""
+        log = self._log("batches", BATCH_LOG).where(F.col("key") == key)
+        return log.groupBy("batch").agg(F.max(F.struct("rows", "bytes", "failed", "schemas")).alias("b")).select("batch", "b.*")
+
     def begin_upload(self, names: list[str] | DataFrame) -> "Upload":
         """A new key for one or many sequences; a name that is open or finalized is refused."""
         if not isinstance(names, DataFrame):
@@ -244,6 +268,7 @@ class Upload:
         self.finished: str | None = None
         self._open: tuple[str, str, str] | None = None
         self._schemas: dict[str, str] = {}  # table schema by tag, as written
+        self._fixed: str | None = None  # table schema of the open topic
         self.failed: dict[tuple[str, str], str] = {}  # why a (tag, encoding) failed
 
     def names(self) -> DataFrame:
@@ -259,16 +284,20 @@ class Upload:
         """Open a topic; the one open before is closed first."""
         self._check()
         self.close_topic()
-        self._open = (sequence, topic, tag)
+        self._open, self._fixed = (sequence, topic, tag), None
 
     def put_batch(self, rows: DataFrame) -> None:
-        """Append rows to the open topic."""
+        """Append rows to the open topic. Its first batch fixes the columns; others are refused."""
         self._check()
         if self._open is None:
             raise RuntimeError("no topic is open")
         sequence, topic, tag = self._open
+        columns = {f.name: f.dataType for f in rows.schema.fields if f.name not in ("reject_reason", "payload")}
+        fixed = T.StructType.fromJson(json.loads(self._fixed)) if self._fixed else None
+        if fixed is not None and {f.name: f.dataType for f in fixed.fields} != columns:
+            raise ValueError(f"columns of {topic!r} are fixed: {fixed.simpleString()}")
         marked = rows.select(F.lit(sequence).alias("sequence"), F.lit(topic).alias("topic"), "*")
-        self.write(marked, tag, batch=time.time_ns())
+        self._fixed = self.write(marked, tag, batch=time.time_ns())
 
     def close_topic(self) -> None:
         """Record row count, time range and size of the open topic."""
@@ -277,12 +306,12 @@ class Upload:
         sequence, topic, tag = self._open
         self._open = None
         one = self.store.spark.createDataFrame([(sequence, topic, tag)], "sequence string, topic string, tag string")
-        self.record(one)
+        self._record(one, {tag: self._fixed} if self._fixed else {}, topic)
 
     # -------- many topics at once
 
-    def write(self, rows: DataFrame, tag: str, batch: int = 0, by_topic: bool = False) -> None:
-        """Write one batch of a tag. Writing a batch again replaces it.
+    def write(self, rows: DataFrame, tag: str, batch: int = 0, by_topic: bool = False) -> str:
+        """Write one batch of a tag. Writing a batch again replaces it. Returns the table schema.
 
         Rows that do not come ``by_topic`` already are rebalanced: a topic with most of the rows is split over
         tasks, small topics share one, and files get an even size. Sorting lets a pull skip row groups by
@@ -294,8 +323,9 @@ class Upload:
             rows = rows.withColumn("payload", F.lit(None).cast("binary"))
         bad = F.col("reject_reason").isNotNull()
         kept = [c for c in rows.columns if c not in ("reject_reason", "payload", "log_time_ns", "channel_id")]
+        rows = rows.withColumn("topic", F.coalesce("topic", F.lit("")))
         table = rows.select(*[f"`{c}`" for c in kept]).withMetadata("timestamp_ns", {"ontology_tag": tag})
-        self._schemas[tag] = table.drop("sequence", "topic").schema.json()
+        schema = self._schemas[tag] = table.drop("sequence", "topic").schema.json()
         marked = rows.select(
             *[f"`{c}`" for c in kept],
             F.col("reject_reason").alias("_reason"),
@@ -310,11 +340,12 @@ class Upload:
             .partitionBy("rejected", "topic")
             .parquet(f"{self.store.data_path(self.key, tag)}/batch={batch}")
         )
+        return schema
 
-    def _figures(self, tag: str) -> DataFrame | None:
+    def _figures(self, tag: str, topic: str | None = None) -> DataFrame | None:
         narrow = T.StructType([T.StructField("sequence", T.StringType()), T.StructField("timestamp_ns", T.LongType())])
         try:
-            stored = self.store.read_tag(self.key, tag, schema=narrow)
+            stored = self.store.read_tag(self.key, tag, topic=topic, schema=narrow)
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
                 return None
@@ -323,15 +354,19 @@ class Upload:
 
     def record(self, topics: DataFrame) -> None:
         """Log topics (sequence, topic, tag[, status]) with the figures of what was written for them."""
+        self._record(topics, self._schemas)
+
+    def _record(self, topics: DataFrame, tables: dict[str, str], topic: str | None = None) -> None:
+        """``tables``: schemas by tag. With a ``topic``, only its folders are read for the figures."""
         if "status" not in topics.columns:
             topics = topics.withColumn("status", F.lit("uploaded"))
-        log = topics.select("sequence", "topic", "tag", "status").distinct()
-        parts = [p for p in map(self._figures, self._schemas) if p is not None]
+        log = topics.select("sequence", F.coalesce("topic", F.lit("")).alias("topic"), "tag", "status").distinct()
+        parts = [p for p in (self._figures(tag, topic) for tag in tables) if p is not None]
         if parts:
             log = log.join(reduce(DataFrame.unionByName, parts), ["sequence", "topic", "tag"], "left")
         else:
             log = log.withColumns({c: F.lit(None).cast("bigint") for c in ("rows", "ts_min", "ts_max", "bytes")})
-        schemas = [F.lit(x) for pair in self._schemas.items() for x in pair] or [F.lit(""), F.lit("")]
+        schemas = [F.lit(x) for pair in tables.items() for x in pair] or [F.lit(""), F.lit("")]
         self.store.append_topics(
             log.select(
                 F.lit(self.key).alias("key"),
@@ -374,45 +409,38 @@ class Upload:
 # ---------------------------------------------------------------- publish
 
 class Router:
-    """Which messages belong to which (tag, encoding).
+    """Which messages belong to which (tag, encoding): those whose topic, recording and channel are routed there.
 
-    Topics whose channels all agree are selected by name, which prunes partitions and needs no join.
-    Only topics on which recordings disagree are joined with their channels.
+    One way for any number of channels: a semi join. Where the routes are small enough to be sent to all tasks, which
+    their measured size decides, their topics also prune the folders of a table laid out by topic.
     """
 
+    KEYS = ["topic", "recording", "channel_id"]
+
     def __init__(self, routes: DataFrame):
+        self.channels = routes.select(*self.KEYS)
         self.routes = routes.where("status = 'routed'")
-        per_topic = routes.groupBy("topic").agg(
-            F.collect_set(F.struct(F.coalesce("tag", F.lit("")).alias("tag"), "encoding", "status")).alias("ways")
-        )
-        listed = per_topic.limit(LISTED_TOPICS + 1).collect()
-        self.plain: dict[tuple[str, str], list[str]] = {}
-        self.joined_topics: list[str] | None = []
-        if len(listed) > LISTED_TOPICS:
-            self.joined_topics = None
-        else:
-            for row in listed:
-                ways = row["ways"]
-                if len(ways) > 1:
-                    self.joined_topics.append(row["topic"])
-                elif ways[0]["status"] == "routed":
-                    self.plain.setdefault((ways[0]["tag"], ways[0]["encoding"]), []).append(row["topic"])
-        self._mixed = self.routes if self.joined_topics is None else self.routes.where(F.col("topic").isin(self.joined_topics))
-        mixed = [] if self.joined_topics == [] else self._mixed.select("tag", "encoding").distinct().collect()
-        self.mixed_ways = {(r["tag"], r["encoding"]) for r in mixed}
+        # as many rows as tags and encodings there are
+        self._ways = sorted((r["tag"], r["encoding"]) for r in self.routes.select("tag", "encoding").distinct().collect())
 
     def ways(self) -> list[tuple[str, str]]:
-        return sorted(self.plain.keys() | self.mixed_ways)
+        return list(self._ways)
 
     def messages_of(self, messages: DataFrame, tag: str, encoding: str) -> DataFrame:
-        parts = []
-        if (tag, encoding) in self.plain:
-            parts.append(messages.where(F.col("topic").isin(self.plain[tag, encoding])))
-        if (tag, encoding) in self.mixed_ways:
-            mine = self._mixed.where((F.col("tag") == tag) & (F.col("encoding") == encoding)).select("recording", "channel_id")
-            mixed = messages if self.joined_topics is None else messages.where(F.col("topic").isin(self.joined_topics))
-            parts.append(mixed.join(mine, ["recording", "channel_id"], "left_semi"))
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        mine = self.routes.where((F.col("tag") == tag) & (F.col("encoding") == encoding)).select(*self.KEYS)
+        return messages.join(mine, self.KEYS, "left_semi")
+
+    def strays(self, messages: DataFrame) -> DataFrame:
+        """Messages that no channel claims, as rejects."""
+        alone = messages.join(self.channels, self.KEYS, "left_anti")
+        return alone.select(
+            F.col("recording").alias("sequence"),
+            "topic",
+            F.col("log_time_ns").alias("timestamp_ns"),
+            F.col("log_time_ns").alias("recording_timestamp_ns"),
+            "payload",
+            F.lit(NO_CHANNEL).alias("reject_reason"),
+        )
 
 
 def project_messages(messages: DataFrame, tag: str, encoding: str, registry=None, decoders=None) -> DataFrame:
@@ -466,8 +494,9 @@ def publish(
     """Publish recordings as sequences: route, decode, project, write, finalize.
 
     One job per tag, a few at a time. A tag whose job fails is recorded as failed and the others go on.
-    Messages read from a table laid out ``by_topic`` (see ``write_messages``) are written without a shuffle.
-    Returns the upload key and the number of topics per status.
+    Messages read from a table laid out ``by_topic`` (see ``write_messages``) are written without a shuffle, as long as
+    the routes are small enough to be sent to all tasks. Messages without a channel are kept as rejects
+    (``store.rejects(key, NO_CHANNEL)``). Returns the upload key and the number of topics per status.
     """
     registry = registry or ontology.default_registry()
     tags = routing.tag_map(store.spark) if tags is None else tags
@@ -477,10 +506,14 @@ def publish(
     with store.begin_upload(names) as upload:
 
         def write(position: int, tag: str, encoding: str) -> None:
-            rows = project_messages(router.messages_of(messages, tag, encoding), tag, encoding, registry, decoders)
+            if tag == NO_CHANNEL:
+                rows = router.strays(messages)
+            else:
+                rows = project_messages(router.messages_of(messages, tag, encoding), tag, encoding, registry, decoders)
             upload.write(rows, tag, position, by_topic)
 
-        failed = upload.failed = for_each_way(store.spark, router.ways(), write, parallel_tags)
+        ways = [*router.ways(), (NO_CHANNEL, "")]
+        failed = upload.failed = for_each_way(store.spark, ways, write, parallel_tags)
         outcome = outcomes(routes, failed)
         upload.record(outcome.select(F.col("recording").alias("sequence"), "topic", "tag", "status"))
         upload.finalize()

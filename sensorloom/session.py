@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +33,11 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``. Only a local session, where driver
-    and executors are one process, may fall back to a temporary folder of the machine.
+    A cluster names its shared folder in ``spark.checkpoint.dir``; where that is unset, the warehouse is
+    taken, which every session has and all executors must reach anyway.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/sensorloom/{purpose}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"run-{purpose}-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/sensorloom-scratch/{purpose}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

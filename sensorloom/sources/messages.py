@@ -41,8 +41,14 @@ def read_channels(spark: SparkSession, path: str) -> DataFrame:
 _ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(32)}
 
 
-def folder_name(value: str) -> str:
+# Fixed value: the folder of an empty or null partition value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_name(value: str | None) -> str:
     """A partition value as it appears in its folder."""
+    if not value:
+        return _NO_VALUE
     return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in value)
 
 

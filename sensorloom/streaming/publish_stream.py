@@ -6,6 +6,8 @@ batch that runs again replaces itself. Every row stands alone: no watermark and
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorloom import schemas as S
 from sensorloom.operators import decode, ontology, routing
-from sensorloom.plans.store import Router, SequenceStore, Upload, for_each_way, outcomes, project_messages
+from sensorloom.plans.store import NO_CHANNEL, Router, SequenceStore, Upload, for_each_way, outcomes, project_messages
 
 
 def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -24,9 +26,16 @@ def message_stream(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 class StreamPublisher:
-    """A running upload fed by a stream. ``finish`` publishes what arrived, ``interrupt`` drops it."""
+    """A running upload fed by a stream. ``finish`` publishes what arrived, ``interrupt`` drops it.
+
+    What each batch held is in the store's log, so a publisher can be made anew after a crash: ``resume`` with the key
+    of the upload and the checkpoint of the stream goes on where the last committed batch ended.
+    """
 
-    def __init__(self, store: SequenceStore, channels: DataFrame, registry=None, tags=None, decoders=None, parallel_tags: int = 4):
+    def __init__(
+        self, store: SequenceStore, channels: DataFrame, registry=None, tags=None, decoders=None, parallel_tags: int = 4,
+        key: str | None = None,
+    ):
         self.store = store
         self.registry = registry or ontology.default_registry()
         self.decoders = decoders
@@ -35,30 +44,53 @@ class StreamPublisher:
         known = sorted({*decode.DECODERS, *(decoders or {})})
         self.routes = routing.route(channels, tags, self.registry.tags(), known)
         self.router = Router(self.routes)
-        self.upload: Upload = store.begin_upload(channels.select(F.col("recording").alias("name")).distinct())
         self.failed: dict[tuple[str, str], str] = {}
         self.query: StreamingQuery | None = None
+        if key is None:
+            self.upload: Upload = store.begin_upload(channels.select(F.col("recording").alias("name")).distinct())
+        else:
+            self._take_up(key)
+
+    @classmethod
+    def resume(cls, store: SequenceStore, key: str, channels: DataFrame, **options) -> "StreamPublisher":
+        """The publisher of an upload that is still open, with the failures of its earlier batches."""
+        return cls(store, channels, key=key, **options)
+
+    def _take_up(self, key: str) -> None:
+        if self.store.states().where((F.col("key") == key) & (F.col("state") == "open")).isEmpty():
+            raise LookupError(f"no open upload: {key}")
+        self.upload = Upload(self.store, key)
+        # one row per tag and failure, in as few different texts as there were failures
+        for row in self.store.batches(key).select("failed", "schemas").distinct().collect():
+            self.failed |= {(tag, encoding): why for tag, encoding, why in json.loads(row["failed"])}
+            self.upload._schemas |= json.loads(row["schemas"])
 
     def _write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        ways = [way for way in self.router.ways() if way not in self.failed]
-        first = batch_id * len(self.router.ways())
+        ways = [*self.router.ways(), (NO_CHANNEL, "")]
+        first = batch_id * len(ways)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
 
         def write(position: int, tag: str, encoding: str) -> None:
-            mine = self.router.messages_of(batch, tag, encoding)
-            self.upload.write(project_messages(mine, tag, encoding, self.registry, self.decoders), tag, first + position)
+            if (tag, encoding) in self.failed:
+                return
+            if tag == NO_CHANNEL:
+                rows = self.router.strays(batch)
+            else:
+                mine = self.router.messages_of(batch, tag, encoding)
+                rows = project_messages(mine, tag, encoding, self.registry, self.decoders)
+            self.upload.write(rows, tag, first + position)
 
         try:
+            seen = batch.agg(F.count("*").alias("rows"), F.sum(F.octet_length("payload").cast("bigint")).alias("bytes")).first()
             self.failed |= for_each_way(batch.sparkSession, ways, write, self.parallel_tags)
         finally:
             batch.unpersist()
+        failed = json.dumps(sorted([*way, why] for way, why in self.failed.items()))
+        self.store.append_batch(self.upload.key, batch_id, seen["rows"], seen["bytes"] or 0, failed, json.dumps(self.upload._schemas))
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
-        observed = messages.observe(
-            "progress", F.count("*").alias("rows"), F.sum(F.length("payload").cast("bigint")).alias("bytes")
-        )
         self.query = (
-            observed.writeStream.foreachBatch(self._write_batch)
+            messages.writeStream.foreachBatch(self._write_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start()
@@ -66,13 +98,9 @@ class StreamPublisher:
         return self.query
 
     def progress(self) -> tuple[int, int]:
-        """Rows and bytes seen so far in the recent batches."""
-        rows = size = 0
-        for report in self.query.recentProgress if self.query else []:
-            seen = report.observedMetrics.get("progress")
-            if seen is not None:
-                rows, size = rows + (seen["rows"] or 0), size + (seen["bytes"] or 0)
-        return rows, size
+        """Rows and bytes of all batches so far, those before a restart included."""
+        total = self.store.batches(self.upload.key).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).first()
+        return total["rows"] or 0, total["bytes"] or 0
 
     def finish(self) -> DataFrame:
         """Wait for the stream, record the topics, publish. Returns the number of topics per status."""

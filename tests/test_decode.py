@@ -94,9 +94,9 @@ def test_raw_is_sorted_with_the_log_time(messages):
     assert [r.name for r in out.collect()] == ["n", None]
 
 
-def test_sample(messages):
-    out = infer.channel_table(messages('{"a":1}', '{"a":2,"b":3}'), sample_rows=1)
-    assert "b" not in out.columns and out.count() == 2
+def test_late_fields_are_found(messages):
+    out = infer.channel_table(messages(*['{"a":1}'] * 3, '{"a":"x","b":7}'))
+    assert [(r.a, r.b) for r in out.collect()] == [("1", None)] * 3 + [("x", 7)]
 
 
 def test_passthrough_and_routing(messages, spark):

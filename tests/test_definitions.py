@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from sensorloom.operators import definitions as D
@@ -63,9 +65,15 @@ def test_last_block_of_a_name_counts(channels):
     assert ddl(df)["pkg/T"] == "`timestamp_ns` bigint, `s` struct<`y`:boolean>"
 
 
-def test_self_nesting_is_refused(channels):
-    with pytest.raises(ValueError):
-        D.declared_ddl(channels(("pkg/T", "A a\n===\nMSG: A\nB b\n===\nMSG: B\nA a")))
+def test_self_nesting_has_no_schema_and_harms_no_other(channels):
+    got = ddl(channels(("pkg/T", "int8 x\nA a\n===\nMSG: A\nB b\n===\nMSG: B\nA a"), ("pkg/U", "C c\n===\nMSG: C\nbool y")))
+    assert got == {"pkg/T": None, "pkg/U": "`timestamp_ns` bigint, `c` struct<`y`:boolean>"}
+
+
+def test_a_column_listed_twice(spark):
+    rows = [("t", "a", "double"), ("t", "a", "bigint"), ("t", "b", "double"), ("t", "b", "string"), ("t", "timestamp_ns", "bigint")]
+    schema = D.json_schema(spark.createDataFrame(rows, "`table` string, `column` string, type string")).first().json_schema
+    assert json.loads(schema)["properties"] == {"a": {"type": "number"}, "b": {"type": "string"}}
 
 
 @pytest.mark.parametrize(

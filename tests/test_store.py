@@ -1,13 +1,13 @@
 import json
 
 import pytest
-from pyspark.sql import Observation
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from sensorloom.operators import ontology, routing
-from sensorloom.operators.sequence import number_by_range, number_by_window, number_rows
+from sensorloom.operators.sequence import number_rows
 from sensorloom.plans import export, reports, store as stores
-from sensorloom.plans.store import Router, SequenceStore, publish
+from sensorloom.plans.store import NO_CHANNEL, Router, SequenceStore, publish
 from sensorloom.sources.messages import folder_name, read_messages, write_messages
 from sensorloom.streaming.publish_stream import StreamPublisher, message_stream
 
@@ -74,10 +74,12 @@ def test_publish_and_read(store, traffic, channels):
         publish(store, traffic, channels)
 
 
-def test_many_topics_are_joined_instead_of_listed(store, traffic, channels, monkeypatch):
-    monkeypatch.setattr(stores, "LISTED_TOPICS", 1)
-    _, counts = publish(store, traffic, channels)
-    assert statuses(counts)["uploaded"] == 4 and store.pull_topic("a", "/value").count() == 9 and store.pull_topic("b", "/value").count() == 1
+def test_messages_without_a_channel_are_rejects(store, traffic, channels):
+    key, counts = publish(store, traffic, channels.where("topic <> '/value' or recording <> 'a'"))
+    stray = store.rejects(key, NO_CHANNEL).collect()
+    assert {(r.recording, r.topic, r.reason) for r in stray} == {("a", "/value", "no_channel")}
+    assert len(stray) == traffic.where("recording = 'a' and topic = '/value'").count()
+    assert statuses(counts)["uploaded"] == 3 and store.pull_topic("b", "/value").count() == 1
 
 
 def test_a_table_laid_out_by_topic_is_written_without_shuffle(store, traffic, channels, spark, tmp_path):
@@ -89,10 +91,9 @@ def test_a_table_laid_out_by_topic_is_written_without_shuffle(store, traffic, ch
     }
 
 
-def test_router_joins_only_where_recordings_disagree(spark, channels):
+def test_router_ways(spark, channels):
     routes = routing.route(channels, routing.tag_map(spark), ontology.default_registry().tags(), ["json"])
-    router = Router(routes)
-    assert router.joined_topics == ["/value"] and router.plain == {("string", "json"): ["/odd one:1"], ("integer8", "json"): ["/silent"]}
+    assert ("string", "json") in Router(routes).ways() and ("integer8", "json") in Router(routes).ways()
 
 
 def test_a_failing_tag_does_not_stop_the_others(store, traffic, channels):
@@ -168,10 +169,9 @@ def test_numbering_of_a_hot_group(spark):
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"),
         (F.col("id") % 7).alias("t"), F.col("id").alias("tie"),
     ).repartition(7)
-    window = number_by_window(df, ["g"], ["t", "tie"])
-    ranged = number_by_range(df, ["g"], ["t", "tie"])
+    window = df.withColumn("sequence", F.row_number().over(Window.partitionBy("g").orderBy("t", "tie")).cast("bigint") - 1)
+    ranged = number_rows(df, ["g"], ["t", "tie"], tasks=9)
     assert ranged.columns == window.columns and sorted(window.collect()) == sorted(ranged.collect())
-    assert sorted(number_rows(df, ["g"], ["t", "tie"], window_rows=10).collect()) == sorted(window.collect())
 
 
 def test_message_table_prunes_by_topic(spark, traffic, tmp_path):
