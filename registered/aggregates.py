@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from registered.decoding import event_json
-from registered.registry import EV, GOOD_EVENT, query
-from registered.sources import talk_store
+from registered.registry import EV, messages_from, query
+from registered.sources import event_store, talk_store
 from sensorloom.operators import decode, index, infer, routing
 from sensorloom.operators.ontology import default_registry
 from sensorloom.operators.sequence import number_rows
@@ -67,12 +68,12 @@ def a4(spark, sf_dir):
 
 @query(
     "a5_progress_totals",
-    f"""SELECT '/' || event_type AS topic, COUNT(*) AS rows, CAST(SUM(CASE WHEN event_type = 'error' THEN
-        length('{{"value":' || value || ',"user_id":' || user_id || '}}') ELSE length('{{"data":' || value || '}}') END) AS BIGINT) AS bytes
-        FROM events WHERE {GOOD_EVENT} AND event_type IN ('error', 'view') GROUP BY 1""",
+    """SELECT '/' || p_brand AS topic, COUNT(*) AS rows, CAST(SUM(length('{"data":"' || p_name || '"}')) AS BIGINT) AS bytes FROM part GROUP BY 1""",
 )
 def a5(spark, sf_dir):
-    messages = event_messages(spark, sf_dir).where(c("topic").isin("/error", "/view"))
+    messages = messages_from(
+        spark, sf_dir, "part", json_of(data=c("p_name")), F.lit(0).cast("bigint"), c("p_partkey"), F.concat(F.lit("/"), c("p_brand"))
+    )
     return index.progress_totals(decode.good_rows(decode.decode_json(messages))).drop("recording")
 
 
@@ -147,14 +148,11 @@ def w1_range(spark, sf_dir):
 
 @query(
     "w2_sorted_columns",
-    f"WITH {EV} SELECT 'm,timestamp_ns|a,b,c' AS names, COUNT(*) AS rows FROM ev",
+    f"WITH {EV} SELECT 'timestamp_ns,a,b,c' AS names, COUNT(*) AS rows FROM ev",
 )
 def w2(spark, sf_dir):
     table = infer.read_channel(event_json(spark, sf_dir, json_of(c=c("k"), a=c("value"), b=c("user_id"))))
-    names = ",".join(table.columns)
-    return table.agg(F.count("*").alias("rows")).select(
-        F.concat(F.lit("m,timestamp_ns|"), F.lit(names.removeprefix("timestamp_ns,"))).alias("names"), "rows"
-    )
+    return table.agg(F.count("*").alias("rows")).select(F.lit(",".join(table.columns)).alias("names"), "rows")
 
 
 @query("w3_first_rows", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey LIMIT 500")
@@ -187,3 +185,19 @@ def a6(spark, sf_dir):
     return store.read_tag(key, "string").groupBy("topic").agg(
         F.count("*").alias("rows"), F.sum(F.octet_length("data").cast("bigint")).alias("text_bytes")
     )
+
+
+@query(
+    "a6_pull_observed",
+    """SELECT '/' || event_type AS topic, CAST(SUM(CASE WHEN event_type = 'purchase' THEN GREATEST(event_id % 4, 1) ELSE 1 END) AS BIGINT) AS rows,
+       TRUE AS has_bytes FROM events WHERE event_type <> 'error' GROUP BY 1""",
+)
+def a6_observed(spark, sf_dir):
+    """What the observations of the pulls of all topics of a sequence counted."""
+    store = event_store(spark, sf_dir)[0]
+    seen = []
+    for row in store.list_topics("events").select("topic").collect():
+        observed = Observation()
+        store.pull_topic("events", row["topic"], observation=observed).write.format("noop").mode("overwrite").save()
+        seen.append((row["topic"], observed.get["rows"], observed.get["bytes"] > 0))
+    return spark.createDataFrame(seen, "topic string, rows bigint, has_bytes boolean")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registered.registry import EV, query, scalars_of
-from sensorloom.functions import metadata as M
 from sensorloom.operators import decode, routing
 from sensorloom.operators.flatten import flatten_structs
 from sensorloom.operators.index import message_counts, topic_scan, with_counts
@@ -64,13 +63,14 @@ def j1(spark, sf_dir):
 
 @query(
     "j2_channel_counts",
-    """SELECT c.conv_id AS recording, c.role, COUNT(m.turn) AS message_count FROM (SELECT DISTINCT conv_id, role FROM conversations) c
-       LEFT JOIN conversations m ON m.conv_id = c.conv_id AND m.role = c.role AND m.turn > 0 GROUP BY 1, 2""",
+    """SELECT conv_id AS recording, role, COUNT(*) AS message_count FROM conversations GROUP BY 1, 2
+       UNION ALL SELECT DISTINCT conv_id, 'observer', 0 FROM conversations""",
 )
 def j2(spark, sf_dir):
-    """Messages after the first turn only, so that some channels have none."""
-    counts = message_counts(talk_messages(spark, sf_dir).where("log_time_ns > 0"))
-    index = with_counts(talk_channels(spark, sf_dir), counts)
+    """Every recording also has a channel without messages."""
+    channels = talk_channels(spark, sf_dir)
+    silent = channels.dropDuplicates(["recording"]).withColumns({"channel_id": F.lit(99), "topic": F.lit("/observer")})
+    index = with_counts(channels.unionByName(silent), message_counts(talk_messages(spark, sf_dir)))
     return index.select(
         F.regexp_extract("recording", "[0-9]+", 0).cast("bigint").alias("recording"), F.substr(c("topic"), F.lit(2)).alias("role"), "message_count"
     )
@@ -114,13 +114,10 @@ def j6(spark, sf_dir):
     text = F.when(c("c_custkey") % 7 == 1, "{bad").otherwise(
         json_of(ontology_tag=c("c_mktsegment"), owner=c("c_name"))
     )
-    metadata = load(spark, sf_dir, "customer").where("c_custkey % 7 > 0").select("c_custkey", text.alias("properties"))
-    topics = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = topics.join(metadata, c("o_custkey") == c("c_custkey"), "left")
-    return joined.select(
-        "o_orderkey", M.ontology_tag(c("properties")).alias("ontology_tag"),
-        F.try_element_at(M.user_metadata(c("properties")), F.lit("owner")).alias("owner"),
-    )
+    metadata = load(spark, sf_dir, "customer").where("c_custkey % 7 > 0").select(c("c_custkey").alias("key"), text.alias("properties"))
+    topics = load(spark, sf_dir, "orders").select("o_orderkey", c("o_custkey").alias("key"))
+    joined = routing.join_metadata(topics, metadata, ["key"])
+    return joined.select("o_orderkey", "ontology_tag", F.try_element_at("user_metadata", F.lit("owner")).alias("owner"))
 
 
 # ---------------------------------------------------------------- hooks
@@ -136,6 +133,17 @@ def u1(spark, sf_dir):
     return rows.select("sequence", "timestamp_ns", "doubled")
 
 
+@query(
+    "u1_own_frame_transform",
+    f"WITH {EV} SELECT event_id AS sequence, TRUE AS listed FROM ev WHERE event_type = 'purchase'",
+)
+def u1_own(spark, sf_dir):
+    """A projection of the caller under a tag that is opened by element otherwise: one row per message."""
+    registry = default_registry().add("frame_transform", lambda fields: {"listed": fields.has("transforms")})
+    rows = project_json(topic_scan(event_messages(spark, sf_dir), "/purchase"), "frame_transform", registry, ["sequence"])
+    return rows.select("sequence", "listed")
+
+
 @query(
     "u2_user_mappings",
     """SELECT s.p_type AS schema_name, max_by('tag_' || p_partkey, p_partkey) AS tag FROM part s GROUP BY 1""",

@@ -35,6 +35,12 @@ def user_metadata(text: Column) -> Column:
     return F.coalesce(drop_internal_keys(named), empty)
 
 
+def properties(tag: Column, user: dict[str, str] | None = None) -> Column:
+    """The metadata text of a topic: its tag and what the user added."""
+    added = [F.lit(text).alias(key) for key, text in sorted((user or {}).items()) if key != "ontology_tag"]
+    return F.to_json(F.struct(tag.alias("ontology_tag"), *added))
+
+
 def unwrap_response(body: Column) -> Column:
     """The ``response`` part of a reply, or the reply itself when it has none."""
     return F.coalesce(F.try_variant_get(body, "$.response", "variant"), body)

@@ -300,15 +300,26 @@ _INTEGER_TAGS = {
 
 
 class Registry:
-    """Projections by tag. ``add`` replaces an earlier one."""
+    """Projections by tag. ``add`` replaces an earlier one.
 
-    def __init__(self, projections: dict[str, Projection] | None = None):
+    A projection may give one row per element of a list field, whose name is kept with it.
+    """
+
+    def __init__(self, projections: dict[str, Projection] | None = None, elements: dict[str, str] | None = None):
         self._projections = dict(projections or {})
+        self._elements = dict(elements or {})
 
-    def add(self, tag: str, projection: Projection) -> "Registry":
+    def add(self, tag: str, projection: Projection, elements: str | None = None) -> "Registry":
         self._projections[tag] = projection
+        self._elements.pop(tag, None)
+        if elements is not None:
+            self._elements[tag] = elements
         return self
 
+    def elements(self, tag: str) -> str | None:
+        """The list field that is opened for this tag, if any."""
+        return self._elements.get(tag)
+
     def find(self, tag: str) -> Projection | None:
         return self._projections.get(tag)
 
@@ -345,9 +356,13 @@ _PROJECTIONS: dict[str, Projection] = {
 }
 
 
+# Tags with a row per element of a list field.
+_ELEMENTS = {"frame_transform": "transforms"}
+
+
 def default_registry() -> Registry:
     """A registry of its own holding every tag but ``raw``, whose columns follow the data."""
-    return Registry(_PROJECTIONS)
+    return Registry(_PROJECTIONS, _ELEMENTS)
 
 
 # ---------------------------------------------------------------- applying a projection
@@ -378,23 +393,25 @@ def _find(registry: Registry | None, tag: str) -> Projection:
 def project_json(messages: DataFrame, tag: str, registry: Registry | None = None, keep: list[str] | None = None) -> DataFrame:
     """Typed rows of one tag from JSON messages; ``reject_reason`` marks the bad ones."""
     keep = KEYS if keep is None else keep
-    if tag == "raw":
+    registry = registry or default_registry()
+    if tag == "raw" and registry.find(tag) is None:
         return infer.raw_projection(messages)
     projection = _find(registry, tag)
     wants = wants_of(_times) | wants_of(projection)
     wants = {p: wants_of(_times).get(p, set()) | wants_of(projection).get(p, set()) for p in wants}
-    if tag == "frame_transform":
-        return _project_elements(messages, projection, wants, keep)
+    if registry.elements(tag):
+        return _project_elements(messages, projection, wants, keep, registry.elements(tag))
     leaves = extract(messages, wants)
     fields = LeafFields(F.col("log_time_ns"))
     times, columns = _times(fields), projection(fields)
     return _finish(leaves, times, columns, _reason(fields, F.col("reject_reason")), keep)
 
 
-def _project_elements(messages: DataFrame, projection: Projection, wants: Wants, keep: list[str]) -> DataFrame:
-    """One row per element of ``transforms``; a message without elements is one row itself."""
-    leaves = extract(messages, {("transforms",): {"items"}} | wants)
-    items = F.col(f"`{leaf_name('items', ('transforms',))}`")
+def _project_elements(messages: DataFrame, projection: Projection, wants: Wants, keep: list[str], elements: str) -> DataFrame:
+    """One row per element of a list field; a message without elements is one row itself."""
+    path = tuple(elements.split("."))
+    leaves = extract(messages, {path: {"items"}} | wants)
+    items = F.col(f"`{leaf_name('items', path)}`")
     opened = leaves.select("*", F.explode_outer(F.when(F.size(items) > 0, items)).alias("_element"))
     opened = extract_variant(opened, "_element", wants, "_leaves")
     own, message = LeafFields(owner="_leaves"), LeafFields(F.col("log_time_ns"))
@@ -412,13 +429,14 @@ def _project_elements(messages: DataFrame, projection: Projection, wants: Wants,
 def project_flat(flat: DataFrame, tag: str, registry: Registry | None = None, keep: list[str] | None = None) -> DataFrame:
     """Typed rows of one tag from flattened struct columns (see ``flatten_structs``)."""
     keep = KEYS if keep is None else keep
-    if tag == "raw":
+    registry = registry or default_registry()
+    if tag == "raw" and registry.find(tag) is None:
         names = sorted(c for c in flat.columns if c != "log_time_ns")
         named = [F.col(f"`{n}`") for n in names]
         return flat.select(F.col("log_time_ns").alias("_log_time_ns"), *named) if "log_time_ns" in flat.columns else flat.select(*named)
     projection = _find(registry, tag)
-    if tag == "frame_transform" and "transforms" in flat.columns:
-        return _project_flat_elements(flat, projection, keep)
+    if registry.elements(tag) in flat.columns:
+        return _project_flat_elements(flat, projection, keep, registry.elements(tag))
     fields = ColumnFields.of(flat)
     columns = projection(fields)
     return _finish(flat, _times(fields), columns, _reason(fields, _earlier(flat)), keep)
@@ -428,10 +446,10 @@ def _earlier(df: DataFrame) -> Column | None:
     return F.col("reject_reason") if "reject_reason" in df.columns else None
 
 
-def _project_flat_elements(flat: DataFrame, projection: Projection, keep: list[str]) -> DataFrame:
+def _project_flat_elements(flat: DataFrame, projection: Projection, keep: list[str], elements: str) -> DataFrame:
     base = ColumnFields.of(flat)
     own = projection(base)
-    opened = flat.select("*", F.explode_outer("transforms").alias("element"))
+    opened = flat.select("*", F.explode_outer(F.col(f"`{elements}`")).alias("element"))
     element_type = opened.schema["element"].dataType
     paths = flatten_structs(opened.select("element"), keep_shape=True).schema.fields
     inner = ColumnFields(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.functions import metadata as M
 from sensorloom.functions.fields import text_literal
 
 # Source types and their tags.
@@ -83,6 +84,14 @@ def join_schemas(channels: DataFrame, schemas: DataFrame) -> DataFrame:
     )
 
 
+def join_metadata(topics: DataFrame, metadata: DataFrame, keys: list[str]) -> DataFrame:
+    """Topics with the tag and the user's entries of their metadata (column ``properties``); both null or empty without."""
+    joined = topics.join(metadata, keys, "left")
+    return joined.withColumns(
+        {"ontology_tag": M.ontology_tag(F.col("properties")), "user_metadata": M.user_metadata(F.col("properties"))}
+    ).drop("properties")
+
+
 def routed(channels: DataFrame, tags: DataFrame) -> DataFrame:
     return channels.join(tags, "schema_name")
 

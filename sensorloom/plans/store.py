@@ -75,7 +75,7 @@ class SequenceStore:
     def _append(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.root}/log/{name}")
 
-    def append_states(self, names: DataFrame, key: str, state: str) -> None:
+    def append_states(self, names: DataFrame, key: str, state: str, user_metadata: str = _SOURCE) -> None:
         self._append(
             "sequences",
             names.select(
@@ -83,7 +83,7 @@ class SequenceStore:
                 F.lit(key).alias("key"),
                 F.lit(state).alias("state"),
                 F.lit(_VERSION[state]).alias("version"),
-                F.lit(_SOURCE).alias("user_metadata"),
+                F.lit(user_metadata).alias("user_metadata"),
                 F.lit(time.time_ns()).alias("at_ns"),
             ),
         )
@@ -94,7 +94,7 @@ class SequenceStore:
     def states(self) -> DataFrame:
         """Current state of every (name, key)."""
         return self._log("sequences", SEQUENCE_LOG).groupBy("name", "key").agg(
-            F.max_by("state", "version").alias("state"), F.max_by("user_metadata", "version").alias("user_metadata")
+            F.max_by("state", "version").alias("state"), F.min_by("user_metadata", "version").alias("user_metadata")
         )
 
     def visible(self) -> DataFrame:
@@ -127,7 +127,7 @@ class SequenceStore:
         )
 
     def list_topics(self, sequence: str | None = None) -> DataFrame:
-        """Topics with range, tag and schema, of one sequence or of all."""
+        """Topics with range, tag, user metadata and schema, of one sequence or of all."""
         log = self.topic_log().where("status = 'uploaded'")
         if sequence is not None:
             log = log.where(F.col("sequence") == sequence)
@@ -137,6 +137,7 @@ class SequenceStore:
             F.coalesce("ts_min", F.lit(0).cast("bigint")).alias("min_ts_ns"),
             F.coalesce("ts_max", F.lit(0).cast("bigint")).alias("max_ts_ns"),
             M.ontology_tag(F.col("properties")).alias("ontology_tag"),
+            F.map_filter(M.user_metadata(F.col("properties")), lambda k, v: k != "ontology_tag").alias("user_metadata"),
             "table_schema",
             "rows",
             "bytes",
@@ -230,15 +231,18 @@ class SequenceStore:
         log = self._log("batches", BATCH_LOG).where(F.col("key") == key)
         return log.groupBy("batch").agg(F.max(F.struct("rows", "bytes", "failed", "schemas")).alias("b")).select("batch", "b.*")
 
-    def begin_upload(self, names: list[str] | DataFrame) -> "Upload":
-        """A new key for one or many sequences; a name that is open or finalized is refused."""
+    def begin_upload(self, names: list[str] | DataFrame, user_metadata: dict[str, str] | None = None) -> "Upload":
+        """A new key for one or many sequences; a name that is open or finalized is refused.
+
+        ``user_metadata`` is kept with each of the sequences.
+        """
         if not isinstance(names, DataFrame):
             names = self.spark.createDataFrame([(n,) for n in names], "name string")
         taken = names.join(self.states().where("state <> 'deleted'"), "name", "left_semi").head(1)
         if taken:
             raise ValueError(f"sequence exists: {taken[0]['name']}")
         key = uuid.uuid4().hex
-        self.append_states(names, key, "open")
+        self.append_states(names, key, "open", json.dumps({**json.loads(_SOURCE), **(user_metadata or {})}))
         return Upload(self, key)
 
     def delete_sequence(self, name: str) -> None:
@@ -269,6 +273,7 @@ class Upload:
         self._open: tuple[str, str, str] | None = None
         self._schemas: dict[str, str] = {}  # table schema by tag, as written
         self._fixed: str | None = None  # table schema of the open topic
+        self._metadata: dict[str, str] | None = None
         self.failed: dict[tuple[str, str], str] = {}  # why a (tag, encoding) failed
 
     def names(self) -> DataFrame:
@@ -280,11 +285,11 @@ class Upload:
 
     # -------- topic by topic
 
-    def create_topic(self, sequence: str, topic: str, tag: str) -> None:
+    def create_topic(self, sequence: str, topic: str, tag: str, user_metadata: dict[str, str] | None = None) -> None:
         """Open a topic; the one open before is closed first."""
         self._check()
         self.close_topic()
-        self._open, self._fixed = (sequence, topic, tag), None
+        self._open, self._fixed, self._metadata = (sequence, topic, tag), None, user_metadata
 
     def put_batch(self, rows: DataFrame) -> None:
         """Append rows to the open topic. Its first batch fixes the columns; others are refused."""
@@ -306,7 +311,7 @@ class Upload:
         sequence, topic, tag = self._open
         self._open = None
         one = self.store.spark.createDataFrame([(sequence, topic, tag)], "sequence string, topic string, tag string")
-        self._record(one, {tag: self._fixed} if self._fixed else {}, topic)
+        self._record(one, {tag: self._fixed} if self._fixed else {}, topic, self._metadata)
 
     # -------- many topics at once
 
@@ -356,7 +361,9 @@ class Upload:
         """Log topics (sequence, topic, tag[, status]) with the figures of what was written for them."""
         self._record(topics, self._schemas)
 
-    def _record(self, topics: DataFrame, tables: dict[str, str], topic: str | None = None) -> None:
+    def _record(
+        self, topics: DataFrame, tables: dict[str, str], topic: str | None = None, user_metadata: dict[str, str] | None = None
+    ) -> None:
         """``tables``: schemas by tag. With a ``topic``, only its folders are read for the figures."""
         if "status" not in topics.columns:
             topics = topics.withColumn("status", F.lit("uploaded"))
@@ -375,7 +382,7 @@ class Upload:
                 "tag",
                 "status",
                 F.try_element_at(F.create_map(*schemas), F.col("tag")).alias("table_schema"),
-                F.to_json(F.struct(F.col("tag").alias("ontology_tag"))).alias("properties"),
+                M.properties(F.col("tag"), user_metadata).alias("properties"),
                 F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
                 "ts_min",
                 "ts_max",
