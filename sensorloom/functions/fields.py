@@ -62,8 +62,8 @@ VARIANT_SQL = {
 
 
 def json_path(path: tuple[str, ...]) -> str:
-    """Keys to a variant path: (a, b) becomes $['a']['b']."""
-    return "$" + "".join("['" + part.replace("\\", "\\\\").replace("'", "\\'") + "']" for part in path)
+    """Keys to a variant path: (a, b) becomes $['a']['b'], and a key with a single quote stands in double ones."""
+    return "$" + "".join(f'["{part}"]' if "'" in part else f"['{part}']" for part in path)
 
 
 def variant_sql(kind: str, leaf: str) -> str:

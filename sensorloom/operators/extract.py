@@ -129,14 +129,15 @@ def extract(messages: DataFrame, wants: Wants) -> DataFrame:
     parsed = messages.select(
         "*", F.inline(F.array(F.struct(text.alias("_text"), F.from_json(framed, schema, _STRICT).alias("_parsed"))))
     )
-    checked = parsed.withColumn("_sound", F.expr(_SOUND)).withColumn(
-        "_body", F.when(~F.col("_sound"), wrapped_body(F.col("_text")))
-    )
+    checked = parsed.select("*", F.inline(F.array(F.struct(F.expr(_SOUND).alias("_sound")))))
+    checked = checked.withColumn("_body", F.when(~F.col("_sound"), wrapped_body(F.col("_text"))))
     columns, mixed_fast, mixed_slow = _leaf_columns(plan)
     reason = F.when(F.col("_sound"), F.when(F.expr(mixed_fast), "mixed_array")).otherwise(
         F.coalesce(json_reason(F.col("_body"), F.col("_text")), F.when(F.expr(mixed_slow), "mixed_array"))
     )
-    return checked.select(*messages.columns, *[F.expr(column) for column in columns], reason.alias("reject_reason"))
+    # so does this one, for the checks: a filter on the reason reads it instead of making it again
+    judged = checked.select("*", F.inline(F.array(F.struct(reason.alias("reject_reason")))))
+    return judged.select(*messages.columns, *[F.expr(column) for column in columns], "reject_reason")
 
 
 def extract_variant(elements: DataFrame, body: str, wants: Wants, owner: str) -> DataFrame:
