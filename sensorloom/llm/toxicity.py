@@ -192,7 +192,8 @@ def learn(
     weights = {r["entry"]: math.log((r["a"] + 0.5) / (bad + 1)) - math.log((r["b"] + 0.5) / (good + 1)) for r in strong}
     lexicon = Lexicon({e: w for e, w in weights.items() if w > 0})
     seen = texts.select("toxic", "text").mapInArrow(_weighed(lexicon, ["toxic"], False), "toxic int, weight double, words bigint").toPandas()
-    lexicon.curve = _curve(seen["weight"].to_numpy(), seen["words"].to_numpy(), seen["toxic"].to_numpy(), cut)
+    if len(seen):  # labels may be of documents that are not there
+        lexicon.curve = _curve(seen["weight"].to_numpy(), seen["words"].to_numpy(), seen["toxic"].to_numpy(), cut)
     return lexicon
 
 
