@@ -17,6 +17,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from registered.sources import event_store, stored_lines, talk_store  # noqa: E402
 from sensorloom.operators import decode, index, infer  # noqa: E402
 from sensorloom.operators.ontology import project_json  # noqa: E402
+from sensorloom.operators.sequence import number_rows  # noqa: E402
 from sensorloom.plans import export, reports  # noqa: E402
 from sensorloom.plans.store import SequenceStore, publish  # noqa: E402
 from sensorloom.session import STATIC_CONF, configure, scratch_dir  # noqa: E402
@@ -78,6 +79,10 @@ def main() -> None:
         "json_sink": lambda: drain(
             export.to_messages(published_lines, F.col("sequence"), F.col("topic"), leave_out=["sequence", "topic"])
         ),
+        "range_numbers": lambda: drain(
+            number_rows(lines.select("topic", "log_time_ns", "sequence"), ["topic"], ["log_time_ns", "sequence"], "n")
+        ),
+        "export": lambda: export.export_sequence(store, "events", scratch_dir(spark, "bench")),
         "catalog": lambda: (drain(talks.list_sequences()), drain(reports.sequence_report(talks.list_topics()))),
     }
     only = sys.argv[1:]
