@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm.common import column_of, prepare
 from sensorloom.llm.tokens import grams, words
+from sensorloom.session import written
 
 #: Tokens of the shortest repeated run, part of a block's tokens that runs must cover, pages that must share a run.
 RUN, COVER, PAGES = 3, 0.8, 2
 #: Pages of a host whose streams are sorted in one suffix array; larger hosts are cut into shards.
 SHARD_PAGES = 2_000
+#: Hosts of more than one shard that are sent to all tasks (about 50 bytes each).
+HOSTS_SENT = 500_000
 
 # Elements without text, elements that end a line of text, elements and names of page furniture.
 SILENT = frozenset("script style noscript template iframe svg math object head title select option button textarea canvas".split())
@@ -345,9 +348,13 @@ def extracted(
     prepare(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), "://([^/?#]*)", 1))
     rows = pages.select(F.col(key).cast("bigint").alias("page"), F.col(url).alias("url"), host.alias("host"), F.col(source).alias("html"))
-    shards = rows.groupBy("host").agg(F.ceil(F.count("*") / shard_pages).cast("int").alias("shards"))
-    # one number a host: small next to the pages, joined by whatever way its size asks for
-    rows = rows.join(shards, "host").withColumn("shard", F.pmod(F.xxhash64(F.coalesce("page", F.lit(0)), F.lit("shard")), F.col("shards")).cast("int"))
+    large = rows.groupBy("host").agg(F.ceil(F.count("*") / shard_pages).cast("int").alias("shards")).filter("shards > 1")
+    large = written(large, "hosts")
+    # one row for a host that is cut: sent to all tasks, or joined by a shuffle where there are very many
+    if large.limit(HOSTS_SENT + 1).count() <= HOSTS_SENT:
+        large = F.broadcast(large)
+    deal = F.pmod(F.xxhash64(F.coalesce("page", F.lit(0)), F.lit("shard")), F.coalesce("shards", F.lit(1))).cast("int")
+    rows = rows.join(large, "host", "left").withColumn("shard", deal)
     rows = rows.select("page", "url", "host", "shard", "html")
     streams = rows.mapInArrow(_parsed(False), _PARSED).select("page", "host", "shard", "blocks")
     kind = "host string, shard int, run bigint, lo bigint, hi bigint"
