@@ -21,8 +21,8 @@ from pyspark.sql.window import Window
 BLOCK = 32
 #: Slots of a period, the grid of the weights; raised to the number of sources where there are more.
 PERIOD = 1_000
-#: Rows of a source numbered in one task, about.
-BUCKET_ROWS = 100_000
+#: Rows of a source numbered in one task, about: texts of some ten megabytes.
+BUCKET_ROWS = 5_000
 
 
 def parts(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -137,11 +137,12 @@ def mixed(
     weights; a source without one, and all where none are given, gets the mean weight (1). Weights are relative; zero
     or less is an error. Null is a source like any other (mix_source ""). No row is dropped or repeated. Rows of equal
     ids and source follow each other in any order. An empty table gives an empty one. The number of sources is taken
-    to fit the driver (one count each).
+    to fit the driver (one count each). Columns of the table that have the names of the new ones are replaced.
     """
     weights = {str(k): float(v) for k, v in (weights or {}).items()}
     if any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be positive")
+    docs = docs.drop("mix_source", "mix_block", "mix_slot", "mix_place")
     rows = docs.withColumn("_s", F.coalesce(F.col(source).cast("string"), F.lit("")))
     counts = {r["_s"]: r["c"] for r in rows.groupBy("_s").agg(F.count("*").alias("c")).collect()}
     mean = sum(weights.values()) / len(weights) if weights else 1.0

@@ -326,6 +326,8 @@ def test_mix_holds_all_rows_and_follows_weights(spark):
     for s in counts:
         assert [next(iter(slots[k]))[1] for k in range(len(slots)) if next(iter(slots[k]))[0] == s] == list(range(counts[s]))
     assert mixed(docs.limit(0)).count() == 0
+    again = mixed(mixed(docs, block=8))
+    assert again.columns == mixed(docs).columns and again.count() == len(rows)
 
 
 def test_numbers_of_phases_do_not_grow():
