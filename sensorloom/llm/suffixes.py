@@ -241,7 +241,8 @@ def repeated_passages(docs: DataFrame, rule: Passage = Passage(), key: str = "do
     found = plain.mapInArrow(_places(rule), "core bigint, id bigint, place int")
     # sums and extremes are combined in each task before the exchange, so a passage that is everywhere is one row a task
     groups = found.groupBy("core").agg(F.count("*").alias("c"), F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi")
-    groups = groups.select("core", "lo", F.ceil(F.col("c") / shard).cast("int").alias("shards"))
+    # written, so that both sides of the join are dealt out anew and the places of a frequent core can be split over tasks
+    groups = written(groups.select("core", "lo", F.ceil(F.col("c") / shard).cast("int").alias("shards")), "cores")
     chosen = found.join(groups, "core").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
     chosen = chosen.withColumn("pivot", F.col("id") == F.col("lo"))
     wanted = written(
