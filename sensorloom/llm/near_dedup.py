@@ -139,7 +139,7 @@ def forest(sets: np.ndarray, at: np.ndarray, percent: int, part: np.ndarray | No
                 left = int(open_.sum())
                 if not left:
                     return links
-                if left < len(rest) // 2 or left < len(rest) and len(rest) > 64 and left < len(rest) * 0.7:
+                if left < 0.7 * len(rest):
                     rest = rest[open_]
                     held, held_at = gather(rest)
                     open_ = np.ones(len(rest), bool)
