@@ -1,10 +1,10 @@
 """Passages that repeat across documents, by a sparse suffix array.
 
 Suffixes are kept at content-selected places only: the minimisers, that is the least hash in every window of word runs.
-A passage of ``least`` words holds one with enough words on either side, whatever stands around it. Suffixes whose
-nearest words occur in one document only go at once; the others are sorted by what follows (and then by what precedes),
-neighbours are compared, and each match is extended to the right and to the left. A suffix knows as many words on
-either side as it needs to reach the next suffix, so the matches of a passage join up to the whole passage.
+Each run of ``least`` words belongs to the minimiser of its inner word runs, which equal runs choose alike wherever they
+stand. Places whose nearest words (the core) occur in one document only go at once. The runs of the others are compared
+exactly: least and greatest document of each are combined in every task, so no group has to fit a task, and a run that
+several documents hold marks its words in all of them.
 """
 
 from __future__ import annotations
@@ -21,10 +21,6 @@ from sensorloom.llm.common import column_of, prepare, slices, text_of
 from sensorloom.llm.tokens import Words, grams, ramp, words
 from sensorloom.session import written
 
-#: Suffixes with the same nearest words that are compared in one task; larger groups are cut into shards.
-SHARD = 5_000
-
-
 @dataclass(frozen=True)
 class Passage:
     """least: words of the shortest passage. A place is the least of ``window`` runs of ``gram`` words; its core are the
@@ -36,225 +32,132 @@ class Passage:
     before: int = 4
     after: int = 15
 
-    @property
-    def left(self) -> int:
-        """Words before the core that a suffix knows."""
-        return self.window - 1
-
-    @property
-    def right(self) -> int:
-        """Words after the core that a suffix knows."""
-        return self.least - self.after - self.before
 
-
-def places(w: Words, rule: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word index (in the batch), text, and hash of the core of every minimiser with a whole core."""
+def places(w: Words, rule: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Minimisers of all runs of ``rule.least`` words: word index (in the batch), text, hash of the core, word index of the
+    first run that belongs to it, and how many do: these follow each other, at most ``rule.window`` of them."""
     every = grams(w.hashes, rule.gram)
     cores = grams(w.hashes, rule.before + rule.after)
     owner = w.owners()
     chosen = []
-    # leftmost least of every window within a text; a text with fewer runs than a window has no passage
-    for i in np.flatnonzero(w.counts() >= max(rule.least, rule.gram + rule.window - 1)):
-        a, b = w.offsets[i], w.offsets[i + 1] - rule.gram + 1
-        view = np.lib.stride_tricks.sliding_window_view(every[a:b], rule.window)
+    # leftmost least among the word runs of each run whose core is inside of it
+    for i in np.flatnonzero(w.counts() >= rule.least):
+        a, b = w.offsets[i], w.offsets[i + 1] - rule.least + 1
+        view = np.lib.stride_tricks.sliding_window_view(every[a + rule.before : b + rule.before + rule.window - 1], rule.window)
         for c in range(0, len(view), 1 << 15):
             part = view[c : c + (1 << 15)]
-            at = part.argmin(axis=1) + np.arange(len(part))
-            chosen.append(a + c + at[np.append(True, at[1:] != at[:-1])])
-    p = np.unique(np.concatenate(chosen)) if chosen else np.zeros(0, np.int64)
-    whole = (p - rule.before >= w.offsets[owner[p]]) & (p + rule.after <= w.offsets[owner[p] + 1])
-    p = p[whole]
-    return p, owner[p], cores[p - rule.before]
+            chosen.append(a + rule.before + c + part.argmin(axis=1) + np.arange(len(part)))
+    if not chosen:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2
+    of_run = np.concatenate(chosen)
+    runs = np.flatnonzero(w.counts() >= rule.least)
+    many = w.counts()[runs] - rule.least + 1
+    start = np.repeat(w.offsets[runs], many) + ramp(many)
+    new = np.flatnonzero(np.append(True, of_run[1:] != of_run[:-1]))
+    p, first = of_run[new], start[new]
+    return p, owner[p], cores[p - rule.before], first, np.diff(np.append(new, len(of_run)))
 
 
 def _places(rule: Passage):
+    """Cores of all places; ``spot`` packs first run, distance of the core from it, and number of runs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 w = words(column_of(part, "text"))
-                p, of, core = places(w, rule)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(core.view(np.int64)), column_of(part, "id").take(pa.array(of)), pa.array((p - w.offsets[of]).astype(np.int32))],
-                    ["core", "id", "place"],
-                )
+                p, of, core, first, many = places(w, rule)
+                spot = ((first - w.offsets[of]) << 16) | ((p - rule.before - first) << 8) | many
+                yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64)), column_of(part, "id").take(pa.array(of)), pa.array(spot)], ["core", "id", "spot"])
 
     return run
 
 
-_CONTEXT = "core bigint, shard int, pivot boolean, id bigint, place int, following binary, preceding binary"
-
-
-def _contexts(rule: Passage):
-    """Words around the wanted places: 32 bits of each, the preceding ones backwards. Pivots go to every shard."""
+def _runs(rule: Passage):
+    """Hashes of the runs of the wanted places, with 32 bits of the core: 96 bits tell runs apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 w = words(column_of(part, "text"))
-                cores = grams(w.hashes, rule.before + rule.after)
-                brief = (w.hashes >> np.uint64(32)).astype(np.uint32)
-                out: list[tuple] = []
-                ids = column_of(part, "id").to_pylist()
-                for i, wanted in enumerate(column_of(part, "wanted").to_pylist()):
-                    a, b = int(w.offsets[i]), int(w.offsets[i + 1])
-                    for x in wanted:
-                        p = a + x["place"]
-                        # rows that share an id may hold other texts
-                        if p - rule.before < a or p + rule.after > b or cores[p - rule.before].astype(np.int64) != x["core"]:
-                            continue
-                        right = brief[p + rule.after : min(b, p + rule.after + rule.right)].tobytes()
-                        left = brief[max(a, p - rule.before - rule.left) : p - rule.before][::-1].tobytes()
-                        for shard in range(x["shards"]) if x["pivot"] else [x["shard"]]:
-                            out.append((x["core"], shard, x["pivot"], ids[i], x["place"], right, left))
-                columns = list(zip(*out)) if out else [[] for _ in range(7)]
-                kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-                names = [f.split(" ")[0] for f in _CONTEXT.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    return run
-
-
-def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of 32-bit words, and how many of each are there."""
-    column = column.cast(pa.large_binary())
-    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    have = np.diff(at) // 4
-    out = np.zeros((len(column), width), np.uint32)
-    held = column.buffers()[2]
-    if held is not None and have.sum():
-        flat = np.frombuffer(held, np.uint8)[at[0] : at[-1]].view(np.uint8)
-        out[np.repeat(np.arange(len(have)), have), ramp(have)] = np.frombuffer(flat.tobytes(), np.uint32)
-    return out, have
-
-
-def _common(rows: np.ndarray, have: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Length of the common beginning of rows i and j."""
-    differ = rows[i] != rows[j]
-    first = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
-    return np.minimum(first, np.minimum(have[i], have[j]))
-
-
-def _compared(rule: Passage):
-    """Matches of suffixes with their neighbours in sorted order, and with the pivot of their group."""
-
-    def matches(t: pa.Table) -> pa.RecordBatch:
-        t = t.combine_chunks()
-        core, shard = t["core"].to_numpy(), t["shard"].to_numpy()
-        ids, at, pivot = t["id"].to_numpy(), t["place"].to_numpy(), t["pivot"].to_numpy(zero_copy_only=False)
-        right, has_right = _matrix(t["following"].combine_chunks() if isinstance(t["following"], pa.ChunkedArray) else t["following"], rule.right)
-        left, has_left = _matrix(t["preceding"].combine_chunks() if isinstance(t["preceding"], pa.ChunkedArray) else t["preceding"], rule.left)
-        n = len(ids)
-        new = np.append(True, (core[1:] != core[:-1]) | (shard[1:] != shard[:-1]))
-        group = np.cumsum(new) - 1
-        # nearest neighbour of another document on either side: that beyond the run of the own document
-        turn = np.append(True, new[1:] | (ids[1:] != ids[:-1]))
-        run = np.cumsum(turn) - 1
-        starts = np.flatnonzero(turn)
-        ends = np.append(starts[1:], n) - 1
-        before, after = starts[run] - 1, ends[run] + 1
-        first = np.full(group[-1] + 1, -1)
-        first[group[pivot]] = np.flatnonzero(pivot)
-        begin, end = np.full(n, np.iinfo(np.int32).max), np.full(n, -1)
-        cut_begin, cut_end = begin.copy(), end.copy()
-        for other in (before, after, first[group]):
-            i = np.flatnonzero((other >= 0) & (other < n))
-            j = other[i]
-            ok = (group[i] == group[j]) & (ids[i] != ids[j])
-            i, j = i[ok], j[ok]
-            r, l = _common(right, has_right, i, j) + rule.after, _common(left, has_left, i, j) + rule.before
-            ok = r + l >= rule.least
-            i, j, r, l = i[ok], j[ok], r[ok], l[ok]
-            begin[i] = np.minimum(begin[i], at[i] - l)
-            end[i] = np.maximum(end[i], at[i] + r)
-            later = (ids[j] < ids[i])
-            i, r, l = i[later], r[later], l[later]
-            cut_begin[i] = np.minimum(cut_begin[i], at[i] - l)
-            cut_end[i] = np.maximum(cut_end[i], at[i] + r)
-        got = np.flatnonzero(end >= 0)
-        cut = cut_end[got] >= 0
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids[got]),
-                pa.array(begin[got].astype(np.int32)),
-                pa.array(end[got].astype(np.int32)),
-                pa.array(cut_begin[got].astype(np.int32), mask=~cut),
-                pa.array(cut_end[got].astype(np.int32), mask=~cut),
-            ],
-            ["id", "begin", "end", "cut_begin", "cut_end"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            core, shard = column_of(batch, "core").to_numpy(), column_of(batch, "shard").to_numpy()
-            last = np.flatnonzero((core != core[-1]) | (shard != shard[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if held and (held[-1]["core"][-1].as_py() != core[0] or held[-1]["shard"][-1].as_py() != shard[0]):
-                yield matches(pa.Table.from_batches(held))
-                held = []
-            if cut:
-                yield matches(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield matches(pa.Table.from_batches(held))
+                cores = (grams(w.hashes, rule.before + rule.after) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                whole = grams(w.hashes, rule.least).view(np.int64)
+                wanted = column_of(part, "wanted")
+                size = np.asarray(pa.compute.list_value_length(wanted)).astype(np.int64)
+                spot, of = wanted.flatten().to_numpy(), np.repeat(np.arange(len(size)), size)
+                begin, core_at, many = spot >> 16, (spot >> 8) & 255, spot & 255
+                first = w.offsets[of] + begin
+                # rows that share an id may hold other texts
+                ok = first + many - 1 + rule.least <= w.offsets[of + 1]
+                of, begin, core_at, many, first = of[ok], begin[ok], core_at[ok], many[ok], first[ok]
+                flat = whole[np.repeat(first, many) + ramp(many)]
+                ends = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        column_of(part, "id").take(pa.array(of)), pa.array(begin.astype(np.int32)), pa.array(cores[first + core_at]),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    ],
+                    ["id", "begin", "core", "runs"],
+                )
 
     return run
 
 
-def _merged(spans: list) -> list[dict]:
-    out: list[dict] = []
-    for a, b in sorted(s for s in spans if s[0] is not None):
-        if out and a <= out[-1]["end"]:
-            out[-1]["end"] = max(out[-1]["end"], b)
-        else:
-            out.append({"begin": a, "end": b})
-    return out
+def _merged(begins: np.ndarray, least: int) -> list[dict]:
+    """Spans of the runs that begin at the places given; runs that overlap or touch are one."""
+    if not len(begins):
+        return []
+    begins = np.unique(begins)
+    new = np.flatnonzero(np.append(True, np.diff(begins) > least))
+    last = np.append(new[1:], len(begins)) - 1
+    return [{"begin": a, "end": b + least} for a, b in zip(begins[new].tolist(), begins[last].tolist())]
 
 
 _SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
 
-def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found, cut = [], []
-        for spans in column_of(batch, "spans").to_pylist():
-            found.append(_merged([(s["begin"], s["end"]) for s in spans]))
-            cut.append(_merged([(s["cut_begin"], s["cut_end"]) for s in spans]))
-        yield pa.RecordBatch.from_arrays([column_of(batch, "id"), pa.array(found, _SPANS), pa.array(cut, _SPANS)], ["id", "repeated", "removable"])
+def _by_document(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = column_of(batch, "marks")
+            at = np.append(0, np.cumsum(np.asarray(pa.compute.list_value_length(column))))
+            marks = column.flatten().to_numpy()
+            own = [marks[a:b] for a, b in zip(at, at[1:])]
+            found = [_merged(m >> 1, least) for m in own]
+            cut = [_merged(m[m & 1 == 1] >> 1, least) for m in own]
+            yield pa.RecordBatch.from_arrays([column_of(batch, "id"), pa.array(found, _SPANS), pa.array(cut, _SPANS)], ["id", "repeated", "removable"])
 
+    return run
 
-def repeated_passages(docs: DataFrame, rule: Passage = Passage(), key: str = "doc_id", text: str = "text", shard: int = SHARD) -> DataFrame:
+
+def repeated_passages(docs: DataFrame, rule: Passage = Passage(), key: str = "doc_id", text: str = "text", shard: int | None = None) -> DataFrame:
     """Documents with a passage of ``rule.least`` words or more that also stands in another document; clean ones have no row.
 
     Columns: the id, ``repeated`` (all such passages) and ``removable`` (those that a document of smaller id has
     too, so that one copy of each stays), both arrays of (begin, end) in words, merged where they overlap or touch;
     repeated_words and removable_words. Repeats within one document alone do not count; rows that share an id are one
     document. Null and short texts have no passage; rows without an id are left out (nothing could refer to them).
-    In groups beyond ``shard`` suffixes, each shard also holds the group's first suffix; a passage that this one does
-    not share may stay once in every shard. Other columns are left alone; an empty table gives an empty one.
+    ``shard`` is taken for old callers and changes nothing: groups are not cut. Other columns are left alone; an empty
+    table gives an empty one.
     """
     prepare(docs.sparkSession)
     plain = docs.select(F.col(key).cast("bigint").alias("id"), text_of(text).alias("text")).filter("id is not null")
-    found = plain.mapInArrow(_places(rule), "core bigint, id bigint, place int")
+    found = plain.mapInArrow(_places(rule), "core bigint, id bigint, spot bigint")
     # sums and extremes are combined in each task before the exchange, so a passage that is everywhere is one row a task
-    groups = found.groupBy("core").agg(F.count("*").alias("c"), F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi")
+    extremes = (F.min("id").alias("lo"), F.max("id").alias("hi"))
+    cores = found.groupBy("core").agg(*extremes).filter("lo != hi")
     # written, so that both sides of the join are dealt out anew and the places of a frequent core can be split over tasks
-    groups = written(groups.select("core", "lo", F.ceil(F.col("c") / shard).cast("int").alias("shards")), "cores")
-    chosen = found.join(groups, "core").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
-    chosen = chosen.withColumn("pivot", F.col("id") == F.col("lo"))
-    wanted = written(
-        chosen.groupBy("id").agg(F.collect_list(F.struct("core", "place", "shard", "shards", "pivot")).alias("wanted")), "places"
-    )
-    around = plain.join(wanted, "id").select("id", "text", "wanted").mapInArrow(_contexts(rule), _CONTEXT)
-    order = ["core", "shard", "following", "preceding", "id", "place"]
-    parts = around.repartition("core", "shard").sortWithinPartitions(*order)
-    pairs = parts.mapInArrow(_compared(rule), "id bigint, begin int, end int, cut_begin int, cut_end int")
-    spans = pairs.groupBy("id").agg(F.collect_list(F.struct("begin", "end", "cut_begin", "cut_end")).alias("spans"))
+    cores = written(cores.select("core"), "cores")
+    wanted = written(found.join(cores, "core").groupBy("id").agg(F.collect_list("spot").alias("wanted")), "places")
+    around = plain.join(wanted, "id").select("id", "text", "wanted").mapInArrow(_runs(rule), "id bigint, begin int, core int, runs array<bigint>")
+    around = written(around, "runs")
+    runs = around.select("id", "begin", "core", F.posexplode("runs").alias("at", "run"))
+    shared = runs.groupBy("core", "run").agg(*extremes).filter("lo != hi").select("core", "run", "lo")
+    shared = written(shared, "shared")
+    mark = F.shiftleft(F.col("begin") + F.col("at"), 1) + F.when(F.col("lo") < F.col("id"), 1).otherwise(0)
+    marks = runs.join(shared, ["core", "run"]).select("id", mark.cast("int").alias("mark"))
+    spans = marks.groupBy("id").agg(F.collect_list("mark").alias("marks"))
     kind = "array<struct<begin:int,end:int>>"
-    merged = spans.mapInArrow(_by_document, f"id bigint, repeated {kind}, removable {kind}")
+    merged = spans.mapInArrow(_by_document(rule.least), f"id bigint, repeated {kind}, removable {kind}")
     length = lambda c: F.aggregate(c, F.lit(0), lambda a, s: a + s["end"] - s["begin"])
     return merged.select(
         F.col("id").alias(key), "repeated", "removable", length("repeated").alias("repeated_words"), length("removable").alias("removable_words")

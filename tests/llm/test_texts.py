@@ -300,6 +300,16 @@ def test_passages_in_shards(spark):
     assert len(got) == 60 and got[0] == 0 and all(80 <= n <= 85 for i, n in got.items() if i)
 
 
+def test_passages_of_suffixes_that_are_not_neighbours(spark):
+    notice = prose(70, 45)
+    before = prose(71, 6)
+    texts = {i: f"{prose(5000 + i, 60)} {notice} {prose(6000 + i, 60)}" for i in range(1, 40)}
+    texts |= {i: f"{prose(5000 + i, 60)} {before} {notice} {prose(6000 + i, 60)}" for i in (5, 33)}
+    got = {r["doc_id"]: (r["repeated_words"], r["removable_words"]) for r in repeated_passages(table(spark, texts)).collect()}
+    want = {i: (len(a), len(b)) for i, (a, b) in brute_repeats(texts, 50).items()}
+    assert got == want and {5, 33} <= want.keys()
+
+
 def test_repeated_passages_of_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
