@@ -310,6 +310,16 @@ def test_passages_of_suffixes_that_are_not_neighbours(spark):
     assert got == want and {5, 33} <= want.keys()
 
 
+def test_passages_that_a_large_group_does_not_share(spark):
+    notice = prose(72, 45)
+    texts = {i: f"{prose(7000 + i, 60)} {notice} {prose(8000 + i, 60)}" for i in range(60)}
+    for i in range(20, 40):
+        texts[i] = f"{prose(7000 + i, 60)} {prose(7500 + i // 2, 6)} {notice} {prose(8000 + i, 60)}"
+    got = {r["doc_id"]: (r["repeated_words"], r["removable_words"]) for r in repeated_passages(table(spark, texts), shard=7).collect()}
+    want = {i: (len(a), len(b)) for i, (a, b) in brute_repeats(texts, 50).items()}
+    assert got == want and set(range(20, 40)) <= want.keys()
+
+
 def test_repeated_passages_of_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
