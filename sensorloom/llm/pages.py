@@ -1,14 +1,15 @@
 """Main text of web pages: page structure, and what repeats across the pages of a host.
 
-A page becomes blocks of text. The article that a page marks as such is kept, what stands in menus, headers, footers,
-sidebars, notices, adverts, forms, comments and the like is not, scripts, styles and markup never are. All text outside of
-articles also forms one token stream a page; a suffix array over the streams of a host shows which runs of tokens stand on
-several of its pages, and a block that such runs cover is boilerplate, however it is marked up. What is unique and not
-marked as furniture stays.
+A page becomes blocks of text. What stands in menus, headers, footers, sidebars, notices, adverts, forms, comments and the
+like is not kept, scripts, styles and markup never are. All blocks also form one token stream a page; a suffix array over
+the streams of a host shows which long runs of tokens stand on a good part of its distinct pages, and a block that such
+runs cover, or that stands on as many pages as a whole, is boilerplate, however it is marked up and inside of articles too.
+A mark of an article asks for more pages, no more.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -20,11 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm.common import column_of, prepare
-from sensorloom.llm.tokens import grams, words
+from sensorloom.llm.tokens import constants, grams, mix, ramp, words
 from sensorloom.session import written
 
-#: Tokens of the shortest repeated run, part of a block's tokens that runs must cover, pages that must share a run.
-RUN, COVER, PAGES = 3, 0.8, 2
+#: Tokens of a long run, part of a block's tokens that runs must cover.
+RUN, COVER = 8, 0.8
+#: Part of the distinct pages of a host that must hold a run or block, how many at least, and how many inside an article.
+SHARE, PAGES, ARTICLE_PAGES = 0.5, 3, 6
 #: Pages of a host whose streams are sorted in one suffix array; larger hosts are cut into shards.
 SHARD_PAGES = 2_000
 #: Hosts of more than one shard that are sent to all tasks (about 50 bytes each).
@@ -168,15 +171,8 @@ def blocks(source: str) -> list[Block]:
     return out
 
 
-def outside(page: list[Block]) -> list[int]:
-    """Blocks that go into the token stream of the host: all that are not in an article."""
-    return [i for i, b in enumerate(page) if not b.article]
-
-
 def main_text(page: list[Block], repeated: set[int]) -> str:
-    """Article blocks; where a page marks no article, all blocks that are neither furniture nor repeated on the host."""
-    if any(b.article for b in page):
-        return " ".join(b.text for b in page if b.article)
+    """All blocks that are neither furniture nor repeated on the host."""
     return " ".join(b.text for i, b in enumerate(page) if not b.furniture and i not in repeated)
 
 
@@ -248,16 +244,38 @@ def _streams(batch: pa.RecordBatch) -> Streams:
     return Streams(tokens, np.repeat(np.arange(n), length + 1), ends, spot, block, owner, size)
 
 
-def _shard_runs(run_length: int):
-    """Runs of ``run_length`` tokens in a shard, each once, with the least and greatest page that hold it.
+def _whole(s: Streams) -> np.ndarray:
+    """Hash of each block as a whole."""
+    total = np.zeros(len(s.size), np.uint64)
+    if len(s.spot):
+        np.add.at(total, s.block, s.tokens[s.spot] * constants(int(s.size.max()), 17)[ramp(s.size)])
+    return mix(total + s.size.astype(np.uint64))
+
+
+def _pages_of(key: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and how many distinct pages have each."""
+    order = np.lexsort((page, key))
+    key, page = key[order], page[order]
+    fresh = np.append(True, key[1:] != key[:-1])[: len(key)]
+    once = fresh | np.append(True, page[1:] != page[:-1])[: len(key)]
+    at = np.flatnonzero(fresh)
+    return key[at], np.add.reduceat(once.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+
+
+#: Kinds of rows: number of pages of a shard, blocks, runs.
+_TOTAL, _BLOCK, _RUN = 0, 1, 2
+
+
+def _shard_runs(run_length: int, share: float, least: int):
+    """Long runs and blocks of a shard with the number of distinct pages that hold them; equal pages are one.
 
     Suffixes that begin with the same run stand together in the suffix array: a group begins where the common beginning
-    with the suffix before is shorter than a run."""
+    with the suffix before is shorter than a run. Where the host is one shard, only what enough pages hold is returned."""
 
     def run(group: pa.Table) -> pa.Table:
         batch = group.combine_chunks().to_batches()[0]
-        s = _streams(batch)
-        page = column_of(batch, "page").to_numpy()[s.page]
+        batch = batch.take(pa.array(np.unique(column_of(batch, "content").to_numpy(), return_index=True)[1]))
+        s, n = _streams(batch), batch.num_rows
         left = s.ends[s.page] - np.arange(len(s.tokens))
         order, common = suffix_array(s.tokens)
         long = left[order] >= run_length
@@ -265,20 +283,21 @@ def _shard_runs(run_length: int):
         order, group_of = order[long], group_of[long]
         starts = np.flatnonzero(np.append(True, np.diff(group_of) > 0)) if len(order) else np.zeros(0, np.int64)
         runs = grams(s.tokens, run_length)[order[starts]] if len(order) else np.zeros(0, np.uint64)
-        lo = np.minimum.reduceat(page[order], starts) if len(order) else np.zeros(0, np.int64)
-        hi = np.maximum.reduceat(page[order], starts) if len(order) else np.zeros(0, np.int64)
-        host, shard = group["host"][0].as_py(), group["shard"][0].as_py()
-        return pa.table(
-            {
-                "host": pa.array([host] * len(runs), pa.string()), "shard": np.full(len(runs), shard, np.int32),
-                "run": runs.view(np.int64), "lo": lo.astype(np.int64), "hi": hi.astype(np.int64),
-            }
-        )
+        held = _pages_of(group_of, s.page[order])[1]
+        filled = s.size > 0
+        whole, on = _pages_of(_whole(s)[filled], s.owner[filled])
+        kind = np.repeat([_TOTAL, _BLOCK, _RUN], [1, len(whole), len(runs)]).astype(np.int32)
+        key = np.concatenate([np.zeros(1, np.uint64), whole, runs]).view(np.int64)
+        pages = np.concatenate([[n], on, held]).astype(np.int64)
+        if group["shards"][0].as_py() == 1:
+            enough = (kind != _TOTAL) & (pages >= max(least, share * n))
+            kind, key, pages = kind[enough], key[enough], pages[enough]
+        return pa.table({"host": pa.array([group["host"][0].as_py()] * len(key), pa.string()), "kind": kind, "run": key, "pages": pages})
 
     return run
 
 
-def _cleaned(run_length: int, cover: float):
+def _cleaned(run_length: int, cover: float, inside: int):
     """Main text of the pages of a shard, given the runs that several pages of the host hold."""
 
     def run(pages: pa.Table, runs: pa.Table) -> pa.Table:
@@ -288,62 +307,77 @@ def _cleaned(run_length: int, cover: float):
             return pa.table([pa.array([], k) for k in kinds], names)
         batch = pages.combine_chunks().to_batches()[0]
         s = _streams(batch)
-        covered = np.zeros(len(s.tokens), bool)
-        hit = np.flatnonzero(np.isin(grams(s.tokens, run_length), runs["run"].to_numpy().view(np.uint64)))
-        for k in range(run_length):
-            covered[hit + k] = True
-        part = np.bincount(s.block[covered[s.spot]], minlength=len(s.size))
-        boiler = (part >= cover * s.size) & (s.size > 0)
+        key, kind, held = runs["run"].to_numpy().view(np.uint64), runs["kind"].to_numpy(), runs["pages"].to_numpy()
+        every, whole = grams(s.tokens, run_length), _whole(s)
+
+        def boilerplate(least: int) -> np.ndarray:
+            covered = np.zeros(len(s.tokens), bool)
+            hit = np.flatnonzero(np.isin(every, key[(kind == _RUN) & (held >= least)]))
+            for k in range(run_length):
+                covered[hit + k] = True
+            part = np.bincount(s.block[covered[s.spot]], minlength=len(s.size))
+            return ((part >= cover * s.size) | np.isin(whole, key[(kind == _BLOCK) & (held >= least)])) & (s.size > 0)
+
+        boiler = np.where(column_of(batch, "article").flatten().to_numpy(zero_copy_only=False).astype(bool), boilerplate(inside), boilerplate(0))
         count = np.asarray(pa.compute.list_value_length(column_of(batch, "blocks"))).astype(np.int64)
         first = np.cumsum(count) - count
-        texts, removed = [], []
+        texts, removed, around = [], [], []
         for i in range(batch.num_rows):
             repeated = set(np.flatnonzero(boiler[first[i] : first[i] + count[i]]).tolist())
-            whole = column_of(batch, "kept")[i].as_py()
-            if whole is None:
-                parts = (column_of(batch, c)[i].as_py() for c in ("blocks", "article", "furniture"))
-                whole = main_text([Block(*b) for b in zip(*parts)], repeated)
-            texts.append(whole)
+            page = [Block(*b) for b in zip(*(column_of(batch, c)[i].as_py() for c in ("blocks", "article", "furniture")))]
+            texts.append(main_text(page, repeated))
             removed.append(len(repeated))
+            around.append(sum(not b.article for b in page))
         columns = [column_of(batch, "page"), column_of(batch, "url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-        return pa.table([*columns, pa.array(count), pa.array(removed, pa.int64())], names)
+        return pa.table([*columns, pa.array(around, pa.int64()), pa.array(removed, pa.int64())], names)
 
     return run
 
 
-def _parsed(whole: bool):
-    """Blocks outside of articles, and the article text of pages that mark one (only with ``whole``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, article, furniture, kept = [], [], [], []
-            for source in column_of(batch, "html").to_pylist():
-                page = blocks(source or "")
-                own = [page[i] for i in outside(page)]
-                texts.append([b.text for b in own])
-                article.append([b.article for b in own])
-                furniture.append([b.furniture for b in own])
-                kept.append(main_text(page, set()) if whole and any(b.article for b in page) else None)
-            keep = ["page", "url", "host", "shard"]
-            columns = [column_of(batch, k) for k in keep]
-            columns += [pa.array(texts, pa.list_(pa.string())), pa.array(article, pa.list_(pa.bool_())), pa.array(furniture, pa.list_(pa.bool_())), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "blocks", "article", "furniture", "kept"])
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of every page."""
+    for batch in batches:
+        pages = [blocks(source or "") for source in column_of(batch, "html").to_pylist()]
+        keep = ["page", "url", "host", "shard"]
+        columns = [column_of(batch, k) for k in keep]
+        columns.append(pa.array([[b.text for b in page] for page in pages], pa.list_(pa.string())))
+        columns += [pa.array([[getattr(b, k) for b in page] for page in pages], pa.list_(pa.bool_())) for k in ("article", "furniture")]
+        yield pa.RecordBatch.from_arrays(columns, [*keep, "blocks", "article", "furniture"])
 
-    return run
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the pages that have any; pages of a host with equal blocks once in a task."""
+    known: set[tuple[str, int]] = set()
+    for batch in batches:
+        rows, texts, contents = [], [], []
+        hosts = column_of(batch, "host").to_pylist()
+        for i, source in enumerate(column_of(batch, "html").to_pylist()):
+            own = [b.text for b in blocks(source or "")]
+            content = int.from_bytes(hashlib.blake2b("\n".join(own).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+            if own and (hosts[i], content) not in known:
+                known.add((hosts[i], content))
+                rows.append(i)
+                texts.append(own)
+                contents.append(content)
+        at = pa.array(rows, pa.int64())
+        columns = [column_of(batch, k).take(at) for k in ("host", "shards")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(contents, pa.int64()), pa.array(texts, pa.list_(pa.string()))], ["host", "shards", "content", "blocks"])
 
 
-_PARSED = "page bigint, url string, host string, shard int, blocks array<string>, article array<boolean>, furniture array<boolean>, kept string"
+_PARSED = "page bigint, url string, host string, shard int, blocks array<string>, article array<boolean>, furniture array<boolean>"
 
 
 def extracted(
-    pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html", run: int = RUN, cover: float = COVER, shard_pages: int = SHARD_PAGES
+    pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html", run: int = RUN, cover: float = COVER, shard_pages: int = SHARD_PAGES,
+    share: float = SHARE, least: int = PAGES, inside: int = ARTICLE_PAGES,
 ) -> DataFrame:
     """Columns page_id, url, text, n_chars, outside_blocks, repeated_blocks of every row given.
 
-    A null page is empty and has no text. Pages whose url has no host form one host. Rows of equal ids are one page
-    for the question whether a run stands on several pages. A host of more than ``shard_pages`` pages is cut into
-    shards by hash of the id; each has its own suffix array, and its distinct runs are then put together over the
-    host, so the result does not depend on the shards. Other columns are left alone; an empty table gives an empty one.
+    A null page is empty and has no text. Pages whose url has no host form one host. Pages of a host with equal blocks
+    are one for the question how many pages hold a run; ``share`` of the distinct ones and ``least`` of them must
+    (``inside`` for blocks of an article). A host
+    of more than ``shard_pages`` pages is cut into shards by hash of the content; each has its own suffix array, and the
+    counts of its runs are then added over the host, so the result does not depend on the shards. Other columns are left alone; an empty table gives an empty one.
     """
     prepare(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), "://([^/?#]*)", 1))
@@ -351,19 +385,21 @@ def extracted(
     large = rows.groupBy("host").agg(F.ceil(F.count("*") / shard_pages).cast("int").alias("shards")).filter("shards > 1")
     large = written(large, "hosts")
     # one row for a host that is cut: sent to all tasks, or joined by a shuffle where there are very many
-    if large.limit(HOSTS_SENT + 1).count() <= HOSTS_SENT:
-        large = F.broadcast(large)
-    deal = F.pmod(F.xxhash64(F.coalesce("page", F.lit(0)), F.lit("shard")), F.coalesce("shards", F.lit(1))).cast("int")
-    rows = rows.join(large, "host", "left").withColumn("shard", deal)
-    rows = rows.select("page", "url", "host", "shard", "html")
-    streams = rows.mapInArrow(_parsed(False), _PARSED).select("page", "host", "shard", "blocks")
-    kind = "host string, shard int, run bigint, lo bigint, hi bigint"
-    streams = streams.withColumn("page", F.coalesce("page", F.lit(-1)))
-    seen = streams.groupBy("host", "shard").applyInArrow(_shard_runs(run), kind)
-    shared = seen.groupBy("host", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo != hi").select("host", "run")
-    runs = seen.select("host", "shard", "run").join(shared, ["host", "run"])
-    texts = rows.mapInArrow(_parsed(True), _PARSED)
+    send = F.broadcast if large.limit(HOSTS_SENT + 1).count() <= HOSTS_SENT else lambda table: table
+    rows = rows.join(send(large), "host", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
+    streams = rows.select("host", "shards", "html").mapInArrow(_distinct, "host string, shards int, content bigint, blocks array<string>")
+    streams = streams.withColumn("shard", F.pmod(F.xxhash64("content"), F.col("shards")).cast("int"))
+    seen = streams.groupBy("host", "shard").applyInArrow(_shard_runs(run, share, least), "host string, kind int, run bigint, pages bigint")
+    seen = written(seen, "seen")
+    totals = seen.filter(F.col("kind") == _TOTAL).groupBy("host").agg(F.sum("pages").alias("total"))
+    # hosts of one shard have no total: their runs are chosen already
+    counts = seen.filter(F.col("kind") != _TOTAL).groupBy("host", "kind", "run").agg(F.sum("pages").alias("pages")).filter(F.col("pages") >= least)
+    shared = counts.join(send(totals), "host", "left").filter(F.col("total").isNull() | (F.col("pages") >= F.col("total") * share))
+    shards = F.sequence(F.lit(0), F.coalesce("shards", F.lit(1)) - 1)
+    runs = shared.join(send(large), "host", "left").select("host", F.explode(shards).alias("shard"), "kind", "run", "pages")
+    deal = F.pmod(F.xxhash64(F.coalesce("page", F.lit(0)), F.lit("shard")), F.col("shards")).cast("int")
+    texts = rows.withColumn("shard", deal).select("page", "url", "host", "shard", "html").mapInArrow(_parsed, _PARSED)
     out = texts.groupBy("host", "shard").cogroup(runs.groupBy("host", "shard")).applyInArrow(
-        _cleaned(run, cover), "page bigint, url string, text string, n_chars bigint, outside_blocks bigint, repeated_blocks bigint"
+        _cleaned(run, cover, inside), "page bigint, url string, text string, n_chars bigint, outside_blocks bigint, repeated_blocks bigint"
     )
     return out.withColumnRenamed("page", key)

@@ -174,6 +174,25 @@ def test_repeated_blocks_go(spark, shard):
     }
 
 
+@pytest.mark.parametrize("shard", [2000, 5])
+def test_copies_and_common_phrases_stay(spark, shard):
+    r = random.Random(5)
+    some = [f"w{i}" for i in range(12)]
+    prose = {i: " ".join(r.choice(some) for _ in range(60)) for i in range(40)}
+    rows = [(i, f"http://hot.org/{i}", f"<p>{t}</p><p>share this page with all of your good friends today</p>") for i, t in prose.items()]
+    rows += [(100 + i, f"http://copy.org/?session={i}", "<p>only one text here in four copies</p>") for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string"), shard_pages=shard).collect()}
+    assert got == prose | {100 + i: "only one text here in four copies" for i in range(4)}
+
+
+def test_boilerplate_inside_articles(spark):
+    html = "<article><p>unique words of number {0} a{0}</p><p>Subscribe to our paper for more of this every day</p></article><div>outside but unique {0}</div>"
+    rows = [(i, f"http://a.org/{i}", html.format(i)) for i in range(9)]
+    got = {r["page_id"]: r for r in extracted(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {i: r["text"] for i, r in got.items()} == {i: f"unique words of number {i} a{i} outside but unique {i}" for i in range(9)}
+    assert {(r["outside_blocks"], r["repeated_blocks"]) for r in got.values()} == {(1, 1)}
+
+
 def test_given_pages(spark):
     import re
     from html import unescape
