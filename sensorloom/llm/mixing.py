@@ -4,23 +4,29 @@ The documents of a source are dealt into blocks. In a schedule of one block a sl
 of weight w may not start before slot floor((i-1)/w) and is due by ceil(i/w); slots go to the released block with the
 earliest deadline. At every slot each source then stands less than one block from its share.
 
-Weights are rounded to a grid of Q parts, so the schedule repeats after Q slots, and one period is all that is ever
-computed: a block finds its slot by its number alone. When a source runs out, the others go on with its share.
+Weights are exact fractions. The schedule repeats after their common denominator, so one period stands for all; where the
+denominator is larger than the mix, every block is scheduled once, in about two microseconds. When a source runs out, the
+others start a schedule of their own from that slot, with their exact weights.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
+from math import gcd, lcm
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sensorloom.session import scratch_dir
+
 #: Documents in a block.
 BLOCK = 32
-#: Slots of a period, the grid of the weights; raised to the number of sources where there are more.
-PERIOD = 1_000
+#: Rows of the schedule that the driver holds at once; longer ones are written in pieces.
+PIECE = 500_000
 #: Rows of a source numbered in one task, about: texts of some ten megabytes.
 BUCKET_ROWS = 5_000
 
@@ -40,7 +46,21 @@ def parts(weights: dict[str, float], period: int) -> dict[str, int]:
     return got
 
 
+def exact_parts(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in the very proportion of the weights as they are written in decimals."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    common = lcm(*(x.denominator for x in exact.values()))
+    whole = {s: int(x * common) for s, x in exact.items()}
+    least = gcd(*whole.values())
+    return {s: n // least for s, n in whole.items()}
+
+
 def period_schedule(share: dict[str, int]) -> list[str]:
+    """The source of each slot of a period, see ``_slots``."""
+    return list(_slots(share))
+
+
+def _slots(share: dict[str, int]) -> Iterator[str]:
     """The source of each slot of a period: earliest deadline first among released blocks.
 
     Ties are Pfair ties: a deadline at which the next block is released already (overlapping windows) goes first,
@@ -50,59 +70,66 @@ def period_schedule(share: dict[str, int]) -> list[str]:
     released: dict[int, list[tuple[str, int]]] = {}
     for s in share:
         released.setdefault(0, []).append((s, 1))
-    order = []
-    for slot in range(q):
+    slot = -1
+    while (slot := slot + 1) < q:
         for s, i in released.pop(slot, []):
             due = -(-i * q // share[s])
             overlap = (i * q) % share[s] != 0
             heapq.heappush(waiting, (due, 0 if overlap else 1, -share[s], s, i))
         _, _, _, s, i = heapq.heappop(waiting)
-        order.append(s)
+        yield s
         if i < share[s]:
             released.setdefault(max(slot + 1, i * q // share[s]), []).append((s, i + 1))
-    return order
 
 
-def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[tuple[str, int, int, int, int]]:
-    """Rows (source, first block, blocks a period, index in period, slot of its first run) with the period's length.
+def phases(blocks: dict[str, int], weights: dict[str, float], period: int | None = None) -> list[tuple[str, int, int, int, int, int]]:
+    """Rows (source, first block, blocks a period, slot of it, times, length of the period), see ``_phases``."""
+    return list(_phases(blocks, weights, period))
 
-    As many rows as sources times period at most for each source that runs out, whatever the number of blocks: each
-    row stands for every block of the source with that index as long as the phase lasts. See ``scheduled``.
-    """
+
+def _phases(blocks: dict[str, int], weights: dict[str, float], period: int | None) -> Iterator[tuple[str, int, int, int, int, int]]:
+    """Each row stands for ``times`` blocks of a source, one a period. A phase ends with the slot in which a source runs out.
+
+    Whole periods are one row for each slot of the period; where a phase is shorter than a period, a row is one block."""
     left = {s: n for s, n in blocks.items() if n > 0}
-    done = dict.fromkeys(left, 0)
-    rows, slot = [], 0
+    done, slot = dict.fromkeys(left, 0), 0
     while left:
-        size = max(period, len(left))
-        share = parts({s: weights[s] for s in left}, size)
-        order = period_schedule(share)
-        whole = min(left[s] // share[s] for s in left)
-        for last in (False, True):
-            times = 1 if last else whole
-            if not times:
-                continue
-            if last:
-                # one more period, in which the sources that run out leave their slots to the others
-                seen = dict.fromkeys(left, 0)
-                cut = []
-                for s in order:
-                    if seen[s] < left[s]:
-                        cut.append(s)
-                        seen[s] += 1
-                    elif cut and all(seen[x] >= left[x] for x in left):
-                        break
-                order = cut
+        now = {s: weights[s] for s in left}
+        share = parts(now, max(period, len(left))) if period else exact_parts(now)
+        q = sum(share.values())
+        if times := min(left[s] // share[s] for s in left):
             index = dict.fromkeys(left, 0)
-            own = {s: order.count(s) for s in left}
-            for at, s in enumerate(order):
-                rows.append((s, done[s], own[s], index[s], slot + at, times, len(order)))
+            for at, s in enumerate(_slots(share)):
+                yield s, done[s] + index[s], share[s], slot + at, times, q
                 index[s] += 1
-            for s in list(left):
-                left[s] -= own[s] * times
-                done[s] += own[s] * times
-            slot += len(order) * times
-        left = {s: n for s, n in left.items() if n > 0}
-    return rows
+            for s in left:
+                left[s] -= share[s] * times
+                done[s] += share[s] * times
+            slot += q * times
+        if all(left.values()):
+            for s in _slots(share):
+                yield s, done[s], 1, slot, 1, 1
+                done[s] += 1
+                left[s] -= 1
+                slot += 1
+                if not left[s]:
+                    break
+        left = {s: n for s, n in left.items() if n}
+
+
+def _schedule(spark: SparkSession, rows: Iterator[tuple]) -> DataFrame:
+    """Slot of every block, from the rows of ``_phases``."""
+    kind = "_s string, _first bigint, _each bigint, _slot bigint, _times bigint, _length bigint"
+    piece = list(islice(rows, PIECE))
+    table = spark.createDataFrame(piece, kind)
+    if len(piece) == PIECE:
+        path = scratch_dir(spark, "schedule")
+        while piece:
+            spark.createDataFrame(piece, kind).write.mode("append").parquet(path)
+            piece = list(islice(rows, PIECE))
+        table = spark.read.schema(kind).parquet(path)
+    turns = table.filter("_times > 0").select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_times") - 1)).alias("_turn"))
+    return turns.select("_s", (F.col("_first") + F.col("_turn") * F.col("_each")).alias("mix_block"), (F.col("_slot") + F.col("_turn") * F.col("_length")).alias("mix_slot"))
 
 
 def numbered(docs: DataFrame, key: str, source: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -128,14 +155,14 @@ def mixed(
     key: str = "doc_id",
     source: str = "source",
     block: int = BLOCK,
-    period: int = PERIOD,
+    period: int | None = None,
 ) -> DataFrame:
     """Every row with its place in the mix: columns of the table plus mix_source, mix_block, mix_slot, mix_place.
 
     mix_slot numbers the blocks of the whole mix from 0 without gaps, mix_place the rows of a block; the mix is the
     order by (mix_slot, mix_place). The last block of a source may be short. ``weights`` maps sources to target
     weights; a source without one, and all where none are given, gets the mean weight (1). Weights are relative; zero
-    or less is an error. Null is a source like any other (mix_source ""). No row is dropped or repeated. Rows of equal
+    or less is an error. With ``period`` they are first rounded to so many parts. Null is a source like any other (mix_source ""). No row is dropped or repeated. Rows of equal
     ids and source follow each other in any order. An empty table gives an empty one. The number of sources is taken
     to fit the driver (one count each). Columns of the table that have the names of the new ones are replaced.
     """
@@ -146,28 +173,9 @@ def mixed(
     rows = docs.withColumn("_s", F.coalesce(F.col(source).cast("string"), F.lit("")))
     counts = {r["_s"]: r["c"] for r in rows.groupBy("_s").agg(F.count("*").alias("c")).collect()}
     mean = sum(weights.values()) / len(weights) if weights else 1.0
-    plan = phases({s: -(-c // block) for s, c in counts.items()}, {s: weights.get(s, mean) for s in counts}, period)
-    table = docs.sparkSession.createDataFrame(
-        plan or [("", 0, 1, 0, 0, 0, 0)],
-        "_s string, _from bigint, _each bigint, _index bigint, _slot bigint, _times bigint, _length bigint",
-    )
+    plan = _phases({s: -(-c // block) for s, c in counts.items()}, {s: weights.get(s, mean) for s in counts}, period)
+    schedule = _schedule(docs.sparkSession, plan)
     placed = numbered(rows, key, source)
     placed = placed.withColumn("mix_block", F.floor(F.col("_n") / block)).withColumn("mix_place", F.pmod("_n", F.lit(block)))
-    spans = table.select("_s", "_from", "_each", "_times", (F.col("_from") + F.col("_each") * F.col("_times")).alias("_to")).distinct()
-    spans = spans.groupBy("_s").agg(F.sort_array(F.collect_list(F.struct("_from", "_each", "_to"))).alias("_spans"))
-    # the phase of a block is one of as many as sources run out before this one
-    placed = placed.join(spans, "_s")
-    placed = placed.withColumn("_span", F.filter("_spans", lambda p: (p["_from"] <= F.col("mix_block")) & (p["_to"] > F.col("mix_block")))[0])
-    placed = placed.withColumn("_from", F.col("_span._from")).withColumn(
-        "_index", F.pmod(F.col("mix_block") - F.col("_span._from"), F.col("_span._each"))
-    )
-    slots = table.select("_s", "_from", "_index", "_slot", "_each", "_length")
-    placed = placed.join(slots, ["_s", "_from", "_index"])
-    turn = F.floor((F.col("mix_block") - F.col("_from")) / F.col("_each"))
-    return placed.select(
-        *[F.col(c) for c in docs.columns],
-        F.col("_s").alias("mix_source"),
-        "mix_block",
-        (F.col("_slot") + turn * F.col("_length")).alias("mix_slot"),
-        "mix_place",
-    )
+    placed = placed.join(schedule, ["_s", "mix_block"])
+    return placed.select(*[F.col(c) for c in docs.columns], F.col("_s").alias("mix_source"), "mix_block", "mix_slot", "mix_place")

@@ -349,6 +349,24 @@ def test_mix_holds_all_rows_and_follows_weights(spark):
     assert again.columns == mixed(docs).columns and again.count() == len(rows)
 
 
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 1, "c": 1}, {"a": 1e-4, "b": 0.7, "c": 0.12345}, {f"s{i}": 1 + i % 7 for i in range(1200)}])
+def test_deviation_from_given_weights(weights):
+    total, n = sum(weights.values()), 60_000
+    blocks = {s: int(w / total * n) + 2 for s, w in weights.items()}
+    slots = {}
+    for s, first, each, slot, times, length in phases(blocks, weights):
+        for t in range(times):
+            assert slots.setdefault(slot + t * length, (s, first + t * each)) == (s, first + t * each)
+    assert sorted(slots) == list(range(sum(blocks.values())))
+    seen = Counter()
+    for slot in range(len(slots)):
+        s, i = slots[slot]
+        assert i == seen[s]
+        seen[s] += 1
+        if (slot + 1) % 97 == 0 and slot < n // 2:
+            assert all(abs(seen[x] - w / total * (slot + 1)) < 1 + 1e-6 for x, w in weights.items())
+
+
 def test_numbers_of_phases_do_not_grow():
     assert len(phases({"a": 10**9, "b": 10**7}, {"a": 1, "b": 1}, 10)) < 100
     with pytest.raises(ValueError):
