@@ -13,6 +13,7 @@ from sensorloom.llm.fingerprints import fingerprints
 from sensorloom.llm.hmm import score, train
 from sensorloom.llm.mixing import mixed
 from sensorloom.llm.near_dedup import STRICT, near_duplicates
+from sensorloom.llm.near_vectors import near_vectors
 from sensorloom.llm.pages import extracted
 from sensorloom.llm.suffixes import repeated_passages
 from sensorloom.llm.toxicity import learn, toxicity
@@ -111,3 +112,25 @@ def likelihood_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(docs, model, counts).withColumnRenamed("id", "doc_id")
     tokens = F.lit(model.vocabulary.tokens).cast("bigint").alias("train_tokens")
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", tokens, "base_score", "score")
+
+
+@query("op11_tiled_cosine")
+def near_vectors_of_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of one label at a cosine of 0.93."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+ORACLE["op11_tiled_cosine"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+l AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r(vec_id, at) AS (SELECT u, v FROM l UNION SELECT r.vec_id, l.v FROM r JOIN l ON l.u = r.at),
+c AS (SELECT vec_id, min(at) AS least FROM r GROUP BY vec_id),
+n AS (SELECT u AS vec_id, count(*) AS n FROM l GROUP BY u)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id,
+       vec_id <= coalesce(c.least, vec_id) AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)"""
