@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.llm.centroids import centroid_clusters
 from sensorloom.llm.common import crc_bucket, table
 from sensorloom.llm.decontaminate import contamination
 from sensorloom.llm.fingerprints import fingerprints
@@ -123,14 +124,51 @@ def near_vectors_of_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_tiled_cosine"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 l AS MATERIALIZED (
   SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
-r(vec_id, at) AS (SELECT u, v FROM l UNION SELECT r.vec_id, l.v FROM r JOIN l ON l.u = r.at),
-c AS (SELECT vec_id, min(at) AS least FROM r GROUP BY vec_id),
+r(vec_id, peer) AS (SELECT u, v FROM l UNION SELECT r.vec_id, l.v FROM r JOIN l ON l.u = r.peer),
+c AS (SELECT vec_id, min(peer) AS least FROM r GROUP BY vec_id),
 n AS (SELECT u AS vec_id, count(*) AS n FROM l GROUP BY u)
 SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id,
        vec_id <= coalesce(c.least, vec_id) AS kept
 FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)"""
+
+
+@query("op12_rotated_centroids")
+def clusters_of_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight centroids, ten rounds, over integer vectors."""
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def _rounds(rounds: int) -> str:
+    """SQL of the assignments and centroids of all rounds: a<r> after c<r>; c<r + 1> from a<r>."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, v, min({{'d': d, 'k': k}}).k AS k, min({{'d': d, 'k': k}}).d AS d FROM (
+    SELECT vec_id, v.v, c.k, list_sum(list_transform(generate_series(1, 64), lambda i: (v.v[i] - c.c[i]) * (v.v[i] - c.c[i])))::BIGINT AS d
+    FROM v CROSS JOIN c{r} c) GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(n.c, c.c) AS c FROM c{r} c LEFT JOIN (
+    SELECT k, list(f ORDER BY i) AS c FROM (
+      SELECT k, i, ((sum(v[i]) - (sum(v[i]) % count(*) + count(*)) % count(*)) // count(*))::BIGINT AS f
+      FROM a{r} CROSS JOIN (SELECT unnest(generate_series(1, 64)) AS i) GROUP BY k, i) GROUP BY k) n USING (k))""")
+    return ",".join(steps)
+
+
+ORACLE["op12_rotated_centroids"] = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1)::INTEGER AS k, v AS c FROM v
+  ORDER BY sha256('3:' || vec_id), v LIMIT 8),{_rounds(10)}
+SELECT vec_id, a.k AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.k))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a10 a JOIN c10 c USING (k)"""
