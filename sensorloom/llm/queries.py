@@ -16,6 +16,7 @@ from sensorloom.llm.mixing import mixed
 from sensorloom.llm.near_dedup import STRICT, near_duplicates
 from sensorloom.llm.near_vectors import near_vectors
 from sensorloom.llm.pages import extracted
+from sensorloom.llm.ranked import ranked
 from sensorloom.llm.suffixes import repeated_passages
 from sensorloom.llm.toxicity import learn, toxicity
 from sensorloom.llm.url_rules import ListRule, judged
@@ -172,3 +173,26 @@ c0 AS MATERIALIZED (
 SELECT vec_id, a.k AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.k))::BIGINT AS cluster_inertia,
        (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
 FROM a10 a JOIN c10 c USING (k)"""
+
+
+@query("op13_dual_tree")
+def documents_ranked_for_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
+ORACLE["op13_dual_tree"] = r"""
+WITH t AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+c AS (SELECT count(*)::BIGINT AS nn, sum(len(terms))::BIGINT AS ll FROM t WHERE len(terms) > 0),
+tf AS (SELECT doc_id, len(terms) AS n, term, count(*) AS tf FROM (SELECT doc_id, terms, unnest(terms) AS term FROM t)
+       WHERE term IN (SELECT term FROM i) GROUP BY doc_id, len(terms), term),
+w AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nn) // ll)))))::BIGINT AS score
+      FROM i JOIN tf USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50"""

@@ -68,14 +68,19 @@ def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, at - at[0]
 
 
-def words(texts: pa.Array) -> Words:
-    """Split and hash all words of the texts."""
+#: Bytes between words: ASCII white space, and every ASCII character but letters and digits.
+SPACES = (32, *range(9, 14))
+NO_LETTERS = tuple(b for b in range(128) if not chr(b).isalnum())
+
+
+def words(texts: pa.Array, between: tuple[int, ...] = SPACES) -> Words:
+    """Split and hash all words of the texts, which are runs of bytes other than those ``between`` them."""
     data, at = raw_bytes(texts)
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
     data = lower[data]
     blank = np.zeros(256, bool)
-    blank[[32, *range(9, 14)]] = True
+    blank[list(between)] = True
     space = blank[data]
     n = len(data)
     before, after = np.ones(n, bool), np.ones(n, bool)
