@@ -19,7 +19,8 @@ from sensorloom.operators import decode, index, infer  # noqa: E402
 from sensorloom.operators.ontology import project_json  # noqa: E402
 from sensorloom.operators.sequence import number_rows  # noqa: E402
 from sensorloom.plans import export, reports  # noqa: E402
-from sensorloom.plans.store import SequenceStore, publish  # noqa: E402
+from sensorloom.plans.publish import publish
+from sensorloom.plans.store import SequenceStore  # noqa: E402
 from sensorloom.session import STATIC_CONF, configure, scratch_dir  # noqa: E402
 from sensorloom.sources.bridges import event_channels, event_messages  # noqa: E402
 

@@ -9,6 +9,7 @@ from registered.decoding import event_json
 from registered.registry import EV, messages_from, query
 from registered.sources import event_store, talk_store
 from sensorloom.operators import decode, index, infer, routing
+from sensorloom.operators.catalogue import field_catalogue
 from sensorloom.operators.ontology import default_registry
 from sensorloom.operators.sequence import number_rows
 from sensorloom.plans.reports import global_range
@@ -110,16 +111,39 @@ def a9(spark, sf_dir):
     )
 
 
+# Fields of the event messages: topic, path, kind, and which rows have them.
+_EVENT_FIELDS = [
+    *(("click", path, "object", "TRUE") for path in ("header", "header.stamp", "linear_acceleration", "angular_velocity", "orientation")),
+    *(("click", path, "integer", "TRUE") for path in ("header.stamp.sec", "header.stamp.nanosec", "linear_acceleration.y", "angular_velocity.z")),
+    *(("click", path, "num", "TRUE") for path in ("linear_acceleration.x", "linear_acceleration.z", "angular_velocity.x", "angular_velocity.y")),
+    *(("click", path, "num", "TRUE") for path in ("orientation.x", "orientation.w")),
+    ("click", "header.frame_id", "text", "TRUE"),
+    *(("click", path, "nums", "TRUE") for path in ("linear_acceleration_covariance", "orientation_covariance")),
+    ("view", "data", "num", "TRUE"),
+    *(("signup", path, "integer", "TRUE") for path in ("longitude", "altitude", "position_covariance_type")),
+    ("signup", "latitude", "num", "TRUE"),
+    ("signup", "position_covariance", "nums", "TRUE"),
+    ("signup", "status", "object", "event_id % 2 = 0"),
+    *(("signup", path, "integer", "event_id % 2 = 0") for path in ("status.status", "status.service")),
+    ("purchase", "value", "num", "TRUE"),
+    ("purchase", "transforms", "list", "event_id % 4 > 0"),
+    ("purchase", "transforms", "empty", "event_id % 4 = 0"),
+    *(("error", path, kind, "event_id % 10 NOT IN (0, 1)") for path, kind in (("value", "num"), ("user_id", "integer"))),
+]
+
+
 @query(
     "a10_key_union",
-    """SELECT '/error' AS topic, 'OBJECT<user_id: BIGINT, value: DECIMAL>' AS shape FROM events WHERE event_type = 'error' GROUP BY 1
-       UNION ALL SELECT '/view', 'OBJECT<data: DECIMAL>' FROM events WHERE event_type = 'view' GROUP BY 1""",
+    " UNION ALL ".join(
+        f"""SELECT '/{topic}' AS topic, '{path}' AS path, '{kind}' AS kind, COUNT(*) AS rows FROM events
+            WHERE event_type = '{topic}' AND {has} HAVING COUNT(*) > 0"""
+        for topic, path, kind, has in _EVENT_FIELDS
+    ),
 )
 def a10(spark, sf_dir):
-    """Precision of decimals follows the data and is not compared."""
-    messages = event_messages(spark, sf_dir).where(c("topic").isin("/error", "/view"))
-    shapes = infer.topic_shapes(decode.good_rows(decode.decode_json(messages)), ["topic"])
-    return shapes.select("topic", F.regexp_replace("shape", r"\([0-9,]+\)", "").alias("shape"))
+    """The fields of all topics in one pass over the messages."""
+    decoded = decode.good_rows(decode.decode_json(event_messages(spark, sf_dir)))
+    return field_catalogue(decoded, ["topic"]).withColumn("path", F.array_join("path", "."))
 
 
 # ---------------------------------------------------------------- numbers, order, limit, union

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registered.registry import EV, GOOD_EVENT, messages_from, query
@@ -352,15 +352,47 @@ def d22(spark, sf_dir):
 
 @query(
     "d23_sample_before_decode",
-    f"WITH {EV} SELECT ns AS timestamp_ns, value, CASE WHEN event_id >= 5000 THEN user_id END AS late FROM ev",
+    f"WITH {EV} SELECT ns AS timestamp_ns, value, CASE WHEN event_id % 7 = 6 THEN user_id END AS late FROM ev",
 )
 def d23(spark, sf_dir):
     """Fields that first appear in later rows are found as well: every row is asked for its fields."""
-    late = F.when(c("event_id") >= 5000, c("user_id"))
+    late = F.when(c("event_id") % 7 == 6, c("user_id"))
     table = infer.channel_table(event_json(spark, sf_dir, json_of(value=c("value"), late=late)))
     return decode.good_rows(table).select("timestamp_ns", "value", "late")
 
 
+@query(
+    "d23_first_messages",
+    f"""WITH {EV}, f AS (SELECT *, row_number() OVER (ORDER BY ns, event_id) AS place FROM ev)
+        SELECT ns AS timestamp_ns, 2 AS fields, CASE WHEN place % 3 = 1 THEN value END AS early, place AS every FROM f""",
+)
+def d23_sample(spark, sf_dir):
+    """A decoder that asks for the first 100 messages knows the fields of these: what begins later has no column."""
+    place = F.row_number().over(Window.orderBy("ns", "event_id"))
+    rows = event_rows(spark, sf_dir).withColumn("place", place)
+    payload = json_of(every=c("place"), early=F.when(c("place") % 3 == 1, c("value")), rare=F.when(c("place") > 100, c("user_id")))
+    sent = as_messages(rows, F.lit("events"), F.lit(1), F.lit("/all"), c("ns"), c("event_id"), payload)
+    table = decode.good_rows(infer.channel_table(sent, sample_rows=100))
+    return table.select("timestamp_ns", F.lit(len(table.columns) - 1).alias("fields"), "early", "every")
+
+
+@query(
+    "d21_open_keys",
+    f"""WITH {EV} SELECT ns AS timestamp_ns, k, 'u' || user_id % 120 AS key, value, 2 AS columns FROM ev""",
+)
+def d21_open(spark, sf_dir):
+    """An object whose members are ids is one map column, which holds every member."""
+    payload = F.concat(
+        F.lit('{"k":'), c("k").cast("string"), F.lit(',"by_user":{"u'), (c("user_id") % 120).cast("string"), F.lit('":{"seen":['),
+        c("value").cast("string"), F.lit("]}}}"),
+    )
+    table = infer.channel_table(event_json(spark, sf_dir, payload), limit=40)
+    wide = decode.good_rows(table).withColumn("columns", F.lit(len(table.columns) - 2))
+    key = F.map_keys("by_user")[0]
+    value = F.get_json_object(F.map_values("by_user")[0], "$.seen[0]").cast("double")
+    return wide.select("timestamp_ns", "k", key.alias("key"), value.alias("value"), "columns")
+
+
 # ---------------------------------------------------------------- scans
 
 

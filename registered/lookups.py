@@ -9,7 +9,7 @@ from sensorloom.operators import decode, routing
 from sensorloom.operators.flatten import flatten_structs
 from sensorloom.operators.index import message_counts, topic_scan, with_counts
 from sensorloom.operators.ontology import default_registry, project_flat, project_json
-from sensorloom.plans.store import Router, project_messages
+from sensorloom.plans.publish import Router, project_messages
 from sensorloom.sources.bridges import (
     event_channels,
     event_messages,

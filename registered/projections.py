@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registered.registry import EV, GOOD_EVENT, lines, messages_from, orders, projected, query, scalars_of
+from registered.sources import _once
 from sensorloom.operators import infer
 from sensorloom.operators.decode import good_rows
 from sensorloom.operators.flatten import flatten_structs
 from sensorloom.operators.index import topic_scan
 from sensorloom.operators.ontology import project_flat, project_json
-from sensorloom.sources.bridges import event_messages, json_of, load, talk_messages
+from sensorloom.operators.routing import tag_map
+from sensorloom.plans.publish import publish
+from sensorloom.plans.store import SequenceStore
+from sensorloom.session import scratch_dir
+from sensorloom.sources.bridges import event_channels, event_messages, json_of, load, talk_messages
 
 c = F.col
 
@@ -401,6 +406,49 @@ def o21(spark, sf_dir):
     return good_rows(infer.raw_projection(topic_scan(event_messages(spark, sf_dir), "/error")))
 
 
+def raw_store(spark, sf_dir):
+    """Two topics with different fields, and some broken messages, published under the tag ``raw``."""
+
+    def make():
+        messages = event_messages(spark, sf_dir).where("topic in ('/error', '/signup', '/click')")
+        channels = event_channels(spark, sf_dir).where("topic in ('/error', '/signup')").withColumn("schema_name", F.lit("acme/Any"))
+        store = SequenceStore(spark, scratch_dir(spark, "store"))
+        key, _ = publish(store, messages, channels, tags=tag_map(spark, {"acme/Any": "raw"}))
+        return store, key
+
+    return _once(spark, "raw", sf_dir, make)
+
+
+@query(
+    "o21_raw_published",
+    f"""WITH {EV} SELECT '/error' AS topic, '_log_time_ns,timestamp_ns,user_id,value' AS columns, ns AS timestamp_ns, ns AS _log_time_ns, user_id, value,
+        NULL::BIGINT AS service FROM ev WHERE event_type = 'error' AND {GOOD_EVENT}
+        UNION ALL SELECT '/signup', '_log_time_ns,altitude,latitude,longitude,position_covariance,position_covariance_type,status.service,status.status,timestamp_ns',
+        ns, ns, user_id, value, CASE WHEN event_id % 2 = 0 THEN k END FROM ev WHERE event_type = 'signup'""",
+)
+def o21_published(spark, sf_dir):
+    """Topics of one tag pulled with the columns that each of them has."""
+    store, _ = raw_store(spark, sf_dir)
+    error, signup = store.pull_topic("events", "/error"), store.pull_topic("events", "/signup")
+    named = lambda df, topic: df.withColumns({"topic": F.lit(topic), "columns": F.lit(",".join(sorted(df.columns)))})
+    out = ["topic", "columns", "timestamp_ns", "_log_time_ns"]
+    one = named(error, "/error").select(*out, "user_id", "value", F.lit(None).cast("bigint").alias("service"))
+    two = named(signup, "/signup").select(
+        *out, c("longitude").alias("user_id"), c("latitude").alias("value"), c("`status.service`").alias("service")
+    )
+    return one.unionByName(two)
+
+
+@query(
+    "o21_raw_rejects",
+    f"""WITH {EV} SELECT '/error' AS topic, ns AS log_time_ns, CASE event_id % 10 WHEN 0 THEN 'parse_error' ELSE 'not_object' END AS reason
+        FROM ev WHERE event_type = 'error' AND NOT ({GOOD_EVENT})""",
+)
+def o21_rejects(spark, sf_dir):
+    store, key = raw_store(spark, sf_dir)
+    return store.rejects(key, "raw").select("topic", "log_time_ns", "reason")
+
+
 # ---------------------------------------------------------------- scalars
 
 
@@ -449,7 +497,14 @@ _whole_query(27, "integer64", -(2**63), 2**63 - 1, "l_orderkey * -1000000007", "
 _whole_query(28, "unsigned8", 0, 2**8 - 1, "l_partkey - 50", "SMALLINT")
 _whole_query(29, "unsigned16", 0, 2**16 - 1, "(l_partkey - 50) * 60", "INTEGER")
 _whole_query(30, "unsigned32", 0, 2**32 - 1, "(l_partkey - 50) * 3000000", "BIGINT")
-_whole_query(31, "unsigned64", 0, 2**63 - 1, "(l_partkey - 50) * 1000000007", "DECIMAL(20,0)")
+# the greatest of all, one beyond it, and values on both sides of 2^63 and of 0
+_whole_query(
+    31, "unsigned64", 0, 2**64 - 1,
+    """CASE l_partkey % 5 WHEN 0 THEN CAST('18446744073709551615' AS DECIMAL(20,0)) WHEN 1 THEN CAST('18446744073709551616' AS DECIMAL(20,0))
+       WHEN 2 THEN CAST('9223372036854775808' AS DECIMAL(20,0)) + CAST(l_partkey AS DECIMAL(20,0))
+       WHEN 3 THEN CAST(l_partkey - 50 AS DECIMAL(20,0)) ELSE CAST('9223372036854775807' AS DECIMAL(20,0)) - CAST(l_partkey AS DECIMAL(20,0)) END""",
+    "DECIMAL(20,0)",
+)
 
 
 def _real_query(number: int, tag: str, shown: str):

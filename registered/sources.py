@@ -9,7 +9,8 @@ from sensorloom.operators import index, infer
 from sensorloom.operators.decode import good_rows
 from sensorloom.operators.definitions import json_schema
 from sensorloom.plans import export
-from sensorloom.plans.store import NO_CHANNEL, SequenceStore, publish
+from sensorloom.plans.publish import publish
+from sensorloom.plans.store import NO_CHANNEL, SequenceStore
 from sensorloom.session import scratch_dir
 from sensorloom.sources import messages as M
 from sensorloom.sources.bridges import (

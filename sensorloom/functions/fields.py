@@ -27,6 +27,11 @@ INT_RANGES = {
 }
 
 
+def whole_kind(kind: str) -> str:
+    """Kind of the leaf that an integer of this width is read from: one of any size where bigint is too small."""
+    return "whole" if kind == "uint64" else "integer"
+
+
 def ranged(value: Column, kind: str) -> Column:
     """An integer column narrowed to a width; null when outside of it."""
     low, high, spark_type = INT_RANGES[kind]
@@ -45,6 +50,9 @@ _TEXTS = "(startswith(to_json({x}), '[\"') AND coalesce(" + _ALL_TEXT + ", false
 VARIANT_SQL = {
     "num": "CASE WHEN NOT " + _TEXT + " THEN try_variant_get({x}, '$', 'double') END",
     "integer": "CASE WHEN schema_of_variant({x}) = 'BIGINT' THEN try_variant_get({x}, '$', 'bigint') END",
+    # any size: 1.0 and 1e3 are none, but beyond 2^63 an integer and a real without a fraction look the same here
+    "whole": "CASE WHEN schema_of_variant({x}) = 'BIGINT' THEN CAST(try_variant_get({x}, '$', 'bigint') AS DECIMAL(38,0)) "
+    r"WHEN schema_of_variant({x}) RLIKE '^DECIMAL\\((19|[23][0-9]),0\\)$' THEN CAST(to_json({x}) AS DECIMAL(38,0)) END",
     "flag": "CASE WHEN to_json({x}) IN ('true', 'false') THEN try_variant_get({x}, '$', 'boolean') END",
     "text": "CASE WHEN " + _TEXT + " THEN try_variant_get({x}, '$', 'string') END",
     "nums": "CASE WHEN " + _NUMBERS + " THEN try_variant_get({x}, '$', 'array<double>') END",
@@ -67,6 +75,10 @@ def json_path(path: tuple[str, ...]) -> str:
 
 
 def variant_sql(kind: str, leaf: str) -> str:
+    """SQL of a leaf read as a kind; ``map:<kind>`` reads all members of an object as that kind, without null ones."""
+    if kind.startswith("map:"):
+        members = f"map_filter(try_variant_get({leaf}, '$', 'map<string,variant>'), (k, v) -> v IS NOT NULL AND NOT is_variant_null(v))"
+        return f"transform_values({members}, (k, v) -> {variant_sql(kind[4:], 'v')})"
     return VARIANT_SQL[kind].replace("{x}", leaf)
 
 
@@ -108,10 +120,10 @@ class FieldProbe:
         return self._note(path, "num", "float")
 
     def integer(self, path: str, kind: str) -> Column:
-        return self._note(path, "integer", INT_RANGES[kind][2])
+        return self._note(path, whole_kind(kind), INT_RANGES[kind][2])
 
     def out_of_range(self, path: str, kind: str) -> Column:
-        return self._note(path, "integer", "boolean")
+        return self._note(path, whole_kind(kind), "boolean")
 
     def text(self, path: str) -> Column:
         return self._note(path, "text", "string")
@@ -151,10 +163,10 @@ class LeafFields:
         return self._leaf("num", path).cast("float")
 
     def integer(self, path: str, kind: str) -> Column:
-        return ranged(self._leaf("integer", path), kind)
+        return ranged(self._leaf(whole_kind(kind), path), kind)
 
     def out_of_range(self, path: str, kind: str) -> Column:
-        value = self._leaf("integer", path)
+        value = self._leaf(whole_kind(kind), path)
         return value.isNotNull() & ranged(value, kind).isNull()
 
     def text(self, path: str) -> Column:

@@ -22,20 +22,29 @@ _FLAT_ARRAY = r"\[[^\[\]{}]*\]"
 BIG_NUMBER = "9[2-9][0-9]{17}|[0-9]{20}|[eE][+]?[0-9]{3}"
 END_MARK = "end-of-payload-7d1f0c52"
 _HUGE_NUMBER = r"[0-9]{309,}|-?[0-9]+(?:\.[0-9]+)?[eE]\+?[0-9]{3,}"
+_ANY_INTEGER = r"(?<![0-9.eE+\-])-?[0-9]{19,38}(?![0-9.eE])"
 _BIG_INTEGER = r"(?<![0-9.eE+\-])[0-9]{19,20}(?![0-9.eE])"
 
 
-def _int_overflow(text: Column) -> Column:
-    """A scalar integer in (2^63-1, 2^64-1]: it fits neither bigint nor the real-number rule."""
+# Integers that fit 64 bits without a sign only.
+_LEAST_UNSIGNED, _GREATEST_UNSIGNED = "9223372036854775808", "18446744073709551615"
+
+
+def unsigned_only(value: Column) -> Column:
+    """Whether a number lies in (2^63-1, 2^64-1]."""
+    return value.between(F.lit(_LEAST_UNSIGNED).cast("decimal(20,0)"), F.lit(_GREATEST_UNSIGNED).cast("decimal(20,0)"))
+
+
+def big_integers(text: Column) -> Column:
+    """The integer literals of 19 to 38 digits in a JSON text, as they stand there."""
+    return F.regexp_extract_all(F.regexp_replace(text, _STRING_LITERAL, '""'), F.lit(_ANY_INTEGER), F.lit(0))
+
+
+def _int_overflow(text: Column, read: Column) -> Column:
+    """A scalar integer in (2^63-1, 2^64-1], which fits neither bigint nor the real-number rule, beyond the ``read`` ones."""
     bare = F.regexp_replace(F.regexp_replace(text, _STRING_LITERAL, '""'), _FLAT_ARRAY, "[]")
     found = F.regexp_extract_all(bare, F.lit(_BIG_INTEGER), F.lit(0))
-    big = F.exists(
-        found,
-        lambda t: t.cast("decimal(20,0)").between(
-            F.lit("9223372036854775808").cast("decimal(20,0)"),
-            F.lit("18446744073709551615").cast("decimal(20,0)"),
-        ),
-    )
+    big = F.size(F.filter(found, lambda t: unsigned_only(t.cast("decimal(20,0)")))) > read
     return F.when(text.rlike(BIG_NUMBER), big).otherwise(F.lit(False))
 
 
@@ -55,12 +64,12 @@ def wrapped_body(text: Column) -> Column:
     return F.when(ends, F.try_variant_get(array, "$[0]", "variant"))
 
 
-def json_reason(body: Column, text: Column) -> Column:
-    """Why a JSON message is bad; null for a good one."""
+def json_reason(body: Column, text: Column, unsigned: Column | None = None) -> Column:
+    """Why a JSON message is bad; null for a good one. ``unsigned``: how many integers beyond bigint are read as such."""
     return (
         F.when(body.isNull() | _too_large(text), "parse_error")
         .when(~text.rlike(r"^\s*\{"), "not_object")
-        .when(_int_overflow(text), "int_overflow")
+        .when(_int_overflow(text, F.lit(0) if unsigned is None else unsigned), "int_overflow")
     )
 
 

@@ -15,7 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.functions.fields import FieldProbe, leaf_name, leaf_sql, variant_sql
-from sensorloom.operators.decode import BIG_NUMBER, END_MARK, json_reason, json_text, wrapped_body
+from sensorloom.operators.decode import (
+    BIG_NUMBER,
+    END_MARK,
+    big_integers,
+    json_reason,
+    json_text,
+    unsigned_only,
+    wrapped_body,
+)
 
 Path = tuple[str, ...]
 Wants = dict[Path, set[str]]
@@ -29,9 +37,11 @@ _STRICT = {
 _FAST_TYPES = {
     "num": T.DoubleType(),
     "integer": T.LongType(),
+    "whole": T.LongType(),
     "flag": T.BooleanType(),
     "nums": T.ArrayType(T.DoubleType()),
 }
+_MOST = 2**63 - 1
 _KEY, _END = f"body-{END_MARK}", f"mark-{END_MARK}"
 
 
@@ -50,7 +60,7 @@ class _Plan:
         self.wants = wants
         self.roots: dict[Path, T.DataType] = {}
         for path in sorted(wants, key=len):
-            above = [path[:i] for i in range(1, len(path))]
+            above = [path[:i] for i in range(len(path))]
             if any(p in self.roots for p in above):
                 continue  # read from the variant of the path above
             below = any(q != path and q[: len(path)] == path for q in wants)
@@ -59,9 +69,11 @@ class _Plan:
             self.roots[path] = single or T.VariantType()
 
     def root_of(self, path: Path) -> Path:
-        return next(path[:i] for i in range(1, len(path) + 1) if path[:i] in self.roots)
+        return next(path[:i] for i in range(len(path) + 1) if path[:i] in self.roots)
 
-    def schema(self) -> T.StructType:
+    def schema(self) -> T.DataType:
+        if () in self.roots:  # the whole body is asked for
+            return self.roots[()]
         tree: dict = {}
         for path, data_type in self.roots.items():
             node = tree
@@ -103,8 +115,10 @@ def _leaf_columns(plan: _Plan) -> tuple[list[str], str, str]:
             if not typed:
                 column = variant_sql(kind, f"CASE WHEN _sound THEN {fast} ELSE {slow} END")
             else:
-                quick = f"{fast} IS NOT NULL" if kind == "has" else fast
+                quick = {"has": f"{fast} IS NOT NULL", "whole": f"CAST({fast} AS DECIMAL(38,0))"}.get(kind, fast)
                 column = f"CASE WHEN _sound THEN {quick} ELSE {variant_sql(kind, slow)} END"
+            if kind == "whole":  # beyond bigint only what the text has as an integer
+                column = f"IF({column} <= {_MOST}BD OR array_contains(_big, CAST({column} AS STRING)), {column}, NULL)"
             columns.append(f"{column} AS `{leaf_name(kind, path)}`")
         if kinds & {"nums", "texts", "anytext"}:
             mixed_slow.append(variant_sql("mixed", slow))
@@ -129,11 +143,19 @@ def extract(messages: DataFrame, wants: Wants) -> DataFrame:
     parsed = messages.select(
         "*", F.inline(F.array(F.struct(text.alias("_text"), F.from_json(framed, schema, _STRICT).alias("_parsed"))))
     )
-    checked = parsed.select("*", F.inline(F.array(F.struct(F.expr(_SOUND).alias("_sound")))))
+    # a body taken as a whole need not be an object: the second way finds out
+    sound = F.lit(False) if () in plan.roots else F.expr(_SOUND)
+    checked = parsed.select("*", F.inline(F.array(F.struct(sound.alias("_sound")))))
     checked = checked.withColumn("_body", F.when(~F.col("_sound"), wrapped_body(F.col("_text"))))
     columns, mixed_fast, mixed_slow = _leaf_columns(plan)
+    whole = [path for path, kinds in wants.items() if "whole" in kinds]
+    unsigned = F.lit(0)
+    if whole:
+        checked = checked.withColumn("_big", F.when(~F.col("_sound"), big_integers(F.col("_text"))))
+        for path in whole:
+            unsigned = unsigned + F.coalesce(unsigned_only(F.expr(variant_sql("whole", leaf_sql("_body", path)))), F.lit(False)).cast("int")
     reason = F.when(F.col("_sound"), F.when(F.expr(mixed_fast), "mixed_array")).otherwise(
-        F.coalesce(json_reason(F.col("_body"), F.col("_text")), F.when(F.expr(mixed_slow), "mixed_array"))
+        F.coalesce(json_reason(F.col("_body"), F.col("_text"), unsigned), F.when(F.expr(mixed_slow), "mixed_array"))
     )
     # so does this one, for the checks: a filter on the reason reads it instead of making it again
     judged = checked.select("*", F.inline(F.array(F.struct(reason.alias("reject_reason")))))

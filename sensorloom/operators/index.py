@@ -34,8 +34,8 @@ def recording_summary(messages: DataFrame) -> DataFrame:
     )
 
 
-def stored_figures(stored: DataFrame, keys: list[str], time: str) -> DataFrame:
-    """Rows, time range and bytes per key of a stored table, in one scan of the key and time columns.
+def file_figures(stored: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """Rows, time range and bytes per key and file of a stored table, in one scan of the key and time columns.
 
     A file shared by several keys counts for each by its rows.
     """
@@ -43,14 +43,24 @@ def stored_figures(stored: DataFrame, keys: list[str], time: str) -> DataFrame:
         *keys, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
     ).agg(F.count("*").alias("rows"), F.min(time).alias("ts_min"), F.max(time).alias("ts_max"))
     share = F.col("size") * F.col("rows") / F.sum("rows").over(Window.partitionBy("file"))
-    return per_file.withColumn("share", share).groupBy(*keys).agg(
+    return per_file.withColumn("bytes", share).drop("size")
+
+
+def figures_of(files: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows, time range and bytes per key of figures by file."""
+    return files.groupBy(*keys).agg(
         F.sum("rows").alias("rows"),
         F.min("ts_min").alias("ts_min"),
         F.max("ts_max").alias("ts_max"),
-        F.round(F.sum("share")).cast("bigint").alias("bytes"),
+        F.round(F.sum("bytes")).cast("bigint").alias("bytes"),
     )
 
 
+def stored_figures(stored: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """Rows, time range and bytes per key of a stored table, in one scan of the key and time columns."""
+    return figures_of(file_figures(stored, keys, time), keys)
+
+
 def recording_summary_with_size(stored_messages: DataFrame) -> DataFrame:
     """``recording_summary`` of a stored table, with file bytes."""
     figures = stored_figures(stored_messages, ["recording"], "log_time_ns")

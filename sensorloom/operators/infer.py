@@ -1,97 +1,36 @@
 """Tables from JSON topics whose fields are not known beforehand.
 
-Two passes over one topic: an aggregate that merges the shape of all bodies, then a select built from it.
-Only the merged shape (one string) reaches the driver; it names every field, so bodies whose keys are ids
-should be pulled with a fixed projection instead.
+Two passes over one topic: the catalogue of its fields (``operators.catalogue``), then a select built from it. The driver
+gets the columns of the table, which are bounded; an object with too many members is one map column.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sensorloom.functions.fields import leaf_name, leaf_sql, variant_sql
-from sensorloom.operators.decode import decode_json, good_rows
+from sensorloom.functions.fields import leaf_name
+from sensorloom.operators.catalogue import FIELDS, field_catalogue, readable_fields
+from sensorloom.operators.decode import decode_json, good_rows, sample_first
 from sensorloom.operators.extract import Path, Wants, extract
+from sensorloom.operators.raw import ALL_FIELDS
+
 
-_OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT<")
-
-
-def topic_shapes(decoded: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Key union over rows: the merged shape of the bodies per topic, as a type string."""
-    return decoded.groupBy(*(keys or ["recording", "topic"])).agg(F.schema_of_variant_agg("body").alias("shape"))
-
-
-def _parse_shape(shape: str) -> T.StructType:
-    text = _OBJECT.sub(lambda m: "STRUCT<" if m.group() == "OBJECT<" else m.group(), shape)
-    return T.DataType.fromDDL(text)
-
-
-def _paths(shape: T.StructType, above: Path = ()):
-    """Leaves of a merged shape; fields that are null everywhere do not count."""
-    for field in shape.fields:
-        path = above + (field.name,)
-        if isinstance(field.dataType, T.StructType):
-            yield from _paths(field.dataType, path)
-        elif not isinstance(field.dataType, T.NullType):
-            yield path, field.dataType
-
-
-def _kind(data_type: T.DataType) -> str:
-    """How a leaf of this merged type is read. Types that do not merge are read as text."""
-    number = (T.LongType, T.DecimalType, T.DoubleType)
-    if isinstance(data_type, T.ArrayType):
-        if isinstance(data_type.elementType, number + (T.NullType,)):
-            return "nums"
-        return "texts" if isinstance(data_type.elementType, T.StringType) else "anytext"
-    if isinstance(data_type, T.LongType):
-        return "integer"
-    if isinstance(data_type, number):
-        return "num"
-    return "flag" if isinstance(data_type, T.BooleanType) else "anytext"
-
-
-def _settle(decoded: DataFrame, paths: list[Path]) -> dict[Path, str]:
-    """Kind of leaves that merged to VARIANT, judged without the rows that are mixed in themselves."""
-    if not paths:
-        return {}
-    flags = []
-    for i, path in enumerate(paths):
-        leaf = leaf_sql("body", path)
-        sound, text = ~F.expr(variant_sql("mixed", leaf)), F.to_json(F.expr(leaf))
-        flags += [
-            F.bool_or(sound & text.rlike(r"^\[[-0-9]")).alias(f"n{i}"),
-            F.bool_or(sound & text.startswith('["')).alias(f"t{i}"),
-            F.bool_or(text.rlike(r"^[^\[]|^\[[^-0-9\"\]]")).alias(f"o{i}"),
-        ]
-    row = decoded.agg(*flags).first()
-    kinds = {}
-    for i, path in enumerate(paths):
-        numbers, texts, others = (bool(row[f"{k}{i}"]) for k in "nto")
-        if numbers and not texts and not others:
-            kinds[path] = "nums"
-        elif texts and not numbers and not others:
-            kinds[path] = "texts"
-    return kinds
-
-
-def topic_kinds(messages: DataFrame) -> dict[Path, str]:
-    """Every field of a topic and how to read it, sorted by name: the first pass, over all rows."""
-    decoded = good_rows(decode_json(messages))
-    shape = decoded.agg(F.schema_of_variant_agg("body").alias("shape")).first()["shape"]
-    if not shape.startswith("OBJECT<") or shape == "OBJECT<>":
-        return {}
-    leaves = list(_paths(_parse_shape(shape)))
-    element = lambda t: t.elementType if isinstance(t, T.ArrayType) else t
-    settled = _settle(decoded, [p for p, t in leaves if isinstance(element(t), T.VariantType)])
-    kinds = {}
-    for path, data_type in sorted(leaves, key=lambda leaf: len(leaf[0])):
+def topic_kinds(messages: DataFrame, sample_rows: int | None = None, limit: int = FIELDS) -> dict[Path, str]:
+    """Every field of a topic and how to read it, sorted by name: the first pass.
+
+    With ``sample_rows``, only fields of the first messages by log time are found, as decoders do that ask for a sample.
+    """
+    if sample_rows is not None:
+        messages = sample_first(messages, sample_rows)
+    # one topic, whatever it is called
+    decoded = good_rows(decode_json(messages)).select("body", F.lit("").alias("of"))
+    found = readable_fields(field_catalogue(decoded, ["of"]), ["of"], limit).select("path", "kind").collect()
+    kinds: dict[Path, str] = {}
+    for path, kind in sorted(((tuple(r["path"]), r["kind"]) for r in found), key=lambda leaf: len(leaf[0])):
         name = ".".join(path)
         kinds.pop(next((p for p in kinds if ".".join(p) == name), None), None)
-        kinds[path] = settled.get(path, _kind(data_type))
+        kinds[path] = kind
     return dict(sorted(kinds.items(), key=lambda item: ".".join(item[0])))
 
 
@@ -99,16 +38,17 @@ def _wants(kinds: dict[Path, str]) -> Wants:
     return {path: {kind} for path, kind in kinds.items()}
 
 
-def channel_table(messages: DataFrame, time_name: str = "timestamp_ns") -> DataFrame:
+def channel_table(messages: DataFrame, time_name: str = "timestamp_ns", sample_rows: int | None = None, limit: int = FIELDS) -> DataFrame:
     """One topic as a table: the log time first, then the union of all keys sorted by name.
 
-    ``reject_reason`` stays with the rows.
+    ``reject_reason`` stays with the rows. See ``topic_kinds`` for ``sample_rows``, ``readable_fields`` for ``limit``; a topic that is one
+    map has it as ``fields``.
     """
-    kinds = topic_kinds(messages)
+    kinds = topic_kinds(messages, sample_rows, limit)
     leaves = extract(messages, _wants(kinds))
     return leaves.select(
         F.col("log_time_ns").alias(time_name),
-        *[F.col(f"`{leaf_name(kind, path)}`").alias(".".join(path)) for path, kind in kinds.items()],
+        *[F.col(f"`{leaf_name(kind, path)}`").alias(".".join(path) or ALL_FIELDS) for path, kind in kinds.items()],
         "reject_reason",
     )
 

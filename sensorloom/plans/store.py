@@ -6,6 +6,8 @@ Layout under ``root``::
     log/batches     (key, batch, rows, bytes, ...)  one row per micro-batch of a stream
     log/sequences   (name, key, state, version, ...)    one row per state change
     log/topics      (key, sequence, topic, tag, ...)    one row per topic when its upload closes
+    log/files       (key, tag, sequence, topic, file, rows, ts_min, ts_max, ...)  one row per topic and data file
+    staging/<key>/  messages on their way to a tag; gone when the upload ends
 
 An upload has a key. Readers see the rows of a key only after its ``finalized`` row is in the log, so a
 failed upload leaves nothing visible and no file is ever rewritten. A sequence has one writer at a time: taking a
@@ -15,32 +17,31 @@ name is a look and then an append, so two uploads that open the same new name at
 from __future__ import annotations
 
 import json
-import logging
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.functions import metadata as M
-from sensorloom.operators import decode, ontology, routing
-from sensorloom.operators.flatten import flatten_structs
-from sensorloom.operators.index import stored_figures
+from sensorloom.operators import raw
+from sensorloom.operators.index import figures_of, file_figures
+from sensorloom.session import remove_folder
 from sensorloom.sources.messages import folder_name
 
-_log = logging.getLogger(__name__)
-
 SEQUENCE_LOG = "name string, key string, state string, version int, user_metadata string, at_ns bigint"
 TOPIC_LOG = (
     "key string, sequence string, topic string, tag string, status string, table_schema string, "
     "properties string, rows bigint, ts_min bigint, ts_max bigint, bytes bigint"
 )
 
+FILE_LOG = (
+    "key string, tag string, sequence string, topic string, file string, rows bigint, ts_min bigint, ts_max bigint, bytes double"
+)
+
 BATCH_LOG = "key string, batch bigint, rows bigint, bytes bigint, failed string, schemas string"
 
 # Order of the states of an upload, and the metadata of one made here.
@@ -62,6 +63,9 @@ class SequenceStore:
     def data_path(self, key: str, tag: str) -> str:
         return f"{self.root}/data/{key}/{tag}"
 
+    def staging_path(self, key: str) -> str:
+        return f"{self.root}/staging/{key}"
+
     # ------------------------------------------------------------ log
 
     def _log(self, name: str, schema: str) -> DataFrame:
@@ -149,9 +153,10 @@ class SequenceStore:
     # ------------------------------------------------------------ pull
 
     def read_tag(
-        self, key: str, tag: str, rejected: bool = False, topic: str | None = None, schema: T.StructType | None = None
+        self, key: str, tag: str, rejected: bool = False, topic: str | None = None, schema: T.StructType | None = None,
+        files: list[str] | None = None,
     ) -> DataFrame:
-        """Rows of a tag. Only the folders asked for are listed."""
+        """Rows of a tag. Only the folders asked for are listed, or only ``files`` are read."""
         base = self.data_path(key, tag)
         reader = self.spark.read.option("basePath", base)
         folders = ["batch", "rejected", "topic"]
@@ -159,7 +164,7 @@ class SequenceStore:
         columns = [f for f in schema or reader.parquet(path).schema if f.name not in folders]
         # folder values are text even where they look like numbers
         texts = [T.StructField(name, T.StringType()) for name in folders]
-        rows = reader.schema(T.StructType(columns + texts)).parquet(path).drop("batch", "rejected")
+        rows = reader.schema(T.StructType(columns + texts)).parquet(*([path] if files is None else files)).drop("batch", "rejected")
         # a null folder value is the empty name
         return rows.withColumn("topic", F.coalesce("topic", F.lit("")))
 
@@ -169,9 +174,29 @@ class SequenceStore:
     ) -> DataFrame:
         """Rows of one topic, optionally within the closed interval [start_ns, end_ns].
 
-        The topic selects folders, sequence and bounds are pushed into the scan. An ``observation`` counts rows and
+        The topic selects folders, the bounds select files by the log, sequence and bounds are pushed into the scan. An ``observation`` counts rows and
         bytes (of the values, as JSON text) as they are pulled.
         """
+        parts = [self._pull(row, sequence, topic, start_ns, end_ns) for row in self._logged(sequence, topic)]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if observation is not None:
+            size = F.sum(F.octet_length(F.to_json(F.struct(*[f"`{c}`" for c in rows.columns]))).cast("bigint"))
+            rows = rows.observe(observation, F.count("*").alias("rows"), F.coalesce(size, F.lit(0)).alias("bytes"))
+        return rows
+
+    def first_rows(self, sequence: str, topic: str, n: int) -> DataFrame:
+        """The first n rows of a topic by time, ties in no fixed order. Only files are read that can hold one of them.
+
+        The files that end first and hold n rows together bound the time of the nth row; files that begin later are left alone.
+        """
+        logged = self._logged(sequence, topic)
+        files = self.files().where(F.col("key").isin([r["key"] for r in logged]))
+        files = files.where((F.col("sequence") == sequence) & (F.col("topic") == topic))
+        so_far = F.sum("rows").over(Window.orderBy("ts_max", "file"))
+        last = files.select("ts_max", so_far.alias("so_far")).where(F.col("so_far") >= n).agg(F.min("ts_max")).first()[0]
+        return self.pull_topic(sequence, topic, None, last).orderBy("timestamp_ns").limit(n)
+
+    def _logged(self, sequence: str, topic: str) -> list:
         found = (
             self.topic_log()
             .where((F.col("sequence") == sequence) & (F.col("topic") == topic) & (F.col("status") == "uploaded"))
@@ -181,29 +206,41 @@ class SequenceStore:
         )
         if not found:
             raise LookupError(f"no such topic: {sequence.lstrip('/')}/{topic.lstrip('/')}")
-        rows = None
-        for row in found:
-            schema = T.StructType.fromJson(json.loads(row["table_schema"] or '{"fields":[]}'))
-            part = self._pull(row["key"], row["tag"], topic, schema, row["rows"])
-            rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+        return found
+
+    def files(self) -> DataFrame:
+        """What each data file holds, each once although a topic may have been logged again."""
+        return self._log("files", FILE_LOG).dropDuplicates(["key", "tag", "sequence", "topic", "file"])
+
+    def files_of(self, key: str, tag: str, sequence: str, topic: str, start_ns: int | None = None, end_ns: int | None = None) -> list[str]:
+        """Data files of a topic that hold rows of the closed interval, by the log."""
+        files = self.files().where(
+            (F.col("key") == key) & (F.col("tag") == tag) & (F.col("sequence") == sequence) & (F.col("topic") == topic)
+        )
+        if start_ns is not None:
+            files = files.where(F.col("ts_max") >= start_ns)
+        if end_ns is not None:
+            files = files.where(F.col("ts_min") <= end_ns)
+        # as many names as a listing of the folders would give
+        return [f"{self.data_path(key, tag)}/{r['file']}" for r in files.select("file").distinct().collect()]
+
+    def _pull(self, logged, sequence: str, topic: str, start_ns: int | None, end_ns: int | None) -> DataFrame:
+        key, tag, table = logged["key"], logged["tag"], logged["table_schema"]
+        open_columns = table is not None and table.startswith("[")
+        schema = raw.STORED if open_columns else T.StructType.fromJson(json.loads(table or '{"fields":[]}'))
+        stored = schema if open_columns else T.StructType([T.StructField("sequence", T.StringType()), *schema.fields])
+        bounded = start_ns is not None or end_ns is not None
+        files = self.files_of(key, tag, sequence, topic, start_ns, end_ns) if bounded else None
+        if not logged["rows"] or files == []:
+            rows = self.spark.createDataFrame([], stored)
+        else:
+            rows = self.read_tag(key, tag, topic=topic, schema=stored, files=files).select(*[f"`{n}`" for n in stored.names])
         rows = rows.where(F.col("sequence") == sequence)
         if start_ns is not None:
             rows = rows.where(F.col("timestamp_ns") >= start_ns)
         if end_ns is not None:
             rows = rows.where(F.col("timestamp_ns") <= end_ns)
-        if observation is not None:
-            size = F.sum(F.octet_length(F.to_json(F.struct(*[f"`{c}`" for c in rows.columns]))).cast("bigint"))
-            rows = rows.observe(observation, F.count("*").alias("rows"), F.coalesce(size, F.lit(0)).alias("bytes"))
-        return rows.drop("sequence")
-
-    def _pull(self, key: str, tag: str, topic: str, schema: T.StructType, logged: int) -> DataFrame:
-        stored = T.StructType([T.StructField("sequence", T.StringType()), *schema.fields])
-        try:
-            return self.read_tag(key, tag, topic=topic, schema=stored).select("sequence", *[f"`{n}`" for n in schema.names])
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error) or logged:
-                raise  # rows that the log counts are missing
-            return self.spark.createDataFrame([], stored)
+        return (raw.columns_of(rows, table) if open_columns else rows).drop("sequence")
 
     def rejects(self, key: str, tag: str) -> DataFrame:
         try:
@@ -255,6 +292,29 @@ class SequenceStore:
         for row in current:
             self.append_states(self.spark.createDataFrame([(name,)], "name string"), row["key"], "deleted")
 
+    def vacuum(self, retain_seconds: float = 7 * 24 * 3600, abandon_seconds: float | None = None) -> list[str]:
+        """Remove the data of uploads that were dropped longer ago than the retention. Returns their keys.
+
+        Within the retention, readers that planned a pull before the drop can still end it. With ``abandon_seconds``,
+        uploads that were opened that long ago and never ended are dropped first. Data of a key stays as long as any
+        of its sequences is not deleted; the log keeps its rows.
+        """
+        now = time.time_ns()
+        log = self._log("sequences", SEQUENCE_LOG)
+        last = log.groupBy("name", "key").agg(F.max_by("state", "version").alias("state"), F.max("at_ns").alias("at_ns"))
+        if abandon_seconds is not None:
+            old = last.where((F.col("state") == "open") & (F.col("at_ns") < now - int(abandon_seconds * 1e9)))
+            for row in old.select("key").distinct().collect():
+                self.append_states(old.where(F.col("key") == row["key"]), row["key"], "deleted")
+        ended = last.groupBy("key").agg(F.every(F.col("state") == "deleted").alias("dropped"), F.max("at_ns").alias("at_ns"))
+        dropped = ended.where(F.col("dropped") & (F.col("at_ns") < now - int(retain_seconds * 1e9))).select("key")
+        removed = []
+        for row in dropped.orderBy("key").collect():
+            gone = [remove_folder(self.spark, f"{self.root}/{part}/{row['key']}") for part in ("data", "staging")]
+            if any(gone):
+                removed.append(row["key"])
+        return removed
+
 
 def sequence_ranges(topics: DataFrame, keys: list[str]) -> DataFrame:
     """Time range over topics. A minimum of 0 means unset and is never taken."""
@@ -275,6 +335,7 @@ class Upload:
         self._fixed: str | None = None  # table schema of the open topic
         self._metadata: dict[str, str] | None = None
         self.failed: dict[tuple[str, str], str] = {}  # why a (tag, encoding) failed
+        self.open_columns: set[str] = set()  # tags whose columns differ by topic
 
     def names(self) -> DataFrame:
         return self.store.states().where(F.col("key") == self.key).select("name")
@@ -315,13 +376,8 @@ class Upload:
 
     # -------- many topics at once
 
-    def write(self, rows: DataFrame, tag: str, batch: int = 0, by_topic: bool = False) -> str:
-        """Write one batch of a tag. Writing a batch again replaces it. Returns the table schema.
-
-        Rows that do not come ``by_topic`` already are rebalanced: a topic with most of the rows is split over
-        tasks, small topics share one, and files get an even size. Sorting lets a pull skip row groups by
-        sequence and time.
-        """
+    def plan(self, rows: DataFrame, tag: str) -> DataFrame:
+        """Rows as they are stored; their schema becomes that of the tag, whether or not any row is written."""
         if "reject_reason" not in rows.columns:
             rows = rows.withColumn("reject_reason", F.lit(None).cast("string"))
         if "payload" not in rows.columns:
@@ -330,13 +386,27 @@ class Upload:
         kept = [c for c in rows.columns if c not in ("reject_reason", "payload", "log_time_ns", "channel_id")]
         rows = rows.withColumn("topic", F.coalesce("topic", F.lit("")))
         table = rows.select(*[f"`{c}`" for c in kept]).withMetadata("timestamp_ns", {"ontology_tag": tag})
-        schema = self._schemas[tag] = table.drop("sequence", "topic").schema.json()
-        marked = rows.select(
+        self._schemas[tag] = table.drop("sequence", "topic").schema.json()
+        return rows.select(
             *[f"`{c}`" for c in kept],
             F.col("reject_reason").alias("_reason"),
             F.when(bad, F.col("payload")).alias("_payload"),
             bad.alias("rejected"),
         ).withMetadata("timestamp_ns", {"ontology_tag": tag})
+
+    def write(
+        self, rows: DataFrame, tag: str, batch: int = 0, by_topic: bool = False, observation: Observation | None = None
+    ) -> str:
+        """Write one batch of a tag. Writing a batch again replaces it. Returns the table schema.
+
+        Rows that do not come ``by_topic`` already are rebalanced: a topic with most of the rows is split over
+        tasks, small topics share one, and files get an even size. Sorting lets a pull skip row groups by
+        sequence and time. An ``observation`` counts good and rejected rows as they are written.
+        """
+        marked = self.plan(rows, tag)
+        if observation is not None:
+            bad = F.count_if("rejected")
+            marked = marked.observe(observation, (F.count("*") - bad).alias("good"), bad.alias("rejected"))
         (
             (marked if by_topic else marked.hint("rebalance", "topic"))
             .sortWithinPartitions("rejected", "topic", "sequence", "timestamp_ns")
@@ -345,17 +415,24 @@ class Upload:
             .partitionBy("rejected", "topic")
             .parquet(f"{self.store.data_path(self.key, tag)}/batch={batch}")
         )
-        return schema
+        return self._schemas[tag]
 
-    def _figures(self, tag: str, topic: str | None = None) -> DataFrame | None:
+    def _log_files(self, tag: str, topic: str | None = None) -> bool:
+        """Log what each data file of a tag holds: one scan of two columns. False without any file."""
         narrow = T.StructType([T.StructField("sequence", T.StringType()), T.StructField("timestamp_ns", T.LongType())])
         try:
             stored = self.store.read_tag(self.key, tag, topic=topic, schema=narrow)
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
-                return None
+                return False
             raise
-        return stored_figures(stored, ["sequence", "topic"], "timestamp_ns").withColumn("tag", F.lit(tag))
+        files = file_figures(stored, ["sequence", "topic"], "timestamp_ns")
+        # names from the tag's folder on, as they are on disk
+        name = F.regexp_replace(F.substring_index("file", f"/data/{self.key}/", -1), "^[^/]*/", "")
+        plain = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+        named = files.withColumn("file", plain).withColumns({"key": F.lit(self.key), "tag": F.lit(tag)})
+        self.store._append("files", named.select(*T.StructType.fromDDL(FILE_LOG).names))
+        return True
 
     def record(self, topics: DataFrame) -> None:
         """Log topics (sequence, topic, tag[, status]) with the figures of what was written for them."""
@@ -368,12 +445,18 @@ class Upload:
         if "status" not in topics.columns:
             topics = topics.withColumn("status", F.lit("uploaded"))
         log = topics.select("sequence", F.coalesce("topic", F.lit("")).alias("topic"), "tag", "status").distinct()
-        parts = [p for p in (self._figures(tag, topic) for tag in tables) if p is not None]
-        if parts:
-            log = log.join(reduce(DataFrame.unionByName, parts), ["sequence", "topic", "tag"], "left")
+        keys = ["sequence", "topic", "tag"]
+        if any([self._log_files(tag, topic) for tag in tables]):
+            files = self.store.files().where(F.col("key") == self.key)
+            log = log.join(figures_of(files, keys), keys, "left")
         else:
             log = log.withColumns({c: F.lit(None).cast("bigint") for c in ("rows", "ts_min", "ts_max", "bytes")})
         schemas = [F.lit(x) for pair in tables.items() for x in pair] or [F.lit(""), F.lit("")]
+        table = F.try_element_at(F.create_map(*schemas), F.col("tag"))
+        fields = [self._fields(tag, topic).withColumn("tag", F.lit(tag)) for tag in self.open_columns if tag in tables]
+        if fields:
+            log = log.join(reduce(DataFrame.unionByName, fields), keys, "left")
+            table = F.when(F.col("tag").isin(sorted(self.open_columns)), F.coalesce("fields", F.lit("[]"))).otherwise(table)
         self.store.append_topics(
             log.select(
                 F.lit(self.key).alias("key"),
@@ -381,7 +464,7 @@ class Upload:
                 "topic",
                 "tag",
                 "status",
-                F.try_element_at(F.create_map(*schemas), F.col("tag")).alias("table_schema"),
+                table.alias("table_schema"),
                 M.properties(F.col("tag"), user_metadata).alias("properties"),
                 F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
                 "ts_min",
@@ -390,6 +473,10 @@ class Upload:
             )
         )
 
+    def _fields(self, tag: str, topic: str | None) -> DataFrame:
+        """Columns of each topic of a tag whose rows are kept as variants."""
+        return raw.logged_fields(self.store.read_tag(self.key, tag, topic=topic, schema=raw.STORED))
+
     # -------- end
 
     def finalize(self) -> None:
@@ -397,6 +484,7 @@ class Upload:
         self.close_topic()
         self.store.append_states(self.names(), self.key, "finalized")
         self.finished = "finalized"
+        remove_folder(self.store.spark, self.store.staging_path(self.key))
 
     def cleanup(self) -> None:
         """Drop an upload that was not finalized; doing so twice is fine."""
@@ -405,124 +493,10 @@ class Upload:
         self._open = None
         self.store.append_states(self.names(), self.key, "deleted")
         self.finished = "deleted"
+        remove_folder(self.store.spark, self.store.staging_path(self.key))
 
     def __enter__(self) -> "Upload":
         return self
 
     def __exit__(self, *error) -> None:
         self.cleanup()
-
-
-# ---------------------------------------------------------------- publish
-
-class Router:
-    """Which messages belong to which (tag, encoding): those whose topic, recording and channel are routed there.
-
-    One way for any number of channels: a semi join. Where the routes are small enough to be sent to all tasks, which
-    their measured size decides, their topics also prune the folders of a table laid out by topic.
-    """
-
-    KEYS = ["topic", "recording", "channel_id"]
-
-    def __init__(self, routes: DataFrame):
-        self.channels = routes.select(*self.KEYS)
-        self.routes = routes.where("status = 'routed'")
-        # as many rows as tags and encodings there are
-        self._ways = sorted((r["tag"], r["encoding"]) for r in self.routes.select("tag", "encoding").distinct().collect())
-
-    def ways(self) -> list[tuple[str, str]]:
-        return list(self._ways)
-
-    def messages_of(self, messages: DataFrame, tag: str, encoding: str) -> DataFrame:
-        mine = self.routes.where((F.col("tag") == tag) & (F.col("encoding") == encoding)).select(*self.KEYS)
-        return messages.join(mine, self.KEYS, "left_semi")
-
-    def strays(self, messages: DataFrame) -> DataFrame:
-        """Messages that no channel claims, as rejects."""
-        alone = messages.join(self.channels, self.KEYS, "left_anti")
-        return alone.select(
-            F.col("recording").alias("sequence"),
-            "topic",
-            F.col("log_time_ns").alias("timestamp_ns"),
-            F.col("log_time_ns").alias("recording_timestamp_ns"),
-            "payload",
-            F.lit(NO_CHANNEL).alias("reject_reason"),
-        )
-
-
-def project_messages(messages: DataFrame, tag: str, encoding: str, registry=None, decoders=None) -> DataFrame:
-    """Typed rows of one tag, keyed by sequence and topic."""
-    keep = ["recording", "topic", "payload"]
-    if encoding == "json":
-        rows = ontology.project_json(messages, tag, registry, keep)
-    else:
-        decoded = decode.decoder_for(encoding, decoders)(messages)
-        rows = ontology.project_flat(flatten_structs(decoded), tag, registry, keep)
-    return rows.withColumnRenamed("recording", "sequence")
-
-
-def for_each_way(spark: SparkSession, ways: list[tuple[str, str]], write, parallel: int) -> dict[tuple[str, str], str]:
-    """Run ``write(position, tag, encoding)`` for every way, a few at a time. Returns what failed, and why."""
-    failed: dict[tuple[str, str], str] = {}
-
-    def run(position: int, way: tuple[str, str]) -> None:
-        try:
-            write(position, *way)
-        except Exception as error:  # one broken tag does not hold up the others
-            failed[way] = str(error)
-            _log.warning("tag %s (%s) failed: %s", *way, error)
-
-    with ThreadPoolExecutor(parallel) as pool:
-        jobs = [pool.submit(inheritable_thread_target(spark)(run), i, way) for i, way in enumerate(ways)]
-        for job in jobs:
-            job.result()
-    return failed
-
-
-def outcomes(routes: DataFrame, failed) -> DataFrame:
-    """Routes with their final status: uploaded, skipped or failed."""
-    broken = F.lit(False)
-    for tag, encoding in failed:
-        broken = broken | ((F.col("tag") == tag) & (F.col("encoding") == encoding))
-    status = F.when((F.col("status") == "routed") & broken, "failed").when(F.col("status") == "routed", "uploaded")
-    return routes.withColumn("status", F.coalesce(status, F.col("status")))
-
-
-def publish(
-    store: SequenceStore,
-    messages: DataFrame,
-    channels: DataFrame,
-    registry=None,
-    tags: DataFrame | None = None,
-    decoders: dict | None = None,
-    parallel_tags: int = 4,
-    by_topic: bool = False,
-) -> tuple[str, DataFrame]:
-    """Publish recordings as sequences: route, decode, project, write, finalize.
-
-    One job per tag, a few at a time. A tag whose job fails is recorded as failed and the others go on.
-    Messages read from a table laid out ``by_topic`` (see ``write_messages``) are written without a shuffle, as long as
-    the routes are small enough to be sent to all tasks. Messages without a channel are kept as rejects
-    (``store.rejects(key, NO_CHANNEL)``). Returns the upload key and the number of topics per status.
-    """
-    registry = registry or ontology.default_registry()
-    tags = routing.tag_map(store.spark) if tags is None else tags
-    routes = routing.route(channels, tags, registry.tags(), sorted({*decode.DECODERS, *(decoders or {})}))
-    router = Router(routes)
-    names = channels.select(F.col("recording").alias("name")).distinct()
-    with store.begin_upload(names) as upload:
-
-        def write(position: int, tag: str, encoding: str) -> None:
-            if tag == NO_CHANNEL:
-                rows = router.strays(messages)
-            else:
-                rows = project_messages(router.messages_of(messages, tag, encoding), tag, encoding, registry, decoders)
-            upload.write(rows, tag, position, by_topic)
-
-        ways = [*router.ways(), (NO_CHANNEL, "")]
-        failed = upload.failed = for_each_way(store.spark, ways, write, parallel_tags)
-        outcome = outcomes(routes, failed)
-        upload.record(outcome.select(F.col("recording").alias("sequence"), "topic", "tag", "status"))
-        upload.finalize()
-    counts = outcome.groupBy("status").agg(F.count("*").alias("topics"))
-    return upload.key, counts

@@ -40,6 +40,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/sensorloom-scratch/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with all it holds, wherever Spark can reach it. False if there is none."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows read back from a table in the scratch folder: the plan behind them is done once."""
     path = scratch_dir(df.sparkSession, purpose)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from sensorloom.operators import ontology, routing
 from sensorloom.operators.sequence import number_rows
 from sensorloom.plans import export, reports, store as stores
-from sensorloom.plans.store import NO_CHANNEL, Router, SequenceStore, publish
+from sensorloom.plans.publish import Interrupted, Publication, Router, publish
+from sensorloom.plans.store import NO_CHANNEL, SequenceStore
 from sensorloom.sources.messages import folder_name, read_messages, write_messages
 from sensorloom.streaming.publish_stream import StreamPublisher, message_stream
 
