@@ -33,8 +33,8 @@ _TIMES = ("timestamp_ns", "_log_time_ns")
 
 @F.pandas_udf(T.BooleanType())
 def _mixed(body: pd.Series) -> pd.Series:
-    """Null (the usual case) for bodies whose shape shows that no array is mixed."""
-    return body.map(has_mixed, na_action="ignore").fillna(False).astype(bool)
+    """Bodies are null (the usual case) where their shape shows that no array is mixed."""
+    return pd.Series([has_mixed(text) for text in body], dtype=bool)
 
 
 def raw_rows(messages: DataFrame, keep: list[str]) -> DataFrame:
