@@ -8,7 +8,7 @@ serves JSON bodies and struct-typed sources, in batch and in a stream.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -383,6 +383,22 @@ def _times(fields) -> Columns:
     return {"timestamp_ns": G.event_time(fields), "recording_timestamp_ns": G.ingest_time(fields)}
 
 
+@lru_cache(maxsize=256)
+def _typed(projection: Projection) -> tuple[Columns, Columns, Column]:
+    """Times, columns and reject reason over extracted leaves: made once for a projection, as a stream asks for each batch."""
+    fields = LeafFields(F.col("log_time_ns"))
+    times, columns = _times(fields), projection(fields)
+    return times, columns, _reason(fields, F.col("reject_reason"))
+
+
+@lru_cache(maxsize=256)
+def _typed_elements(projection: Projection) -> tuple[Columns, Columns, Column]:
+    """The same over the leaves of an element of a list."""
+    own = LeafFields(owner="_leaves")
+    times, columns = _times(own), projection(own)
+    return times, columns, _reason(own, None)
+
+
 def _find(registry: Registry | None, tag: str) -> Projection:
     projection = (registry or default_registry()).find(tag)
     if projection is None:
@@ -401,10 +417,7 @@ def project_json(messages: DataFrame, tag: str, registry: Registry | None = None
     wants = {p: wants_of(_times).get(p, set()) | wants_of(projection).get(p, set()) for p in wants}
     if registry.elements(tag):
         return _project_elements(messages, projection, wants, keep, registry.elements(tag))
-    leaves = extract(messages, wants)
-    fields = LeafFields(F.col("log_time_ns"))
-    times, columns = _times(fields), projection(fields)
-    return _finish(leaves, times, columns, _reason(fields, F.col("reject_reason")), keep)
+    return _finish(extract(messages, wants), *_typed(projection), keep)
 
 
 def _project_elements(messages: DataFrame, projection: Projection, wants: Wants, keep: list[str], elements: str) -> DataFrame:
@@ -414,16 +427,14 @@ def _project_elements(messages: DataFrame, projection: Projection, wants: Wants,
     items = F.col(f"`{leaf_name('items', path)}`")
     opened = leaves.select("*", F.explode_outer(F.when(F.size(items) > 0, items)).alias("_element"))
     opened = extract_variant(opened, "_element", wants, "_leaves")
-    own, message = LeafFields(owner="_leaves"), LeafFields(F.col("log_time_ns"))
-    own_times, own_columns = _times(own), projection(own)
-    times, columns = _times(message), projection(message)
+    own_times, own_columns, own_checks = _typed_elements(projection)
+    times, columns, message_reason = _typed(projection)
     split = F.col("_element").isNotNull()
     zero = F.lit(0).cast("bigint")
     merged_times = {n: F.when(split, F.coalesce(F.nullif(own_times[n], zero), times[n])).otherwise(times[n]) for n in times}
     merged = {n: F.when(split, own_columns[n]).otherwise(columns[n]) for n in columns}
-    own_reason = F.when(split, F.coalesce(F.when(F.col("_leaves_mixed"), "mixed_array"), _reason(own, None)))
-    reason = F.coalesce(_reason(message, F.col("reject_reason")), own_reason)
-    return _finish(opened, merged_times, merged, reason, keep)
+    own_reason = F.when(split, F.coalesce(F.when(F.col("_leaves_mixed"), "mixed_array"), own_checks))
+    return _finish(opened, merged_times, merged, F.coalesce(message_reason, own_reason), keep)
 
 
 def project_flat(flat: DataFrame, tag: str, registry: Registry | None = None, keep: list[str] | None = None) -> DataFrame:

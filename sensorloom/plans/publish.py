@@ -38,6 +38,10 @@ Way = tuple[str, str]
 _ROW_GROUP = {"parquet.block.size": str(8 * 1024 * 1024)}
 _STRAY: Way = (NO_CHANNEL, "")
 
+#: Payload bytes of a batch up to which its ways are dealt out over all cores again: what was rebalanced to a file each would
+#: be parsed by one task each. Beyond it, there are files enough and every way is map-only.
+SMALL_BATCH = 256 * 1024 * 1024
+
 
 class Interrupted(RuntimeError):
     """The publication was interrupted; nothing of it is visible."""
@@ -234,11 +238,11 @@ class Lane:
         self.progress.written[way] = (good + counted.get["good"], bad + counted.get["rejected"])
 
     def write(self, messages: DataFrame, batch: int, on_read: Callable[[int, int], None] | None = None) -> tuple[int, int]:
-        """One scan of the messages, then a map-only job for each way. Returns messages and payload bytes read.
+        """One scan of the messages, then a job for each way. Returns messages and payload bytes read.
 
         ``on_read`` gets these as soon as the scan is done, before anything is projected."""
         spark, staging, seen = self.upload.store.spark, Staging(self.upload.store, self.upload.key, batch), Observation()
-        first = batch * len(self.ways)
+        first, tasks = batch * len(self.ways), spark.sparkContext.defaultParallelism
         try:
             staging.write(messages, self.router, seen)
             read = seen.get["rows"], seen.get["bytes"]
@@ -253,8 +257,9 @@ class Lane:
                 mine = staging.messages_of((tag, encoding))
                 if mine is None:
                     self._write_way(messages.limit(0), (tag, encoding), first + position, True, some=False)
-                else:
-                    self._write_way(mine, (tag, encoding), first + position, True)
+                    return
+                small = read[1] <= SMALL_BATCH
+                self._write_way(mine.repartition(tasks) if small else mine, (tag, encoding), first + position, not small)
 
             self.failed |= for_each_way(spark, self.ways, write, self.parallel, self.stop)
         finally:

@@ -417,22 +417,21 @@ class Upload:
         )
         return self._schemas[tag]
 
-    def _log_files(self, tag: str, topic: str | None = None) -> bool:
-        """Log what each data file of a tag holds: one scan of two columns. False without any file."""
+    def _file_figures(self, tag: str, topic: str | None = None) -> DataFrame | None:
+        """What each data file of a tag holds: a scan of two columns. None without any file."""
         narrow = T.StructType([T.StructField("sequence", T.StringType()), T.StructField("timestamp_ns", T.LongType())])
         try:
             stored = self.store.read_tag(self.key, tag, topic=topic, schema=narrow)
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
-                return False
+                return None
             raise
         files = file_figures(stored, ["sequence", "topic"], "timestamp_ns")
         # names from the tag's folder on, as they are on disk
         name = F.regexp_replace(F.substring_index("file", f"/data/{self.key}/", -1), "^[^/]*/", "")
         plain = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
         named = files.withColumn("file", plain).withColumns({"key": F.lit(self.key), "tag": F.lit(tag)})
-        self.store._append("files", named.select(*T.StructType.fromDDL(FILE_LOG).names))
-        return True
+        return named.select(*T.StructType.fromDDL(FILE_LOG).names)
 
     def record(self, topics: DataFrame) -> None:
         """Log topics (sequence, topic, tag[, status]) with the figures of what was written for them."""
@@ -446,7 +445,9 @@ class Upload:
             topics = topics.withColumn("status", F.lit("uploaded"))
         log = topics.select("sequence", F.coalesce("topic", F.lit("")).alias("topic"), "tag", "status").distinct()
         keys = ["sequence", "topic", "tag"]
-        if any([self._log_files(tag, topic) for tag in tables]):
+        found = [f for f in (self._file_figures(tag, topic) for tag in tables) if f is not None]
+        if found:
+            self.store._append("files", reduce(DataFrame.unionByName, found))  # one job for all tags
             files = self.store.files().where(F.col("key") == self.key)
             log = log.join(figures_of(files, keys), keys, "left")
         else:
