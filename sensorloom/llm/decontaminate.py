@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm.common import column_of, prepare, slices, text_of
-from sensorloom.llm.tokens import Words, grams, mix, ramp, words
+from sensorloom.llm.tokens import Words, grams, mix, words
 from sensorloom.session import written
 
+#: A seed that more items than this have is common: it brings a document and an item together only where the item's other
+#: seeds cannot.
+COMMON = 64
 #: Seeds of a benchmark up to this many go to every task; a larger benchmark is joined by a shuffle. Same rows either way.
 SEEDS_SENT = 2_000_000
 
@@ -47,45 +50,96 @@ def _short_seed(w: Words, i: int) -> np.ndarray:
     return mix(grams(part, len(part)) ^ np.uint64(len(part)))
 
 
+_BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2^64
+
+
+class _Rolling:
+    """Karp-Rabin hashes of all runs of a text, of any length, from one pass over its words."""
+
+    def __init__(self, text: np.ndarray):
+        n = len(text)
+        up, down = np.full(n + 1, _BASE, np.uint64), np.full(n + 1, pow(_BASE, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        np.multiply.accumulate(up, out=up)
+        self.down = np.multiply.accumulate(down)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(text * up[:-1], out=self.sums[1:])
+        self.free = np.ones(n, bool)
+
+    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the runs of this length whose words are all free, and their hashes."""
+        taken = np.concatenate([[0], np.cumsum(~self.free)])
+        starts = np.flatnonzero(taken[length:] == taken[: len(taken) - length])
+        return starts, (self.sums[starts + length] - self.sums[starts]) * self.down[starts]
+
+
+def _meeting(item: _Rolling, doc: _Rolling, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and hashes of free runs of this length whose hashes occur on both sides."""
+    a, ours = item.windows(length)
+    b, theirs = doc.windows(length)
+    known = np.unique(ours)
+    at = np.searchsorted(known, theirs)
+    hit = known[np.minimum(at, len(known) - 1)] == theirs if len(known) else np.zeros(len(theirs), bool)
+    b, theirs = b[hit], theirs[hit]
+    keep = np.isin(ours, theirs)
+    return a[keep], ours[keep], b, theirs
+
+
 def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """(start in item, start in doc, words): greedy tiling of the item by runs of the document.
 
-    Rounds of running hashes: candidates are the places where ``least`` words agree and both are free; each is
-    extended as far as words agree and are free; the longest are marked first (ties: first in the item, then in the
-    document), until a round finds none.
+    Each round finds the greatest length at which a free run of the item meets one of the document, by halving and running
+    Karp-Rabin hashes, and marks all runs of that length, compared word by word (ties: first in the item, then in the
+    document). A round costs about as much as the two texts are long, however often words repeat; the lengths fall
+    from round to round, so there are at most about sqrt(2 * len(item)) of them.
     """
     n, m = len(item), len(doc)
     least = min(least, n)
     found: list[tuple[int, int, int]] = []
     if not n or m < least:
         return found
-    ours, theirs = grams(item, least), grams(doc, least)
-    order = np.argsort(theirs, kind="stable")
-    low, high = np.searchsorted(theirs[order], ours, "left"), np.searchsorted(theirs[order], ours, "right")
-    a = np.repeat(np.arange(len(ours)), high - low)
-    b = order[np.repeat(low, high - low) + ramp(high - low)]
-    free_a, free_b = np.ones(n + 1, bool), np.ones(m + 1, bool)
-    free_a[n] = free_b[m] = False
-    while len(a):
-        # length of each candidate: runs along a diagonal end where words differ or are taken
-        length = np.zeros(len(a), np.int64)
-        going = np.arange(len(a))
-        while len(going):
-            x, y = a[going] + length[going], b[going] + length[going]
-            ok = free_a[np.minimum(x, n)] & free_b[np.minimum(y, m)]
-            ok[ok] = item[x[ok]] == doc[y[ok]]
-            going = going[ok]
-            length[going] += 1
-        keep = length >= least
-        a, b, length = a[keep], b[keep], length[keep]
-        if not len(a):
-            break
-        most = length.max()
-        for k in np.lexsort((b, a)):
-            if length[k] == most and free_a[a[k] : a[k] + most].all() and free_b[b[k] : b[k] + most].all():
-                free_a[a[k] : a[k] + most] = False
-                free_b[b[k] : b[k] + most] = False
-                found.append((int(a[k]), int(b[k]), int(most)))
+    ours, theirs = _Rolling(item), _Rolling(doc)
+    most = min(n, m)
+    while most >= least and len(_meeting(ours, theirs, least)[0]):
+        low, high = least, most
+        while low < high:
+            middle = (low + high + 1) // 2
+            if len(_meeting(ours, theirs, middle)[0]):
+                low = middle
+            else:
+                high = middle - 1
+        found += _marked(item, doc, ours, theirs, low)
+        most = low - 1
+    return found
+
+
+def _marked(item: np.ndarray, doc: np.ndarray, ours: _Rolling, theirs: _Rolling, length: int) -> list[tuple[int, int, int]]:
+    """Tiles of this length, which are no longer free afterwards."""
+    a, hash_a, b, hash_b = _meeting(ours, theirs, length)
+    order = np.argsort(hash_b, kind="stable")
+    b, hash_b = b[order], hash_b[order]
+    ends = dict(zip(*(x.tolist() for x in (hash_a, np.searchsorted(hash_b, hash_a, "right")))))
+    at = dict(zip(*(x.tolist() for x in (hash_a, np.searchsorted(hash_b, hash_a, "left")))))
+    places, open_ = b.tolist(), np.ones(len(doc), bool)
+    found, next_ = [], 0
+    for x, h in zip(a.tolist(), hash_a.tolist()):
+        if x < next_:
+            continue
+        # places before this one are taken, and stay so
+        k = at[h]
+        while k < ends[h] and not open_[places[k]]:
+            k += 1
+        at[h] = k
+        # equal hashes of other words: the next place of the same hash may be right
+        while k < ends[h] and not (open_[places[k]] and (item[x : x + length] == doc[places[k] : places[k] + length]).all()):
+            k += 1
+        if k == ends[h]:
+            continue
+        y = places[k]
+        ours.free[x : x + length] = theirs.free[y : y + length] = False
+        open_[max(0, y - length + 1) : y + length] = False
+        found.append((x, y, length))
+        next_ = x + length
     return found
 
 
@@ -158,6 +212,21 @@ def _tiled(rule: Tiling):
     return run
 
 
+def _telling(index: DataFrame, rule: Tiling, common: int) -> DataFrame:
+    """The rows of the index that bring pairs together, with ``more``: places that common seeds may add to those found.
+
+    A pair needs enough places of the item. Where the common seeds alone are too few for that, a pair that is covered has
+    another seed too, so the common ones need not be joined: all of them are taken to be there, and the tiling decides.
+    """
+    shared = index.groupBy("seed").agg((F.count("*") > common).alias("common"))
+    marked = index.join(shared, "seed")
+    usual = F.sum(F.when(F.col("common"), F.col("times")).otherwise(0))
+    items = marked.groupBy("item").agg(usual.alias("more"), F.max("total").alias("of"))
+    enough = F.col("more") * rule.least >= rule.coverage * F.col("of")
+    items = items.select("item", enough.alias("enough"), F.when(enough, 0).otherwise(F.col("more")).alias("more"))
+    return marked.join(items, "item").filter("enough or not common").select("seed", "item", "times", "total", "more")
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -167,6 +236,7 @@ def contamination(
     item_key: str = "item_id",
     item_text: str = "text",
     seeds_sent: int = SEEDS_SENT,
+    common: int = COMMON,
 ) -> DataFrame:
     """Pairs of a document and a benchmark item whose words it covers to at least ``rule.coverage``.
 
@@ -182,6 +252,7 @@ def contamination(
     items = items.filter("item is not null").distinct()
     index = items.mapInArrow(_item_seeds(rule.least), "seed bigint, item bigint, total int")
     index = written(index.groupBy("seed", "item").agg(F.count("*").alias("times"), F.min("total").alias("total")), "seeds")
+    index = written(_telling(index, rule, common), "telling")
     # at most least - 1 different widths
     widths = [r["total"] for r in index.select("total").filter(F.col("total") < rule.least).distinct().collect()]
     wanted = None
@@ -190,7 +261,9 @@ def contamination(
         wanted = np.sort(wanted)
     found = plain.mapInArrow(_doc_seeds(rule.least, widths, wanted), "seed bigint, id bigint")
     # tiles that cover c words hold c / least places of the item where a seed begins, at least
-    met = found.join(index, "seed").groupBy("id", "item").agg(F.sum("times").alias("times"), F.min("total").alias("total"))
+    met = found.join(index, "seed").groupBy("id", "item").agg(
+        (F.sum("times") + F.min("more")).alias("times"), F.min("total").alias("total")
+    )
     pairs = written(met.filter(F.col("times") * rule.least >= rule.coverage * F.col("total")).select("id", "item"), "pairs")
     near = pairs.join(items.withColumnRenamed("text", "item_text"), "item")
     tiled = near.join(plain, "id").select("id", "item", "text", "item_text")

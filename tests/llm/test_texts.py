@@ -395,3 +395,34 @@ def test_fingerprints_over_ranges(spark):
 def test_grams_count():
     assert len(grams(np.zeros(3, np.uint64), 5)) == 0
     assert Counter(grams(np.array([1, 2, 1, 2, 1], np.uint64), 2).tolist()).most_common(1)[0][1] == 2
+
+
+def test_tiles_of_repeated_words_are_linear():
+    import time
+
+    begun = time.perf_counter()
+    assert tiles(np.full(1000, 7, np.uint64), np.full(20000, 7, np.uint64), 5) == [(0, 0, 1000)]
+    r = np.random.default_rng(1)
+    item, doc = r.integers(0, 3, 1000).astype(np.uint64), r.integers(0, 3, 20000).astype(np.uint64)
+    got = tiles(item, doc, 5)
+    assert time.perf_counter() - begun < 2
+    assert all((item[a : a + n] == doc[b : b + n]).all() for a, b, n in got)
+    lengths = [n for _, _, n in got]
+    assert lengths == sorted(lengths, reverse=True)
+    for side, at in ((item, 0), (doc, 1)):
+        taken = np.zeros(len(side), int)
+        for t in got:
+            taken[t[at] : t[at] + t[2]] += 1
+        assert taken.max() == 1
+
+
+def test_common_seeds_leave_the_same_pairs(spark):
+    """A phrase that all items share meets all documents; items made of nothing else are still found."""
+    phrase = "one and the same long phrase of a form"
+    items = [(i, f"{phrase} {prose(300 + i, 12)}") for i in range(12)] + [(90, phrase), (91, "here it is short")]
+    texts = {i: f"{prose(400 + i, 20)} {phrase} {prose(500 + i, 20)}" for i in range(15)} | {50: items[3][1], 51: f"x {items[4][1]} y", 52: "here it is short"}
+    docs, bench = table(spark, texts), spark.createDataFrame(items, "item_id bigint, text string")
+    pairs = lambda **more: sorted((r["doc_id"], r["item_id"], r["covered_words"]) for r in contamination(docs, bench, **more).collect())
+    usual = pairs()
+    assert usual == pairs(common=3) == pairs(common=3, seeds_sent=0) == pairs(common=0)
+    assert {(d, i) for d, i, _ in usual} == {(d, 90) for d in range(15)} | {(50, 3), (50, 90), (51, 4), (51, 90), (52, 91)}
