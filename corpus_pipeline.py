@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm.common import table
 from sensorloom.llm.decontaminate import decontaminated
-from sensorloom.llm.mixing import mixed
+from sensorloom.llm.mixing import mixed, target_weight
 from sensorloom.llm.near_dedup import deduplicated
 from sensorloom.llm.suffixes import without_repeats
 from sensorloom.llm.toxicity import learn, toxicity
@@ -46,8 +46,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their place in a mix in which every source has the same weight."""
-    return mixed(docs)
+    """All documents with their place in a mix of the sources by their target weights."""
+    return mixed(docs, target_weight)
 
 
 STAGES = [

@@ -12,13 +12,15 @@ others start a schedule of their own from that slot, with their exact weights.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 from itertools import islice
 from math import gcd, lcm
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sensorloom.session import scratch_dir
@@ -46,6 +48,11 @@ def parts(weights: dict[str, float], period: int) -> dict[str, int]:
     return got
 
 
+def target_weight(source: str) -> float:
+    """The target weights of the query and of the pipeline: 1 to 5 parts, by crc32 of the name, so new sources have one too."""
+    return float(1 + zlib.crc32(source.encode()) % 5)
+
+
 def exact_parts(weights: dict[str, float]) -> dict[str, int]:
     """Whole numbers in the very proportion of the weights as they are written in decimals."""
     exact = {s: Fraction(str(w)) for s, w in weights.items()}
@@ -140,18 +147,28 @@ def numbered(docs: DataFrame, key: str, source: str, bucket_rows: int = BUCKET_R
     """
     count = docs.count()
     buckets = max(1, -(-count // bucket_rows))
-    dealt = docs.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key), F.lit("deal")), F.lit(buckets)).cast("int"))
+    # rows without an id are dealt by what else they hold
+    cells = [F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    dealt = docs.withColumn("_mix_cells", F.xxhash64(*cells))
+    dealt = dealt.withColumn("_bucket", F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.col("_mix_cells").cast("string")), F.lit("deal")), F.lit(buckets)).cast("int"))
     sizes = dealt.groupBy("_s", "_bucket").agg(F.count("*").alias("_c"))
     before = Window.partitionBy("_s").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("_s", "_bucket", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"))
-    order = Window.partitionBy("_s", "_bucket").orderBy(F.xxhash64(F.col(key)), F.col(key), *[c for c in ("_tie",) if c in docs.columns])
+    order = Window.partitionBy("_s", "_bucket").orderBy(F.xxhash64(F.col(key)), F.col(key), "_mix_cells")
     placed = dealt.withColumn("_at", F.row_number().over(order) - 1)
-    return placed.join(first, ["_s", "_bucket"]).withColumn("_n", F.col("_first") + F.col("_at")).drop("_first", "_at", "_bucket")
+    return placed.join(first, ["_s", "_bucket"]).withColumn("_n", F.col("_first") + F.col("_at")).drop("_first", "_at", "_bucket", "_mix_cells")
+
+
+def _positive(weights: dict) -> dict[str, float]:
+    weights = {str(k): float(v) for k, v in weights.items()}
+    if any(w <= 0 for w in weights.values()):
+        raise ValueError("weights must be positive")
+    return weights
 
 
 def mixed(
     docs: DataFrame,
-    weights: dict[str, float] | None = None,
+    weights: dict[str, float] | Callable[[str], float] | None = None,
     key: str = "doc_id",
     source: str = "source",
     block: int = BLOCK,
@@ -161,17 +178,18 @@ def mixed(
 
     mix_slot numbers the blocks of the whole mix from 0 without gaps, mix_place the rows of a block; the mix is the
     order by (mix_slot, mix_place). The last block of a source may be short. ``weights`` maps sources to target
-    weights; a source without one, and all where none are given, gets the mean weight (1). Weights are relative; zero
-    or less is an error. With ``period`` they are first rounded to so many parts. Null is a source like any other (mix_source ""). No row is dropped or repeated. Rows of equal
+    weights, or is a function that gives one for each name; a source without one, and all where none are given, gets the
+    mean weight (1). Weights are relative; zero or less is an error. With ``period`` they are first rounded to so many parts. Null is a source like any other (mix_source ""). No row is dropped or repeated. Rows of equal
     ids and source follow each other in any order. An empty table gives an empty one. The number of sources is taken
     to fit the driver (one count each). Columns of the table that have the names of the new ones are replaced.
     """
-    weights = {str(k): float(v) for k, v in (weights or {}).items()}
-    if any(w <= 0 for w in weights.values()):
-        raise ValueError("weights must be positive")
+    if not callable(weights):
+        weights = _positive(weights or {})
     docs = docs.drop("mix_source", "mix_block", "mix_slot", "mix_place")
     rows = docs.withColumn("_s", F.coalesce(F.col(source).cast("string"), F.lit("")))
     counts = {r["_s"]: r["c"] for r in rows.groupBy("_s").agg(F.count("*").alias("c")).collect()}
+    if callable(weights):
+        weights = _positive({s: weights(s) for s in counts})
     mean = sum(weights.values()) / len(weights) if weights else 1.0
     plan = _phases({s: -(-c // block) for s, c in counts.items()}, {s: weights.get(s, mean) for s in counts}, period)
     schedule = _schedule(docs.sparkSession, plan)

@@ -12,7 +12,7 @@ from sensorloom.llm.common import crc_bucket, table
 from sensorloom.llm.decontaminate import contamination
 from sensorloom.llm.fingerprints import fingerprints
 from sensorloom.llm.hmm import score, train
-from sensorloom.llm.mixing import mixed
+from sensorloom.llm.mixing import mixed, target_weight
 from sensorloom.llm.near_dedup import STRICT, near_duplicates
 from sensorloom.llm.near_vectors import near_vectors
 from sensorloom.llm.pages import extracted
@@ -52,8 +52,8 @@ def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_pfair_mix")
 def mix_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Place of every document in a mix of all sources in equal parts."""
-    return mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    """Every document, whole, with its place in a mix of all sources by their target weights."""
+    return mixed(table(spark, sf_dir, "documents"), target_weight)
 
 
 @query("op3_toxic_lexicon")
