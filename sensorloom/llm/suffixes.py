@@ -21,6 +21,7 @@ from sensorloom.llm.common import column_of, prepare, slices, text_of
 from sensorloom.llm.tokens import Words, grams, ramp, words
 from sensorloom.session import written
 
+
 @dataclass(frozen=True)
 class Passage:
     """least: words of the shortest passage. A place is the least of ``window`` runs of ``gram`` words; its core are the
@@ -129,14 +130,14 @@ def _by_document(least: int):
     return run
 
 
-def repeated_passages(docs: DataFrame, rule: Passage = Passage(), key: str = "doc_id", text: str = "text", shard: int | None = None) -> DataFrame:
+def repeated_passages(docs: DataFrame, rule: Passage = Passage(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents with a passage of ``rule.least`` words or more that also stands in another document; clean ones have no row.
 
     Columns: the id, ``repeated`` (all such passages) and ``removable`` (those that a document of smaller id has
     too, so that one copy of each stays), both arrays of (begin, end) in words, merged where they overlap or touch;
     repeated_words and removable_words. Repeats within one document alone do not count; rows that share an id are one
     document. Null and short texts have no passage; rows without an id are left out (nothing could refer to them).
-    ``shard`` is taken for old callers and changes nothing: groups are not cut. Other columns are left alone; an empty
+    Other columns are left alone; an empty
     table gives an empty one.
     """
     prepare(docs.sparkSession)

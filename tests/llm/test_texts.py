@@ -293,10 +293,10 @@ def test_repeated_passages_equal_brute_force(spark):
         assert spans(r["removable"]) == want[i][1]
 
 
-def test_passages_in_shards(spark):
+def test_a_passage_of_many_documents(spark):
     passage = prose(77, 80)
     texts = {i: f"{prose(3000 + i, 30)} {passage} {prose(4000 + i, 30)}" for i in range(60)}
-    got = {r["doc_id"]: r["removable_words"] for r in repeated_passages(table(spark, texts), shard=7).collect()}
+    got = {r["doc_id"]: r["removable_words"] for r in repeated_passages(table(spark, texts)).collect()}
     assert len(got) == 60 and got[0] == 0 and all(80 <= n <= 85 for i, n in got.items() if i)
 
 
@@ -315,7 +315,7 @@ def test_passages_that_a_large_group_does_not_share(spark):
     texts = {i: f"{prose(7000 + i, 60)} {notice} {prose(8000 + i, 60)}" for i in range(60)}
     for i in range(20, 40):
         texts[i] = f"{prose(7000 + i, 60)} {prose(7500 + i // 2, 6)} {notice} {prose(8000 + i, 60)}"
-    got = {r["doc_id"]: (r["repeated_words"], r["removable_words"]) for r in repeated_passages(table(spark, texts), shard=7).collect()}
+    got = {r["doc_id"]: (r["repeated_words"], r["removable_words"]) for r in repeated_passages(table(spark, texts)).collect()}
     want = {i: (len(a), len(b)) for i, (a, b) in brute_repeats(texts, 50).items()}
     assert got == want and set(range(20, 40)) <= want.keys()
 
