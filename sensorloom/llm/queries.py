@@ -68,7 +68,7 @@ def toxicity_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_warc_salvage")
 def pages_through_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = round_trip(table(spark, sf_dir, "pages"))
+    back = round_trip(table(spark, sf_dir, "pages")).filter("problem is null")
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

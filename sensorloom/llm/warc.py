@@ -17,16 +17,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import column_of, prepare
+from sensorloom.llm.common import column_of
 from sensorloom.session import scratch_dir
 
 #: Payloads of fewer bytes are always stored.
 LEAST_REVISIT = 1000
 #: Records in a file: keeps what a reading task holds small.
 FILE_RECORDS = 2_000
+#: Bytes in a file: a reader takes files whole, and Spark none of 2 GB or more.
+FILE_BYTES = 256 << 20
 #: Groups of equal payloads that are sent to all tasks (44 bytes each); more are joined by a shuffle.
 GROUPS_SENT = 500_000
 
+# Compressed bytes that are inflated at once: what a damaged member loses is found byte by byte in the last of them.
+_STEP = 1 << 16
 _END = "\r\n\r\n"
 _VERSION = re.compile(rb"WARC/\d\.\d\r?\n")
 _NEXT = re.compile(rb"WARC/\d\.\d\r?\n|\x1f\x8b\x08")
@@ -69,40 +73,79 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", payload: s
 
 
 def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html") -> None:
-    """Write the pages as plain WARC files of at most FILE_RECORDS records; an empty table gives no record."""
+    """Write the pages as plain WARC files of at most FILE_RECORDS records and, but for a single longer record, about FILE_BYTES.
+
+    An empty table gives no record."""
+    longest = pages.agg(F.max(F.octet_length(F.col(payload).cast("string")) + F.coalesce(F.octet_length(F.col(url).cast("string")), F.lit(0)))).first()[0]
     out = records(pages, key, url, payload).write.mode("overwrite").option("lineSep", _END)
-    out.option("maxRecordsPerFile", FILE_RECORDS).text(folder)
+    out.option("maxRecordsPerFile", max(1, min(FILE_RECORDS, FILE_BYTES // ((longest or 0) + 1000)))).text(folder)
 
 
 def salvage(content: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
     """(offset, length, header, payload, problem) of every record, and of every gap (header None) in the bytes.
 
     A plain record must have a version line, a Content-Length that fits, and CR LF CR LF after it; a payload of a
-    response must have its digest. A gzip member must inflate and pass its own check. Names of header fields are
-    lower-cased; the last of repeated ones counts. Gaps say why they were left out. Offsets of records inside a member
-    are those of the member.
+    response must have its digest. A gzip member is inflated as far as it goes, and the records in it are salvaged alike.
+    Names of header fields are lower-cased; the last of repeated ones counts. Gaps say why they were left out. Offsets
+    of records and gaps inside a member are those of the member; a gap inside of it names the inflated bytes. A member that is
+    damaged itself is a gap as well, up to the next record or member, whatever was recovered from it.
     """
     at, size = 0, len(content)
     gap, why = None, ""
     while at < size:
-        got, end, problem = _member(content, at) if content[at : at + 2] == b"\x1f\x8b" else _record(content, at)
-        if not problem:
-            if gap is not None:
-                yield gap, at - gap, None, b"", why
-                gap = None
-            for header, payload in got:
-                yield at, end - at, header, payload, ""
-            at = end
-            continue
-        if gap is None:
+        member = content[at : at + 2] == b"\x1f\x8b"
+        found, end, problem = _member(content, at) if member else _record(content, at)
+        if problem:
+            next_ = _NEXT.search(content, at + 1)
+            end = next_.start() if next_ else size
+        if gap is not None and (found or not problem):
+            yield gap, at - gap, None, b"", why
+            gap = None
+        for header, payload, inner in found:
+            yield at, end - at, header, payload, inner
+        if problem and gap is None:
             gap, why = at, problem
-        found = _NEXT.search(content, at + 1)
-        at = found.start() if found else size
+        at = end
     if gap is not None:
         yield gap, size - gap, None, b"", why
 
 
-def _record(content: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int, str]:
+def _inflated(content: bytes, at: int) -> tuple[bytes, int, str]:
+    """What a gzip member holds, up to where it is damaged, and its end."""
+    inflate, out, view = zlib.decompressobj(31), [], memoryview(content)
+    while not inflate.eof and at < len(content):
+        before, step = inflate.copy(), view[at : at + _STEP]
+        try:
+            out.append(inflate.decompress(step))
+        except zlib.error:
+            try:
+                for k in range(len(step)):
+                    out.append(before.decompress(step[k : k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), at, "bad gzip member"
+        at += len(step)
+    return b"".join(out), at - len(inflate.unused_data), "" if inflate.eof else "gzip member without end"
+
+
+def _member(content: bytes, at: int) -> tuple[list[tuple[dict | None, bytes, str]], int, str]:
+    plain, end, problem = _inflated(content, at)
+    found: list[tuple[dict | None, bytes, str]] = []
+    inner = 0
+    while inner < len(plain):
+        got, inner_end, wrong = _record(plain, inner)
+        if wrong:
+            next_ = _VERSION.search(plain, inner + 1)
+            inner_end = next_.start() if next_ else len(plain)
+            got = [(None, b"", f"{wrong}, bytes {inner} to {inner_end} of the member")]
+        # the gap of a damaged member covers those inside of it, and what it holds uncompressed is found after it
+        if not problem or (not wrong and content.find(plain[inner:inner_end], at) < 0):
+            found += got
+        inner = inner_end
+    return found, end, problem
+
+
+def _record(content: bytes, at: int) -> tuple[list[tuple[dict | None, bytes, str]], int, str]:
     if not _VERSION.match(content, at):
         return [], at, "no version line"
     stop = content.find(b"\r\n\r\n", at)
@@ -126,25 +169,7 @@ def _record(content: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int, str
     digest = header.get("warc-payload-digest", "")
     if header.get("warc-type") == "response" and digest.startswith("sha1:") and digest[5:] != hashlib.sha1(payload).hexdigest():
         return [], at, "payload digest differs"
-    return [(header, payload)], end + 4, ""
-
-
-def _member(content: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int, str]:
-    inflate = zlib.decompressobj(31)
-    try:
-        plain = inflate.decompress(memoryview(content)[at:]) + inflate.flush()
-    except zlib.error:
-        return [], at, "bad gzip member"
-    if not inflate.eof:
-        return [], at, "gzip member without end"
-    got, inner = [], 0
-    while inner < len(plain):
-        more, inner_end, problem = _record(plain, inner)
-        if problem:
-            return [], at, problem
-        got += more
-        inner = inner_end
-    return got, len(content) - len(inflate.unused_data), ""
+    return [(header, payload, "")], end + 4, ""
 
 
 _RECORD = (
@@ -171,7 +196,8 @@ def _read(with_payload: bool):
                         continue
                     digest = header.get("warc-payload-digest", "")
                     digest = digest[5:] if digest.startswith("sha1:") else hashlib.sha1(payload).hexdigest()
-                    full = header.get("x-payload-length", "")
+                    # a revisit does not hold the payload that it tells the length of
+                    full = header.get("x-payload-length", "") if header.get("warc-type") == "revisit" else ""
                     rows.append(
                         (path.as_py(), at, length, _page(header.get("warc-record-id")), header.get("warc-target-uri"), header.get("warc-type"),
                          _page(header.get("warc-refers-to")), digest, int(full) if full.isdigit() else len(payload), payload if with_payload else None, None)
@@ -189,15 +215,12 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
     payload_bytes (both of the full payload, also for revisits), payload (null when not asked for; empty for
     revisits), problem (null for records).
     """
-    prepare(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "content")
-    # files are read whole, a few megabytes each; one a batch keeps Python's memory to one file
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     return files.mapInArrow(_read(payloads), _RECORD)
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write the pages to archives in the shared scratch folder (or ``folder``) and read their records back."""
+    """Write the pages to archives in the shared scratch folder (or ``folder``) and read records and gaps back."""
     folder = folder or scratch_dir(pages.sparkSession, "warc")
     write_archives(pages, folder)
-    return read_archives(pages.sparkSession, folder, payloads=False).filter("problem is null")
+    return read_archives(pages.sparkSession, folder, payloads=False)

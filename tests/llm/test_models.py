@@ -249,6 +249,63 @@ def test_salvage():
     assert list(salvage(b"")) == [] and zlib.crc32(b"") == 0
 
 
+def _many(n):
+    """Records, each of its own bytes."""
+    out = []
+    for i in range(n):
+        payload = f"page {i} ".encode() * (20 + i)
+        head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Payload-Digest: sha1:{hashlib.sha1(payload).hexdigest()}\r\nContent-Length: {len(payload)}\r\n\r\n"
+        out.append(head.encode() + payload + b"\r\n\r\n")
+    return out
+
+
+def _ids(found):
+    return [int(g[2]["warc-record-id"][10:-1]) for g in found if g[2]]
+
+
+def test_one_bad_record_inside_a_member():
+    """Ten records in one gzip member, one of them damaged before it was compressed: nine come back, the gap is logged."""
+    parts = _many(10)
+    parts[4] = parts[4].replace(b"page 4", b"page X", 1)
+    member = gzip.compress(b"".join(parts))
+    after = gzip.compress(_many(12)[11])
+    got = list(salvage(member + after))
+    assert _ids(got) == [0, 1, 2, 3, 5, 6, 7, 8, 9, 11]
+    gaps = [g for g in got if g[2] is None]
+    begin = sum(map(len, parts[:4]))
+    assert [(g[0], g[1], g[4]) for g in gaps] == [(0, len(member), f"payload digest differs, bytes {begin} to {begin + len(parts[4])} of the member")]
+
+
+def test_a_member_that_is_cut_or_broken_gives_what_comes_before():
+    import os
+
+    parts = _many(10)
+    noise = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: 300000\r\n\r\n" + os.urandom(300000) + b"\r\n\r\n"
+    member = gzip.compress(b"".join([*parts[:6], noise, *parts[6:]]))
+    plain = parts[0].replace(b"page:0", b"page:99")
+    cut = list(salvage(member[: len(member) // 2] + plain))
+    assert _ids(cut) == [0, 1, 2, 3, 4, 5, 99]
+    assert any(g[4] == "bad gzip member" and g[0] == 0 for g in cut) or any(g[4] == "gzip member without end" for g in cut)
+    alone = list(salvage(member[: len(member) // 2]))
+    assert _ids(alone) == [0, 1, 2, 3, 4, 5] and alone[-1][4] == "gzip member without end"
+    wrong = bytearray(member)
+    wrong[-6] ^= 255  # the check sum at the end
+    assert _ids(salvage(bytes(wrong) + plain)) == [*range(6), 77, *range(6, 10), 99]
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    import glob
+
+    from sensorloom.llm import warc
+
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("http://x/").alias("url"), F.concat(F.col("id").cast("string"), F.repeat(F.lit("y"), 4000)).alias("html"))
+    write_archives(pages.coalesce(1), str(tmp_path / "w"))
+    assert len(glob.glob(str(tmp_path / "w" / "part-*"))) >= 10
+    got = read_archives(spark, str(tmp_path / "w"))
+    assert got.filter("problem is null").count() == 40 and got.filter("problem is not null").count() == 0
+
+
 def test_any_cut_is_salvaged():
     good = [record(i, b"payload %d WARC/1.1\r\n" % i) for i in range(5)]
     data, r = b"".join(good), random.Random(1)
