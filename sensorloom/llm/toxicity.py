@@ -3,7 +3,7 @@
 The lexicon is learnt from labelled documents: words and word beginnings that stand in toxic documents far more often
 than chance allows, weighted by their log odds. Before matching, letters that look alike and digits or signs that
 stand for letters are folded, so ``1d10t`` and ``idiot`` spelt with foreign letters are the same word. A hit inside an exception
-phrase does not count. The score is a logistic function of the weight found and of that weight by length.
+phrase does not count; such phrases are learnt from harmless documents that an entry hits. The score is a logistic function of the weight found and of that weight by length.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import ahocorasick
 import numpy as np
@@ -30,10 +30,10 @@ HOMOGLYPHS = {
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
 #: Labelled documents that the lexicon is learnt from, at most: those least by hash of the id.
 SAMPLE = 20_000
-#: Phrases in which a word of the lexicon is harmless.
+#: Phrases in which a word of the lexicon is harmless, besides those that are learnt.
 EXCEPTIONS = ("trash can", "trash bin", "class clown", "pond scum", "circus clown")
-#: Lengths of word beginnings that may enter the lexicon, and entries of the lexicon at most.
-STEMS, ENTRIES = (4, 5, 6, 7, 8), 20_000
+#: Lengths of word beginnings that may enter the lexicon.
+STEMS = (4, 5, 6, 7, 8)
 #: Evidence that an entry needs: likelihood ratio statistic, and toxic documents that hold it.
 EVIDENCE, SUPPORT = 15.0, 3
 
@@ -108,7 +108,7 @@ def features(plain: str) -> set[str]:
     """Words and word beginnings of a folded text, marked as entries of a lexicon are."""
     out = set()
     for word in set(plain.split()):
-        if 2 < len(word) <= 40:
+        if len(word) > 2:
             out.add(f" {word} ")
             out.update(f" {word[:n]}" for n in STEMS if len(word) > n)
     return out
@@ -125,6 +125,45 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.string()), pa.array(toxic, pa.int32())], ["entry", "toxic"])
 
 
+def phrases(automaton: ahocorasick.Automaton, plain: str) -> set[str]:
+    """Each word of a folded text that an entry hits, with the word before it and with the word after it."""
+    words = plain.split()
+    # places of the spaces before the words, where entries begin
+    at = {k: i for i, k in enumerate(k for k, c in enumerate(plain[:-1]) if c == " ")} if len(words) else {}
+    hit = sorted({at[end - size + 1] for end, (_, size) in automaton.iter(plain) if end - size + 1 in at} if len(automaton) else set())
+    pairs = [(i - 1, i) for i in hit if i] + [(i, i + 1) for i in hit if i + 1 < len(words)]
+    return {f"{words[a]} {words[b]}" for a, b in pairs}
+
+
+def _phrases(lexicon: Lexicon):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = lexicon.automaton()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                got, toxic = [], []
+                for text, label in zip(column_of(part, "text").to_pylist(), column_of(part, "toxic").to_pylist()):
+                    some = phrases(automaton, folded(text or ""))
+                    got += some
+                    toxic += [label] * len(some)
+                yield pa.RecordBatch.from_arrays([pa.array(got, pa.string()), pa.array(toxic, pa.int32())], ["phrase", "toxic"])
+
+    return run
+
+
+def _harmless(texts: DataFrame, lexicon: Lexicon) -> list[str]:
+    """Phrases around an entry that stand in harmless documents only, and in too many of them for that to be chance.
+
+    Chance is the share of toxic documents among all that an entry hits."""
+    hits = texts.mapInArrow(_weighed(replace(lexicon, exceptions=()), ["toxic"], False), "toxic int, weight double, words bigint").filter("weight > 0")
+    toxic, n = hits.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
+    if not n or toxic == n:
+        return []
+    tally = texts.select("text", "toxic").mapInArrow(_phrases(lexicon), "phrase string, toxic int").groupBy("phrase")
+    tally = tally.agg(F.sum("toxic").alias("a"), F.count("*").alias("n")).filter(F.col("a") == 0)
+    evidence = -2 * F.col("n") * math.log(max(1 - toxic / n, 1e-9))
+    return [r["phrase"] for r in tally.filter((F.col("n") >= SUPPORT) & (evidence >= EVIDENCE)).collect()]
+
+
 def _weighed(lexicon: Lexicon, keep: list[str], score: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
@@ -188,9 +227,10 @@ def learn(
     part = F.col("a") / (F.col("a") + F.col("b"))
     against = F.when(F.col("b") > 0, F.col("b") * F.log((1 - part) / (1 - base))).otherwise(0.0)
     ratio = 2 * (F.col("a") * F.log(part / base) + against)
-    strong = tally.filter((part > 0.5) & (ratio >= EVIDENCE)).orderBy(F.desc(ratio), "entry").limit(ENTRIES).collect()
+    strong = tally.filter((part > 0.5) & (ratio >= EVIDENCE)).collect()  # as many as the sample supports
     weights = {r["entry"]: math.log((r["a"] + 0.5) / (bad + 1)) - math.log((r["b"] + 0.5) / (good + 1)) for r in strong}
-    lexicon = Lexicon({e: w for e, w in weights.items() if w > 0})
+    lexicon = Lexicon({e: w for e, w in weights.items() if w > 0}, exceptions=())
+    lexicon.exceptions = tuple(sorted({*EXCEPTIONS, *_harmless(texts, lexicon)}))
     seen = texts.select("toxic", "text").mapInArrow(_weighed(lexicon, ["toxic"], False), "toxic int, weight double, words bigint").toPandas()
     if len(seen):  # labels may be of documents that are not there
         lexicon.curve = _curve(seen["weight"].to_numpy(), seen["words"].to_numpy(), seen["toxic"].to_numpy(), cut)

@@ -22,8 +22,6 @@ from sensorloom.llm.common import column_of, prepare
 SUPPORT, CONFIDENCE, TOKENS = 0.002, 0.9, 3
 #: What a URL gets that no rule speaks about.
 OTHERWISE = "allow"
-#: Rules that are kept at most: the surest, then the most frequent.
-RULES = 50_000
 
 
 @dataclass(frozen=True)
@@ -80,16 +78,17 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
 def mine(known: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, size: int = TOKENS) -> list[tuple[list[str], str, float, float]]:
     """Rules (tokens, verdict, confidence, support) from rows of tokens and verdict, the surest first.
 
-    A rule is pruned where a part of its tokens gives the same verdict at least as surely. No rows give no rules."""
+    A rule is pruned where a part of its tokens gives the same verdict at least as surely. No rows give no rules. The
+    driver gets as many rules as there are frequent combinations of ``size`` tokens or fewer: at most the mean number of
+    such combinations in a URL divided by the support, whatever the number of URLs."""
     baskets = known.select(F.array_distinct(F.concat("tokens", F.array(F.concat(F.lit("="), "verdict")))).alias("items"))
     if baskets.isEmpty():
         return []
-    baskets = baskets.repartition("items")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     rules = model.associationRules.filter(F.size("consequent") == 1).filter(F.col("consequent")[0].startswith("="))
     rules = rules.filter(F.size("antecedent") <= size).filter(~F.exists("antecedent", lambda t: t.startswith("=")))
     rows = rules.select(F.sort_array("antecedent").alias("t"), F.substring(F.col("consequent")[0], 2, 99).alias("v"), "confidence", "support")
-    found = rows.orderBy(F.desc("confidence"), F.desc("support"), "t").limit(RULES).collect()
+    found = rows.collect()
     kept: dict[tuple[frozenset, str], float] = {}
     out = []
     for r in sorted(found, key=lambda r: (len(r["t"]), -r["confidence"], -r["support"], r["t"])):

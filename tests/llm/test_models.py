@@ -321,6 +321,29 @@ def test_any_cut_is_salvaged():
         assert whole <= left
 
 
+def test_exceptions_are_learnt_from_harmless_documents(spark):
+    r = random.Random(4)
+    other = lambda n: " ".join(f"w{r.randrange(400)}x" for _ in range(n))
+    texts = [(f"{other(8)} moron {other(8)}", 1) for _ in range(60)] + [(f"{other(8)} Moron mushroom {other(8)}", 0) for _ in range(30)]
+    texts += [(other(16), 0) for _ in range(200)] + [(f"{other(3)} {'q' * 200} {other(3)}", 1) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id bigint, toxic int")
+    lexicon = learn(docs, labels)
+    assert " moron " in lexicon.entries and "moron mushroom" in lexicon.exceptions
+    assert f" {'q' * 200} " in lexicon.entries  # words of any length
+    new = spark.createDataFrame([(1, "what a moron"), (2, "a moron mushroom"), (3, "a mushroom"), (4, "moron mushroom moron")], "doc_id bigint, text string")
+    score = {r["doc_id"]: r["score"] for r in toxicity(new, lexicon).collect()}
+    assert score[1] >= 0.3 and score[4] >= 0.3 and score[2] < 0.3 and score[3] < 0.3
+
+
+def test_phrases_around_hits():
+    from sensorloom.llm.toxicity import phrases
+
+    automaton = Lexicon({" bad ": 1.0, " wor": 1.0}, exceptions=()).automaton()
+    assert phrases(automaton, folded("a bad word")) == {"a bad", "bad word"}
+    assert phrases(automaton, folded("bad")) == phrases(automaton, folded("")) == phrases(automaton, folded("none here")) == set()
+
+
 # URL rules
 
 
@@ -338,8 +361,11 @@ def test_list_rules(spark):
         8: ("http://a?b://c/d", "a", "", None, "allow"),
     }
     pages = spark.createDataFrame([(i, u[0], "x") for i, u in urls.items()], "page_id bigint, url string, host string")
-    got = {r["page_id"]: (r["host"], r["path"], r["rule"]) for r in judged(pages, URL_RULES, support=0.9).collect()}
-    assert got == {i: u[1:4] for i, u in urls.items()}
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in judged(pages, URL_RULES, support=0.9).collect()}
+    assert got == {i: u[1:] for i, u in urls.items()}
+    # repeated rows and rows without an id are judged one by one
+    again = pages.unionByName(pages).unionByName(pages.withColumn("page_id", F.lit(None).cast("bigint")))
+    assert Counter(r["verdict"] for r in judged(again, URL_RULES, support=0.9).collect()) == {k: 3 * n for k, n in Counter(u[4] for u in urls.values()).items()}
     assert judged(pages.limit(0), URL_RULES).count() == 0
 
 
