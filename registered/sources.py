@@ -123,6 +123,24 @@ def s7(spark, sf_dir):
     return parts.groupBy("topic").agg(F.count("*").alias("rows"))
 
 
+@query(
+    "s7_export_by_tag",
+    """SELECT 'conv_' || conv_id AS sequence, '/' || role AS topic, COUNT(*) AS rows, CAST(SUM(octet_length(encode(text))) AS BIGINT) AS bytes
+       FROM conversations WHERE conv_id % 2 = 0 GROUP BY 1, 2""",
+)
+def s7_by_tag(spark, sf_dir):
+    """Half of the conversations exported in one job, and read back by the manifest's folders."""
+    store, _ = talk_store(spark, sf_dir)
+    names = [r["name"] for r in store.sequence_names().where("cast(substr(name, 6) as int) % 2 = 0").collect()]
+    out = scratch_dir(spark, "export") + "/talks"
+    manifest = export.export_by_tag(store, names, out)
+    folder = manifest.select("folder").distinct().first()["folder"]
+    rows = spark.read.parquet(f"{out}/{folder}").groupBy(c("of_sequence").alias("sequence"), c("of_topic").alias("topic")).agg(
+        F.sum(F.octet_length("data").cast("bigint")).alias("bytes")
+    )
+    return manifest.join(rows, ["sequence", "topic"]).select("sequence", "topic", "rows", "bytes")
+
+
 def _order_rows(spark, sf_dir):
     """Orders as a table with a time column, one topic per status."""
     return load(spark, sf_dir, "orders").select(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,3 +153,58 @@ def export_sequence(store: SequenceStore, sequence: str, out_dir: str, file_form
     if not written:
         raise LookupError(f"{sequence!r} has no topic with rows")
     return written
+
+
+MANIFEST = "sequence string, topic string, tag string, folder string, rows bigint"
+
+
+def export_by_tag(store: SequenceStore, sequences: list[str], out_dir: str) -> DataFrame:
+    """Topics of many sequences as Parquet, one job for each tag whatever the number of topics. Returns the manifest.
+
+    A tag is one table with a folder per sequence and topic; the manifest says which folder holds which topic. It is written
+    last, so an export without one did not end: nothing is renamed or moved. Topics without rows are left out, and nothing
+    written is an error. Topics of a tag whose columns differ by topic keep their body as a variant, with the columns of
+    each in the catalogue.
+    """
+    wanted = store.spark.createDataFrame([(s,) for s in sequences], "sequence string")
+    topics = store.topic_log().where("status = 'uploaded' and rows > 0").join(wanted, "sequence", "left_semi")
+    tables = topics.groupBy("key", "tag").agg(F.min("table_schema").alias("table_schema")).collect()
+    if not tables:
+        raise LookupError(f"no topic with rows in {sequences}")
+    manifest = None
+    for row in tables:
+        rows = store.read_tag(row["key"], row["tag"], schema=store.stored_schema(row["table_schema"])).join(wanted, "sequence", "left_semi")
+        folder = f"{row['key']}/{row['tag']}"
+        (
+            rows.withColumnsRenamed({"sequence": "of_sequence", "topic": "of_topic"})
+            .sortWithinPartitions("of_sequence", "of_topic", "timestamp_ns")
+            .write.mode("errorifexists").partitionBy("of_sequence", "of_topic").parquet(f"{out_dir}/{folder}")
+        )
+        mine = topics.where((F.col("key") == row["key"]) & (F.col("tag") == row["tag"]))
+        mine = mine.select("sequence", "topic", "tag", F.lit(folder).alias("folder"), "rows")
+        manifest = mine if manifest is None else manifest.unionByName(mine)
+    manifest.write.mode("errorifexists").parquet(f"{out_dir}/{_MANIFEST}")
+    return store.spark.read.schema(MANIFEST).parquet(f"{out_dir}/{_MANIFEST}")
+
+
+_MANIFEST = "_export_manifest"
+
+
+def read_exported(spark: SparkSession, out_dir: str, sequence: str, topic: str) -> DataFrame:
+    """Rows of an exported topic; only its folder is listed."""
+    try:
+        # a name with an underscore is no data of the folders beside it, but is read when asked for
+        manifest = spark.read.schema(MANIFEST).parquet(f"{out_dir}/{_MANIFEST}")
+        found = manifest.where((F.col("sequence") == sequence) & (F.col("topic") == topic)).select("folder").distinct().collect()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        raise LookupError(f"no finished export in {out_dir}") from None
+    if not found:
+        raise LookupError(f"no such topic: {sequence}/{topic}")
+    place = f"of_sequence={folder_name(sequence)}/of_topic={folder_name(topic)}"
+    parts = [spark.read.parquet(f"{out_dir}/{r['folder']}/{place}") for r in found]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows

@@ -224,11 +224,17 @@ class SequenceStore:
         # as many names as a listing of the folders would give
         return [f"{self.data_path(key, tag)}/{r['file']}" for r in files.select("file").distinct().collect()]
 
+    @staticmethod
+    def stored_schema(table: str | None) -> T.StructType:
+        """Columns that the data files of a topic have, by the schema in the log."""
+        if table is not None and table.startswith("["):
+            return raw.STORED
+        return T.StructType([T.StructField("sequence", T.StringType()), *T.StructType.fromJson(json.loads(table or '{"fields":[]}')).fields])
+
     def _pull(self, logged, sequence: str, topic: str, start_ns: int | None, end_ns: int | None) -> DataFrame:
         key, tag, table = logged["key"], logged["tag"], logged["table_schema"]
         open_columns = table is not None and table.startswith("[")
-        schema = raw.STORED if open_columns else T.StructType.fromJson(json.loads(table or '{"fields":[]}'))
-        stored = schema if open_columns else T.StructType([T.StructField("sequence", T.StringType()), *schema.fields])
+        stored = self.stored_schema(table)
         bounded = start_ns is not None or end_ns is not None
         files = self.files_of(key, tag, sequence, topic, start_ns, end_ns) if bounded else None
         if not logged["rows"] or files == []:

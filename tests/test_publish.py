@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.operators import ontology, raw
 from sensorloom.operators.routing import tag_map
+from sensorloom.plans import export
 from sensorloom.plans.publish import Interrupted, Progress, Publication, publish
 from sensorloom.plans.store import NO_CHANNEL, SequenceStore
 from sensorloom.sources.messages import read_messages, write_messages
@@ -286,3 +287,34 @@ def test_logged_fields_are_json(raw_store):
     store, _ = raw_store
     tables = {r.topic: r.table_schema for r in store.list_topics("r").collect()}
     assert json.loads(tables["/two"]) == [{"path": ["v"], "kind": "nums"}, {"path": ["w"], "kind": "anytext"}]
+
+
+# ---------------------------------------------------------------- export
+
+
+def test_two_hundred_topics_are_exported_in_a_few_jobs(spark, store, tmp_path):
+    rows = spark.range(2000).select(
+        F.when(F.col("id") % 2 == 0, "s").otherwise("t").alias("sequence"), F.format_string("/to pic:%d", F.col("id") % 200).alias("topic"),
+        F.col("id").alias("timestamp_ns"), (F.col("id") * 1.5).alias("x"),
+    )
+    with store.begin_upload(["s", "t"]) as upload:
+        upload.write(rows, "custom")
+        upload.record(rows.select("sequence", "topic", F.lit("custom").alias("tag")).distinct())
+        upload.finalize()
+    out = str(tmp_path / "out")
+    spark.sparkContext.setJobGroup("export", "export")
+    try:
+        manifest = export.export_by_tag(store, ["s"], out)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("export")) < 20
+    assert manifest.count() == 100 and {r.rows for r in manifest.collect()} == {10}
+    got = export.read_exported(spark, out, "s", "/to pic:4")
+    assert got.columns == ["timestamp_ns", "x"] and sorted(r.x for r in got.collect()) == [1.5 * (4 + 200 * k) for k in range(10)]
+    for sequence, topic in (("t", "/to pic:5"), ("s", "/none")):
+        with pytest.raises(LookupError):
+            export.read_exported(spark, out, sequence, topic)
+    with pytest.raises(LookupError):
+        export.read_exported(spark, str(tmp_path), "s", "/to pic:4")
+    with pytest.raises(LookupError):
+        export.export_by_tag(store, ["none"], str(tmp_path / "nothing"))
