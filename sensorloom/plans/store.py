@@ -7,6 +7,7 @@ Layout under ``root``::
     log/sequences   (name, key, state, version, ...)    one row per state change
     log/topics      (key, sequence, topic, tag, ...)    one row per topic when its upload closes
     log/files       (key, tag, sequence, topic, file, rows, ts_min, ts_max, ...)  one row per topic and data file
+    log/replaced    (log, file, at_ns)              log files whose rows stand in a snapshot, to be removed
     staging/<key>/  messages on their way to a tag; gone when the upload ends
 
 An upload has a key. Readers see the rows of a key only after its ``finalized`` row is in the log, so a
@@ -20,6 +21,7 @@ import json
 import time
 import uuid
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -44,6 +46,11 @@ FILE_LOG = (
 
 BATCH_LOG = "key string, batch bigint, rows bigint, bytes bigint, failed string, schemas string"
 
+REPLACED_LOG = "log string, file string, at_ns bigint"
+
+# Logs that are read as a whole by catalog queries.
+_LOGS = {"sequences": SEQUENCE_LOG, "topics": TOPIC_LOG, "files": FILE_LOG, "batches": BATCH_LOG}
+
 # Order of the states of an upload, and the metadata of one made here.
 _VERSION = {"open": 0, "finalized": 1, "deleted": 2}
 _SOURCE = '{"source":"sensorloom"}'
@@ -106,7 +113,7 @@ class SequenceStore:
 
     def topic_log(self) -> DataFrame:
         """Topics of finalized sequences."""
-        log = self._log("topics", TOPIC_LOG)
+        log = self._log("topics", TOPIC_LOG).distinct()  # a row may stand in a snapshot and in the file it was made from
         return log.join(self.visible().select("key", F.col("name").alias("sequence")), ["key", "sequence"], "left_semi")
 
     # ------------------------------------------------------------ catalog
@@ -298,6 +305,29 @@ class SequenceStore:
         for row in current:
             self.append_states(self.spark.createDataFrame([(name,)], "name string"), row["key"], "deleted")
 
+    def compact_log(self, retain_seconds: float = 3600, files: int = 16) -> dict[str, int]:
+        """Write a snapshot of each log that has more than so many files; returns the number of files that each replaced.
+
+        A snapshot is appended like any other rows, so from then on its rows stand twice, which readers allow for. The files it
+        was made from are removed by a later call, after the retention: whoever listed them before can read them until
+        then. A call that ends half way leaves rows that stand twice, which the next snapshot holds once.
+        """
+        now, replaced = time.time_ns(), {}
+        old = self._log("replaced", REPLACED_LOG).where(F.col("at_ns") <= now - int(retain_seconds * 1e9))
+        for row in old.select("file").distinct().collect():
+            remove_folder(self.spark, f"{self.root}/log/{row['file']}")
+        gone = {r["file"] for r in self._log("replaced", REPLACED_LOG).select("file").distinct().collect()}
+        for name, schema in _LOGS.items():
+            log = self._log(name, schema)
+            names = [f"{name}/{unquote(path).rsplit('/', 1)[1]}" for path in log.inputFiles()]
+            open_ = [n for n in names if n not in gone]
+            if len(open_) <= files:
+                continue
+            self._append(name, self.spark.read.schema(schema).parquet(*[f"{self.root}/log/{n}" for n in open_]).distinct())
+            self._append("replaced", self.spark.createDataFrame([(name, n, now) for n in open_], REPLACED_LOG))
+            replaced[name] = len(open_)
+        return replaced
+
     def vacuum(self, retain_seconds: float = 7 * 24 * 3600, abandon_seconds: float | None = None) -> list[str]:
         """Remove the data of uploads that were dropped longer ago than the retention. Returns their keys.
 

@@ -34,9 +34,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; where that is unset, the warehouse is
-    taken, which every session has and all executors must reach anyway.
+    taken, unless it is a folder of the driver's machine that executors on others cannot reach.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        alone = spark.conf.get("spark.master", "").split("[")[0] == "local"
+        if not alone and shared.startswith("file:"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{shared.rstrip('/')}/sensorloom-scratch/{purpose}-{uuid.uuid4().hex}"
 
 

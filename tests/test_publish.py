@@ -318,3 +318,35 @@ def test_two_hundred_topics_are_exported_in_a_few_jobs(spark, store, tmp_path):
         export.read_exported(spark, str(tmp_path), "s", "/to pic:4")
     with pytest.raises(LookupError):
         export.export_by_tag(store, ["none"], str(tmp_path / "nothing"))
+
+
+# ---------------------------------------------------------------- the log
+
+
+def test_snapshots_of_the_log_replace_its_files(spark, store):
+    rows = spark.range(3).select(F.col("id").alias("timestamp_ns"))
+
+    def upload(name):
+        with store.begin_upload([name]) as one:
+            one.create_topic(name, "/t", "custom")
+            one.put_batch(rows)
+            one.finalize()
+
+    for i in range(4):
+        upload(f"s{i}")
+    dropped = store.begin_upload(["gone"])
+    dropped.cleanup()
+    seen = lambda: (
+        sorted(map(str, store.list_sequences().collect())), sorted(map(str, store.list_topics().collect())), store.pull_topic("s1", "/t", 1).count(),
+        sorted((r.name, r.state) for r in store.states().collect()), [r.timestamp_ns for r in store.first_rows("s2", "/t", 2).collect()],
+    )
+    files = lambda log: len(glob.glob(f"{store.root}/log/{log}/*.parquet"))
+    before, n = seen(), files("sequences")
+    assert n >= 10 and store.compact_log(files=100) == {}
+    assert store.compact_log(files=3) == {"sequences": n, "topics": 4, "files": 4}
+    assert seen() == before and files("sequences") > n  # what was replaced is there until the retention is over
+    assert store.compact_log(files=3) == {} and files("sequences") > n
+    store.compact_log(retain_seconds=0, files=3)
+    assert files("sequences") < 5 and files("topics") < 4 and seen() == before
+    upload("s9")  # a tail behind the snapshot
+    assert len(seen()[0]) == 5 and store.pull_topic("s9", "/t").count() == 3
