@@ -139,24 +139,34 @@ def _schedule(spark: SparkSession, rows: Iterator[tuple]) -> DataFrame:
     return turns.select("_s", (F.col("_first") + F.col("_turn") * F.col("_each")).alias("mix_block"), (F.col("_slot") + F.col("_turn") * F.col("_length")).alias("mix_slot"))
 
 
-def numbered(docs: DataFrame, key: str, source: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Adds ``_n``: rows of each source numbered from 0 in a shuffled but fixed order (by hash of id).
+def placed(docs: DataFrame, schedule: DataFrame, key: str, block: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Adds mix_block, mix_place and mix_slot: rows of each source (``_s``) numbered from 0 in a shuffled but fixed order, by hash
+    of the id, and cut into blocks, whose slots the schedule (_s, mix_block, mix_slot) has.
 
     A source is cut into buckets by hash of the id, numbered bucket by bucket; a bucket's first number is the sum of
-    the buckets before it. So a source with a third of all rows is spread over many tasks.
+    the buckets before it. So a source with a third of all rows is spread over many tasks. Slots come to the rows as
+    one array a bucket: the rows are dealt out by source and bucket, and only once.
     """
     count = docs.count()
     buckets = max(1, -(-count // bucket_rows))
     # rows without an id are dealt by what else they hold
     cells = [F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
     dealt = docs.withColumn("_mix_cells", F.xxhash64(*cells))
-    dealt = dealt.withColumn("_bucket", F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.col("_mix_cells").cast("string")), F.lit("deal")), F.lit(buckets)).cast("int"))
+    deal = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.col("_mix_cells").cast("string")), F.lit("deal"))
+    dealt = dealt.withColumn("_bucket", F.pmod(deal, F.lit(buckets)).cast("int"))
     sizes = dealt.groupBy("_s", "_bucket").agg(F.count("*").alias("_c"))
     before = Window.partitionBy("_s").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = sizes.select("_s", "_bucket", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"))
+    first = sizes.select("_s", "_bucket", "_c", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_first"))
+    begin, end = F.floor(F.col("_first") / block), F.floor((F.col("_first") + F.col("_c") - 1) / block)
+    spans = first.select("_s", "_bucket", "_first", F.explode(F.sequence(begin, end)).alias("mix_block"))
+    slots = spans.join(schedule, ["_s", "mix_block"]).groupBy("_s", "_bucket").agg(
+        F.min("_first").alias("_first"), F.sort_array(F.collect_list(F.struct("mix_block", "mix_slot"))).alias("_slots")
+    )
     order = Window.partitionBy("_s", "_bucket").orderBy(F.xxhash64(F.col(key)), F.col(key), "_mix_cells")
-    placed = dealt.withColumn("_at", F.row_number().over(order) - 1)
-    return placed.join(first, ["_s", "_bucket"]).withColumn("_n", F.col("_first") + F.col("_at")).drop("_first", "_at", "_bucket", "_mix_cells")
+    rows = dealt.withColumn("_at", F.row_number().over(order) - 1).join(slots, ["_s", "_bucket"])
+    rows = rows.withColumn("_n", F.col("_first") + F.col("_at")).withColumn("mix_block", F.floor(F.col("_n") / block))
+    nth = (F.col("mix_block") - F.col("_slots")[0]["mix_block"]).cast("int")
+    return rows.withColumns({"mix_place": F.pmod("_n", F.lit(block)), "mix_slot": F.col("_slots")[nth]["mix_slot"]})
 
 
 def _positive(weights: dict) -> dict[str, float]:
@@ -193,7 +203,5 @@ def mixed(
     mean = sum(weights.values()) / len(weights) if weights else 1.0
     plan = _phases({s: -(-c // block) for s, c in counts.items()}, {s: weights.get(s, mean) for s in counts}, period)
     schedule = _schedule(docs.sparkSession, plan)
-    placed = numbered(rows, key, source)
-    placed = placed.withColumn("mix_block", F.floor(F.col("_n") / block)).withColumn("mix_place", F.pmod("_n", F.lit(block)))
-    placed = placed.join(schedule, ["_s", "mix_block"])
-    return placed.select(*[F.col(c) for c in docs.columns], F.col("_s").alias("mix_source"), "mix_block", "mix_slot", "mix_place")
+    found = placed(rows, schedule, key, block)
+    return found.select(*[F.col(c) for c in docs.columns], F.col("_s").alias("mix_source"), "mix_block", "mix_slot", "mix_place")

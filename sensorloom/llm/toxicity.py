@@ -127,12 +127,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def phrases(automaton: ahocorasick.Automaton, plain: str) -> set[str]:
     """Each word of a folded text that an entry hits, with the word before it and with the word after it."""
-    words = plain.split()
+    words = plain[1:-1].split(" ")  # a word that was all marks is empty
     # places of the spaces before the words, where entries begin
-    at = {k: i for i, k in enumerate(k for k, c in enumerate(plain[:-1]) if c == " ")} if len(words) else {}
+    at = {k: i for i, k in enumerate(k for k, c in enumerate(plain[:-1]) if c == " ")}
     hit = sorted({at[end - size + 1] for end, (_, size) in automaton.iter(plain) if end - size + 1 in at} if len(automaton) else set())
     pairs = [(i - 1, i) for i in hit if i] + [(i, i + 1) for i in hit if i + 1 < len(words)]
-    return {f"{words[a]} {words[b]}" for a, b in pairs}
+    return {f"{words[a]} {words[b]}" for a, b in pairs if words[a] and words[b]}
 
 
 def _phrases(lexicon: Lexicon):

@@ -341,6 +341,7 @@ def test_phrases_around_hits():
 
     automaton = Lexicon({" bad ": 1.0, " wor": 1.0}, exceptions=()).automaton()
     assert phrases(automaton, folded("a bad word")) == {"a bad", "bad word"}
+    assert phrases(automaton, folded("a - bad -- word bad")) == {"word bad"}
     assert phrases(automaton, folded("bad")) == phrases(automaton, folded("")) == phrases(automaton, folded("none here")) == set()
 
 
