@@ -386,7 +386,7 @@ def d21_open(spark, sf_dir):
         F.lit('{"k":'), c("k").cast("string"), F.lit(',"by_user":{"u'), (c("user_id") % 120).cast("string"), F.lit('":{"seen":['),
         c("value").cast("string"), F.lit("]}}}"),
     )
-    table = infer.channel_table(event_json(spark, sf_dir, payload), limit=40)
+    table = infer.channel_table(event_json(spark, sf_dir, payload), limit=8)
     wide = decode.good_rows(table).withColumn("columns", F.lit(len(table.columns) - 2))
     key = F.map_keys("by_user")[0]
     value = F.get_json_object(F.map_values("by_user")[0], "$.seen[0]").cast("double")
