@@ -8,6 +8,7 @@ from each rule's rarest token.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,9 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm.common import column_of, prepare
+from sensorloom.session import written
 
 #: Part of the known URLs that a combination must be in, part of them that must agree, and tokens of a combination.
 SUPPORT, CONFIDENCE, TOKENS = 0.002, 0.9, 3
+#: Frequent tokens of a URL up to which FP-growth is given the baskets: it looks at up to 2**WIDE combinations of one. Where
+#: a URL has more, combinations of TOKENS tokens or fewer are counted level by level, which finds the same rules.
+WIDE = 16
 #: What a URL gets that no rule speaks about.
 OTHERWISE = "allow"
 
@@ -75,20 +80,57 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
     )
 
 
+def _grown(known: DataFrame, support: float, confidence: float, size: int) -> list:
+    """Rules by FP-growth, which finds the frequent combinations of any size: up to 2**WIDE of a URL."""
+    baskets = known.select(F.array_distinct(F.concat("tokens", F.array(F.concat(F.lit("="), "verdict")))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    rules = model.associationRules.filter(F.size("consequent") == 1).filter(F.col("consequent")[0].startswith("="))
+    rules = rules.filter(F.size("antecedent") <= size).filter(~F.exists("antecedent", lambda t: t.startswith("=")))
+    return rules.select(F.sort_array("antecedent").alias("t"), F.substring(F.col("consequent")[0], 2, 99).alias("v"), "confidence", "support").collect()
+
+
+def _levelled(tokens_: DataFrame, n: int, least: int, confidence: float, size: int) -> list:
+    """The same rules level by level, with no combination beyond ``size`` tokens: (id, verdict, n, t) are the frequent tokens.
+
+    A combination of one token more joins two that differ in their last one; only those frequent enough go on."""
+    now, out = tokens_.select("id", "verdict", "n", F.array("t").alias("t")), []
+    for k in range(1, size + 1):
+        both = written(now.groupBy("t", "verdict").agg(F.sum("n").alias("both")), "counts")
+        all_ = both.groupBy("t").agg(F.sum("both").alias("c"))
+        sure = both.filter(F.col("both") >= least).join(all_, "t").withColumn("confidence", F.col("both") / F.col("c"))
+        rules = sure.filter(F.col("confidence") >= confidence)
+        out += rules.select("t", F.col("verdict").alias("v"), "confidence", (F.col("both") / n).alias("support")).collect()
+        if k < size:
+            now = written(now.join(all_.filter(F.col("c") >= least).select("t"), "t", "left_semi"), "combinations")
+            last, rest = F.element_at("t", -1), F.slice("t", 1, k - 1) if k > 1 else F.array().cast("array<string>")
+            one = now.select("id", "verdict", "n", rest.alias("rest"), last.alias("x"))
+            two = one.select("id", "rest", F.col("x").alias("y"))
+            more = one.join(two, ["id", "rest"]).filter("x < y")
+            now = more.select("id", "verdict", "n", F.concat("rest", F.array("x", "y")).alias("t"))
+    return out
+
+
 def mine(known: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, size: int = TOKENS) -> list[tuple[list[str], str, float, float]]:
     """Rules (tokens, verdict, confidence, support) from rows of tokens and verdict, the surest first.
 
     A rule is pruned where a part of its tokens gives the same verdict at least as surely. No rows give no rules. The
     driver gets as many rules as there are frequent combinations of ``size`` tokens or fewer: at most the mean number of
     such combinations in a URL divided by the support, whatever the number of URLs."""
-    baskets = known.select(F.array_distinct(F.concat("tokens", F.array(F.concat(F.lit("="), "verdict")))).alias("items"))
-    if baskets.isEmpty():
+    n = known.count()
+    if not n:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    rules = model.associationRules.filter(F.size("consequent") == 1).filter(F.col("consequent")[0].startswith("="))
-    rules = rules.filter(F.size("antecedent") <= size).filter(~F.exists("antecedent", lambda t: t.startswith("=")))
-    rows = rules.select(F.sort_array("antecedent").alias("t"), F.substring(F.col("consequent")[0], 2, 99).alias("v"), "confidence", "support")
-    found = rows.collect()
+    least = math.ceil(support * n)
+    # equal baskets are one row with their number
+    baskets = known.select(F.array_sort(F.array_distinct("tokens")).alias("tokens"), "verdict").groupBy("tokens", "verdict").agg(F.count("*").alias("n"))
+    baskets = written(baskets.withColumn("id", F.monotonically_increasing_id()), "baskets")
+    tokens_ = baskets.select("id", "verdict", "n", F.explode("tokens").alias("t"))
+    often = tokens_.groupBy("t").agg(F.sum("n").alias("c")).filter(F.col("c") >= least).select("t")
+    tokens_ = written(tokens_.join(often, "t"), "tokens")
+    widest = tokens_.groupBy("id").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+    if widest <= WIDE:
+        found = _grown(known, support, confidence, size)
+    else:
+        found = _levelled(tokens_, n, least, confidence, size)
     kept: dict[tuple[frozenset, str], float] = {}
     out = []
     for r in sorted(found, key=lambda r: (len(r["t"]), -r["confidence"], -r["support"], r["t"])):

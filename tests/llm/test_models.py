@@ -370,6 +370,30 @@ def test_list_rules(spark):
     assert judged(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_wide_urls_give_the_same_rules(spark, monkeypatch):
+    from sensorloom.llm import url_rules
+
+    r = random.Random(12)
+    rows = []
+    for _ in range(400):
+        t = sorted({r.choice("abcdefghij") for _ in range(r.randint(1, 7))})
+        rows.append((t, "block" if {"a", "b"} <= set(t) or r.random() < 0.05 else "allow"))
+    known = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    near = lambda rules: [(t, v, round(c, 9), round(s, 9)) for t, v, c, s in rules]
+    grown = near(mine(known, 0.02, 0.8))
+    monkeypatch.setattr(url_rules, "WIDE", 1)
+    assert near(mine(known, 0.02, 0.8)) == grown and any(len(t) == 3 for t, *_ in grown)
+
+
+def test_urls_of_thirty_tokens_that_go_together(spark):
+    """All combinations of thirty tokens are frequent: 2**30 of them, of which those of three are counted."""
+    many = [f"p:{i:02d}" for i in range(30)]
+    rows = [(many, "block")] * 50 + [(["h:x", f"p:o{i % 7}"], "allow") for i in range(300)]
+    rules = mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.05, 0.9)
+    assert {tuple(t) for t, v, *_ in rules if v == "block"} == {(t,) for t in many}
+    assert (["h:x"], "allow") in [(t, v) for t, v, *_ in rules]
+
+
 def test_mined_rules_equal_brute_force(spark):
     r = random.Random(8)
     rows = []
