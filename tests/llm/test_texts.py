@@ -426,3 +426,81 @@ def test_common_seeds_leave_the_same_pairs(spark):
     usual = pairs()
     assert usual == pairs(common=3) == pairs(common=3, seeds_sent=0) == pairs(common=0)
     assert {(d, i) for d, i, _ in usual} == {(d, 90) for d in range(15)} | {(50, 3), (50, 90), (51, 4), (51, 90), (52, 91)}
+
+
+def spark_hash(*values):
+    """xxhash64 of Spark: each value hashed with the hash of those before it as seed, nulls left out."""
+    import struct
+
+    import xxhash
+
+    h = 42
+    for v in values:
+        if v is None:
+            continue
+        kind, v = v if isinstance(v, tuple) else ("s", v)
+        data = v.encode() if kind == "s" else struct.pack("<q" if kind == "l" else "<i", v)
+        h = xxhash.xxh64(data, seed=h).intdigest()
+    return h
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_tokens(text):
+    """Slots and tuples of Order MinHash, one k-mer at a time."""
+    import re
+
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+    if not w:
+        return []
+    seen, slots = Counter(), {}
+    for pos in range(max(len(w) - 3, 0) + 1):
+        gram = spark_hash(*w[pos : pos + 3])
+        seen[gram] += 1
+        h = spark_hash(("l", signed(gram)), ("i", seen[gram]))
+        half = slots.setdefault(h & 63, [None, None])
+        side, value = h >> 20 & 1, (h >> 31, pos)
+        if half[side] is None or value < half[side]:
+            half[side] = value
+    tokens = []
+    for slot, (a, b) in slots.items():
+        one, two = a and ("l", a[0]), b and ("l", b[0])
+        if b is None or (a is not None and a[1] <= b[1]):
+            pair = spark_hash(one, two)
+        else:
+            pair = spark_hash(two, one, ("i", 1))
+        tokens.append((slot << 24) + (pair & 0xFFFFFF))
+    return sorted(tokens)
+
+
+def brute_likeness(a, b):
+    either = len(a) + len(b) - len({x >> 24 for x in a} & {x >> 24 for x in b})
+    if not either:
+        return 1.0
+    j = (len(set(a) & set(b)) / either) ** 0.5
+    return 2 * j / (1 + j)
+
+
+def test_fingerprints_equal_brute_force(spark):
+    r = random.Random(17)
+    texts = {i: prose(900 + i % 9, r.choice([1, 2, 3, 4, 30, 200])) for i in range(40)} | {50: None, 51: "", 52: " \t\n", 53: "a a a a a a a a", 54: "Ä b c D", 55: "x " * 500}
+    got = {row["doc_id"]: row for row in fingerprints(table(spark, texts)).collect()}
+    ids = sorted(texts)
+    for i, j in zip(ids, ids[1:] + ids[:1]):
+        own, following = texts[i] or "", texts[j] or ""
+        half = len(own) // 2
+        changed = own[: len(own) - half] + following[:half]
+        a, b, c = brute_tokens(own), brute_tokens(changed), brute_tokens(following)
+        row = got[i]
+        assert row["fingerprint"] == "".join(f"{t:08x}" for t in a), i
+        assert row["edited_fingerprint"] == "".join(f"{t:08x}" for t in b), i
+        assert row["near_edited"] == pytest.approx(brute_likeness(a, b)) and row["near_next"] == pytest.approx(brute_likeness(a, c)), i
+
+
+def test_fingerprints_of_many_rows_without_id_and_of_one_id(spark):
+    rows = [(None, f"text {i} of none") for i in range(120)] + [(5, f"text {i} of five") for i in range(120)] + [(9, "last")]
+    got = fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter(r["doc_id"] for r in got) == {None: 120, 5: 120, 9: 1}
+    assert Counter(r["fingerprint"] for r in got) == Counter("".join(f"{t:08x}" for t in brute_tokens(text)) for _, text in rows)
