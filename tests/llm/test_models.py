@@ -479,3 +479,66 @@ def test_numbers_of_phases_do_not_grow():
     assert len(phases({"a": 10**9, "b": 10**7}, {"a": 1, "b": 1}, 10)) < 100
     with pytest.raises(ValueError):
         mixed(None, {"a": 0})
+
+
+# covered runs of a host's pages
+
+
+def brute_repeated(pages, run, cover, share, least, inside):
+    """Repeated blocks of every page (id: html) of one host: runs and whole blocks counted over the distinct pages."""
+    parsed = {i: blocks(source or "") for i, source in pages.items()}
+    tokens = {i: [plain_words(b.text) for b in page] for i, page in parsed.items()}
+    distinct = {tuple(b.text for b in page): i for i, page in parsed.items() if page}
+    run_pages, block_pages = {}, {}
+    for i in distinct.values():
+        flat = [w for b in tokens[i] for w in b]
+        for k in range(len(flat) - run + 1):
+            run_pages.setdefault(tuple(flat[k : k + run]), set()).add(i)
+        for b in tokens[i]:
+            if b:
+                block_pages.setdefault(tuple(b), set()).add(i)
+    enough = lambda held, floor: len(held) >= max(least, floor, share * len(distinct))
+    out = {}
+    for i, page in parsed.items():
+        flat = [w for b in tokens[i] for w in b]
+        for floor in (0, inside):
+            covered = [False] * len(flat)
+            for k in range(len(flat) - run + 1):
+                if enough(run_pages.get(tuple(flat[k : k + run]), ()), floor):
+                    covered[k : k + run] = [True] * run
+            at = 0
+            for n, (b, words_) in enumerate(zip(page, tokens[i])):
+                part = sum(covered[at : at + len(words_)])
+                at += len(words_)
+                if b.article == (floor == inside) and words_ and (part >= cover * len(words_) or enough(block_pages.get(tuple(words_), ()), floor)):
+                    out.setdefault(i, set()).add(n)
+    return {i: main_text(page, out.get(i, set())) for i, page in parsed.items()}
+
+
+@pytest.mark.parametrize("shard", [2000, 5])
+@pytest.mark.parametrize("mark", ["article", "div"])
+def test_covered_runs_equal_brute_force(spark, shard, mark):
+    from sensorloom.llm import pages as module
+
+    r = random.Random(5)
+    notices = [" ".join(f"n{k}x{j}" for j in range(n)) for k, n in enumerate((3, 7, 8, 9, 12, 30))]
+    rows, hosts = [], {"a.com": 17, "b.org": 4, "c.net": 1}
+    for host, n in hosts.items():
+        for i in range(n):
+            parts = []
+            for _ in range(r.randint(0, 6)):
+                own = " ".join(f"w{r.randrange(10**6)}" for _ in range(r.randint(1, 25)))
+                notice = r.choice(notices[: 1 + 5 * (r.random() < 0.8)])
+                parts.append(r.choice([own, notice, f"{notice} {own}", f"{own} {notice}"]))
+            body = "".join(f"<p>{p}</p>" for p in parts)
+            rows.append((len(rows), f"http://{host}/{i}", f"<html><body><{mark}>{body}</{mark}><p>{notices[4]}</p></body></html>"))
+    rows += [(100 + i, url, source) for i, url, source in rows[:3]] + [(200, "http://a.com/x", None), (201, "http://a.com/y", "")]
+    want = {}
+    for host in hosts:
+        some = {i: source for i, url, source in rows if host in url}
+        want |= brute_repeated(some, module.RUN, module.COVER, module.SHARE, module.PAGES, module.ARTICLE_PAGES)
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({"host": F.lit(1), "text": F.lit("x"), "shard": F.lit("y")})
+    got = {row["page_id"]: row["text"] for row in extracted(pages, shard_pages=shard).collect()}
+    assert got == want
+    plain = {i: main_text(blocks(source or ""), set()) for i, _, source in rows}
+    assert sum(plain[i] != want[i] for i in want) > 5
