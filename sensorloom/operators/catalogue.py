@@ -140,8 +140,12 @@ def _opened(keys: list[str], schema: pa.Schema):
 
 
 def loose_body() -> Column:
-    """The body as JSON text where its shape does not tell the kinds of all arrays, else null."""
-    return F.when(F.schema_of_variant("body").contains(_LOOSE), F.to_json("body"))
+    """The body as JSON text where its shape does not tell the kinds of all arrays, else null.
+
+    That is where elements do not merge, and where one is null: a null after a number is not seen in the shape."""
+    shape = F.schema_of_variant("body")
+    nulls = shape.contains("ARRAY<") & F.to_json("body").rlike(r",null[,\]]")
+    return F.when(shape.contains(_LOOSE) | nulls, F.to_json("body"))
 
 
 def field_catalogue(decoded: DataFrame, keys: list[str] | None = None) -> DataFrame:
