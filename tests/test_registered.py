@@ -26,3 +26,15 @@ def test_entry(spark):
 
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_late_field_only_in_later_rows(spark):
+    """d23 keeps a field that begins only after row 5000; a recording too short to reach it has the column empty."""
+    from pyspark.sql import functions as F
+
+    q = QUERIES["d23_sample_before_decode"]
+    full = q(spark, "/root/testdata/sf0.01")
+    assert full.count() == 10000
+    assert full.where(F.col("late").isNotNull()).count() == 5000
+    small = q(spark, SF)
+    assert small.count() == 1000 and small.where(F.col("late").isNotNull()).count() == 0
