@@ -161,8 +161,9 @@ MANIFEST = "sequence string, topic string, tag string, folder string, rows bigin
 def export_by_tag(store: SequenceStore, sequences: list[str], out_dir: str) -> DataFrame:
     """Topics of many sequences as Parquet, one job for each tag whatever the number of topics. Returns the manifest.
 
-    A tag is one table with a folder per sequence and topic; the manifest says which folder holds which topic. It is written
-    last, so an export without one did not end: nothing is renamed or moved. Topics without rows are left out, and nothing
+    A tag is one table, its rows clustered and sorted by sequence and topic, so the number of files does not grow with the
+    number of sequences; the manifest says which folder holds which topic. It is written last, so an export without one did
+    not end: nothing is renamed or moved. Topics without rows are left out, and nothing
     written is an error. Topics of a tag whose columns differ by topic keep their body as a variant, with the columns of
     each in the catalogue.
     """
@@ -177,8 +178,9 @@ def export_by_tag(store: SequenceStore, sequences: list[str], out_dir: str) -> D
         folder = f"{row['key']}/{row['tag']}"
         (
             rows.withColumnsRenamed({"sequence": "of_sequence", "topic": "of_topic"})
+            .repartition("of_sequence", "of_topic")
             .sortWithinPartitions("of_sequence", "of_topic", "timestamp_ns")
-            .write.mode("errorifexists").partitionBy("of_sequence", "of_topic").parquet(f"{out_dir}/{folder}")
+            .write.mode("errorifexists").parquet(f"{out_dir}/{folder}")
         )
         mine = topics.where((F.col("key") == row["key"]) & (F.col("tag") == row["tag"]))
         mine = mine.select("sequence", "topic", "tag", F.lit(folder).alias("folder"), "rows")
@@ -191,7 +193,7 @@ _MANIFEST = "_export_manifest"
 
 
 def read_exported(spark: SparkSession, out_dir: str, sequence: str, topic: str) -> DataFrame:
-    """Rows of an exported topic; only its folder is listed."""
+    """Rows of an exported topic: its tag's table, filtered to it."""
     try:
         # a name with an underscore is no data of the folders beside it, but is read when asked for
         manifest = spark.read.schema(MANIFEST).parquet(f"{out_dir}/{_MANIFEST}")
@@ -202,8 +204,8 @@ def read_exported(spark: SparkSession, out_dir: str, sequence: str, topic: str)
         raise LookupError(f"no finished export in {out_dir}") from None
     if not found:
         raise LookupError(f"no such topic: {sequence}/{topic}")
-    place = f"of_sequence={folder_name(sequence)}/of_topic={folder_name(topic)}"
-    parts = [spark.read.parquet(f"{out_dir}/{r['folder']}/{place}") for r in found]
+    mine = (F.col("of_sequence") == sequence) & (F.col("of_topic") == topic)
+    parts = [spark.read.parquet(f"{out_dir}/{r['folder']}").where(mine).drop("of_sequence", "of_topic") for r in found]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)

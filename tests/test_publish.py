@@ -320,6 +320,26 @@ def test_two_hundred_topics_are_exported_in_a_few_jobs(spark, store, tmp_path):
         export.export_by_tag(store, ["none"], str(tmp_path / "nothing"))
 
 
+
+def test_export_files_do_not_grow_with_sequences(spark, store, tmp_path):
+    """Many sequences of one tag go to one table of a few files, not to a folder each; every row is read back."""
+    names = [f"q{i}" for i in range(300)]
+    rows = spark.range(3000).select(
+        F.concat(F.lit("q"), (F.col("id") % 300).cast("string")).alias("sequence"), F.lit("/a").alias("topic"),
+        F.col("id").alias("timestamp_ns"), F.col("id").cast("double").alias("x"),
+    )
+    with store.begin_upload(names) as upload:
+        upload.write(rows, "custom")
+        upload.record(rows.select("sequence", "topic", F.lit("custom").alias("tag")).distinct())
+        upload.finalize()
+    out = tmp_path / "out"
+    manifest = export.export_by_tag(store, names, str(out))
+    folder = manifest.select("folder").distinct().first()["folder"]
+    files = [p for p in (out / folder).rglob("*.parquet")]
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions")) and not list((out / folder).glob("of_sequence=*"))
+    assert manifest.count() == 300 and spark.read.parquet(str(out / folder)).count() == 3000
+    assert sorted(r.x for r in export.read_exported(spark, str(out), "q7", "/a").collect()) == [7.0 + 300 * k for k in range(10)]
+
 # ---------------------------------------------------------------- the log
 
 
